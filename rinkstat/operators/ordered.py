@@ -56,25 +56,30 @@ def first_row_per_group(
 
 def change_marks(
     df: DataFrame,
+    partition: Sequence[str],
     block: Sequence[str],
-    order: Sequence[str],
+    within: Sequence[str],
     mark: str = "new_block",
 ) -> DataFrame:
-    """Mark the first row of each ``block`` except the first block overall.
+    """Mark the first row of each ``block`` except the first block, per ``partition``.
 
-    With rows ordered by ``order`` (block keys first), a row starts a new block
-    exactly when it is its block's first row; the very first block gets no
-    mark.  Computed from the per-block minimum (aggregate + join), not with a
-    global ``lag`` window.
+    With rows ordered by ``partition, block, within``, a row's block differs
+    from the previous row's exactly when it is its block's first row and the
+    block is not the partition's first.  Both facts come from minima (partial
+    aggregates, one small row per block / partition) joined back, so neither a
+    global ``lag`` window nor a per-partition window is needed.
     """
-    block = list(block)
-    within = [c for c in order if c not in block]
-    firsts = df.groupBy(*block).agg(F.min(F.struct(*within)).alias("_first"))
-    overall = firsts.agg(F.min(F.struct(*block)).alias("_first_block"))
-    joined = df.join(firsts, on=block, how="left").crossJoin(overall)
-    is_first_in_block = F.struct(*within) == F.col("_first")
-    is_first_block = F.struct(*block) == F.col("_first_block")
-    return joined.withColumn(mark, is_first_in_block & ~is_first_block).drop("_first", "_first_block")
+    partition, block, within = list(partition), list(block), list(within)
+    firsts = df.groupBy(*partition, *block).agg(F.min(F.struct(*within)).alias("_first_row"))
+    first_blocks = firsts.groupBy(*partition).agg(F.min(F.struct(*block)).alias("_first_block"))
+    out = df.join(firsts, on=partition + block, how="left")
+    if partition:
+        out = out.join(first_blocks, on=partition, how="left")
+        first_block = F.col("_first_block")
+    else:
+        first_block = first_blocks.select("_first_block").scalar()
+    starts = (F.struct(*within) == F.col("_first_row")) & (F.struct(*block) != first_block)
+    return out.withColumn(mark, starts).drop("_first_row", "_first_block")
 
 
 def sort_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalar as X
 from ..functions.sql import register_toi_seconds
@@ -24,8 +25,15 @@ from ..operators import merge as M
 from ..operators import ordered as O
 from ..schemas import AGG_KEYS
 from ..sources.tables import scan_parquet
+from ..schemas import (
+    GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
+    SKATER_MEASURES, TEAMS_PAYLOAD, game_log_payload,
+)
+from ..sources import payloads as S
 from . import cards as C
+from . import digest as D
 from . import league_views as V
+from . import payload_views as PV
 from .mart import TEAM_ROLES, player_game_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +204,101 @@ def q_player_card_goalie(spark, sf):
     return C.goalie_cards(_mart(spark, sf), V.AS_OF)
 
 
+# -- payload ingest ----------------------------------------------------------
+
+def _good(docs: DataFrame, schema) -> DataFrame:
+    good, _rejected = S.split_malformed(S.parse_payloads(docs, "json", schema))
+    return good
+
+
+def q_flatten_record_array(spark, sf):
+    return S.flatten_record_array(_good(PV.teams_docs(spark, sf), TEAMS_PAYLOAD), "data")
+
+
+def _roster_players(spark, sf):
+    docs = _good(PV.roster_docs(spark, sf), ROSTER_PAYLOAD)
+    records = S.flatten_map_of_arrays(docs, "value", carry=["team"])
+    return S.roster_to_players_info(records, "team", V.RUN_DATE)
+
+
+def q_flatten_map_of_arrays(spark, sf):
+    return _roster_players(spark, sf)
+
+
+def q_localized_default(spark, sf):
+    return _roster_players(spark, sf).select(
+        "playerId", "firstName", "lastName", "birthCity", "birthStateProvince"
+    )
+
+
+def _game_log_rows(docs: DataFrame, schema=GAME_LOG_PAYLOAD) -> DataFrame:
+    good = _good(docs, schema)
+    return S.game_log_to_games_info(S.flatten_keyed_array(good, "gameLog", {"playerId": "playerId"}))
+
+
+def q_flatten_keyed_array(spark, sf):
+    return _game_log_rows(PV.game_log_docs(spark, sf))
+
+
+def q_cast_id(spark, sf):
+    """Game ids that arrive quoted are cast to BIGINT on ingest."""
+    schema = game_log_payload(T.StringType())
+    rows = _game_log_rows(PV.game_log_docs(spark, sf, id_as_text=True), schema)
+    return rows.select("playerId", "gameId")
+
+
+def q_semi_join_known_keys(spark, sf):
+    docs = J.semi_join(PV.game_log_docs(spark, sf), V.players(spark, sf), "playerId")
+    return _game_log_rows(docs)
+
+
+def q_skip_malformed_payloads(spark, sf):
+    return _game_log_rows(PV.game_log_docs(spark, sf, with_broken=True))
+
+
+def q_rejected_payloads(spark, sf):
+    parsed = S.parse_payloads(PV.game_log_docs(spark, sf, with_broken=True), "json", GAME_LOG_PAYLOAD)
+    _good_docs, rejected = S.split_malformed(parsed)
+    return rejected.agg(F.count(F.lit(1)).alias("rejected_docs"))
+
+
+def q_union_merge_schema(spark, sf):
+    g = V.games(spark, sf).join(V.players(spark, sf).select("playerId", "positionCode"), "playerId", "left")
+    base = ["playerId", "gameId", "teamAbbrev", "opponentAbbrev", "homeRoadFlag", "toi"]
+    is_goalie = F.col("positionCode").eqNullSafe(F.lit(FL.GOALIE_CODE))
+    skater_logs = g.filter(~is_goalie).select(*base, *SKATER_MEASURES)
+    goalie_logs = g.filter(is_goalie).select(*base, *GOALIE_MEASURES)
+    return M.union_by_name(skater_logs, goalie_logs)
+
+
+# -- scoreboard ----------------------------------------------------------------
+
+def _board_rows(spark, sf, take_while: bool) -> DataFrame:
+    docs = _good(PV.scoreboard_docs(spark, sf), SCOREBOARD_PAYLOAD)
+    return S.flatten_scoreboard(docs, "board", take_while=take_while)
+
+
+def q_flatten_nested_scoreboard(spark, sf):
+    return _board_rows(spark, sf, take_while=False).drop("new_date")
+
+
+def q_take_while_scored(spark, sf):
+    return _board_rows(spark, sf, take_while=True).drop("new_date")
+
+
+def q_result_lines(spark, sf):
+    return D.result_lines(_board_rows(spark, sf, take_while=True), "board")
+
+
+def q_date_change_marks(spark, sf):
+    rows = _board_rows(spark, sf, take_while=True).drop("new_date")
+    return D.date_marks(rows, "board").select("board", "date_pos", "game_pos", "date_play", "new_date")
+
+
+def q_results_digest(spark, sf):
+    return D.digest_lines(_board_rows(spark, sf, take_while=True), "board")
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
     "project_columns": q_project_columns,
@@ -228,4 +331,18 @@ QUERIES: dict[str, Query] = {
     "name_link_parts": q_name_link_parts,
     "player_card_skater": q_player_card_skater,
     "player_card_goalie": q_player_card_goalie,
+    "flatten_record_array": q_flatten_record_array,
+    "flatten_map_of_arrays": q_flatten_map_of_arrays,
+    "localized_default": q_localized_default,
+    "flatten_keyed_array": q_flatten_keyed_array,
+    "cast_id": q_cast_id,
+    "semi_join_known_keys": q_semi_join_known_keys,
+    "skip_malformed_payloads": q_skip_malformed_payloads,
+    "rejected_payloads": q_rejected_payloads,
+    "union_merge_schema": q_union_merge_schema,
+    "flatten_nested_scoreboard": q_flatten_nested_scoreboard,
+    "take_while_scored": q_take_while_scored,
+    "result_lines": q_result_lines,
+    "date_change_marks": q_date_change_marks,
+    "results_digest": q_results_digest,
 }

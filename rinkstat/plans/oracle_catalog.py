@@ -95,3 +95,83 @@ ORACLE_SQL: dict[str, str] = {
     "player_card_skater": _W + card_sql("skater"),
     "player_card_goalie": _W + card_sql("goalie"),
 }
+
+
+# -- payload ingest and scoreboard ---------------------------------------------
+
+from . import payload_views as PV  # noqa: E402
+
+_ROSTER_PLAYERS = f"""
+SELECT event_id AS playerId,
+       'h/' || CAST(event_id AS STRING) || '.png' AS headshot,
+       CASE event_type WHEN 'error' THEN '' WHEN 'signup' THEN '' ELSE 'F' || CAST(user_id AS STRING) END AS firstName,
+       CASE WHEN event_type = 'purchase' THEN '' ELSE 'L' || CAST(event_id AS STRING) END AS lastName,
+       {PV.ROSTER_POSITION} AS positionCode,
+       {PV.ROSTER_SHOOTS} AS shootsCatches,
+       CAST(ts AS DATE) AS birthDate,
+       'City ' || CAST(user_id AS STRING) AS birthCity,
+       {PV.ROSTER_COUNTRY} AS birthCountry,
+       CASE WHEN event_type = 'error' THEN '' ELSE 'Prov' END AS birthStateProvince,
+       {PV.ROSTER_TEAM} AS triCodeCurrent,
+       '{V.RUN_DATE}' AS updatedDt
+FROM events"""
+
+_GAMES_INFO_COLS = ", ".join(V.GAME_COLUMNS)
+_BROKEN_DOCS = (
+    "broken AS (SELECT DISTINCT playerId, CAST(floor(gameId / 64) AS BIGINT) AS chunk FROM games "
+    f"WHERE toi = '{PV.TRUNCATED_MARKER_TOI}')"
+)
+_GOOD_GAMES = (
+    f"SELECT {_GAMES_INFO_COLS} FROM games g WHERE NOT EXISTS (SELECT 1 FROM broken b "
+    "WHERE b.playerId = g.playerId AND b.chunk = CAST(floor(g.gameId / 64) AS BIGINT))"
+)
+
+_BOARD = f"""sb AS (
+  SELECT {PV.BOARD} AS board, {PV.BOARD_DATE} AS date_play, o_orderkey,
+         {PV.AWAY_NAME} AS away_teams, {PV.HOME_NAME} AS home_teams,
+         {PV.AWAY_SCORE} AS away_result, {PV.HOME_SCORE} AS home_result
+  FROM orders),
+pos AS (
+  SELECT *,
+         CAST(dense_rank() OVER (PARTITION BY board ORDER BY date_play) - 1 AS INTEGER) AS date_pos,
+         CAST(row_number() OVER (PARTITION BY board, date_play ORDER BY o_orderkey) - 1 AS INTEGER) AS game_pos,
+         min(CASE WHEN away_result IS NULL THEN o_orderkey END) OVER (PARTITION BY board, date_play) AS cut
+  FROM sb),
+kept AS (SELECT * FROM pos WHERE cut IS NULL OR o_orderkey < cut),
+marked AS (
+  SELECT *, (game_pos = 0 AND date_pos > min(date_pos) OVER (PARTITION BY board)) AS new_date FROM kept)
+"""
+_BOARD_COLS = "board, date_pos, game_pos, away_teams, home_teams, away_result, home_result, date_play"
+_LINE = (
+    "date_play || ' ' || away_teams || ' ' || coalesce(CAST(away_result AS STRING), '-') || ':' || "
+    "coalesce(CAST(home_result AS STRING), '-') || ' ' || home_teams || '.' || chr(10)"
+)
+
+ORACLE_SQL.update({
+    "flatten_record_array": "SELECT c_custkey AS id, c_name AS fullName, c_mktsegment AS triCode FROM customer",
+    "flatten_map_of_arrays": _ROSTER_PLAYERS,
+    "localized_default": (
+        "SELECT playerId, firstName, lastName, birthCity, birthStateProvince FROM (" + _ROSTER_PLAYERS + ") r"
+    ),
+    "flatten_keyed_array": _GAMES + f"SELECT {_GAMES_INFO_COLS} FROM games",
+    "cast_id": _GAMES + "SELECT playerId, gameId FROM games",
+    "semi_join_known_keys": with_views(games_cte(), players_cte())
+    + f"SELECT {_GAMES_INFO_COLS} FROM games SEMI JOIN players USING (playerId)",
+    "skip_malformed_payloads": with_views(games_cte(), _BROKEN_DOCS) + _GOOD_GAMES,
+    "rejected_payloads": with_views(games_cte(), _BROKEN_DOCS) + "SELECT COUNT(*) AS rejected_docs FROM broken",
+    "union_merge_schema": with_views(games_cte(), players_cte())
+    + (
+        "SELECT g.* EXCLUDE (gamesStarted, shotsAgainst, goalsAgainst, shutouts) FROM games g "
+        "LEFT JOIN players p USING (playerId) WHERE p.positionCode IS DISTINCT FROM 'G' "
+        "UNION ALL BY NAME "
+        "SELECT g.* EXCLUDE (plusMinus, powerPlayGoals, powerPlayPoints, gameWinningGoals, otGoals, shots, "
+        "shifts, shorthandedGoals) FROM games g "
+        "LEFT JOIN players p USING (playerId) WHERE p.positionCode IS NOT DISTINCT FROM 'G'"
+    ),
+    "flatten_nested_scoreboard": with_views(_BOARD) + f"SELECT {_BOARD_COLS} FROM pos",
+    "take_while_scored": with_views(_BOARD) + f"SELECT {_BOARD_COLS} FROM kept",
+    "result_lines": with_views(_BOARD) + f"SELECT board, date_pos, game_pos, {_LINE} AS line FROM kept",
+    "date_change_marks": with_views(_BOARD) + "SELECT board, date_pos, game_pos, date_play, new_date FROM marked",
+    "results_digest": with_views(_BOARD)
+    + f"SELECT board, date_pos, game_pos, CASE WHEN new_date THEN chr(10) ELSE '' END || {_LINE} AS line FROM marked",
+})

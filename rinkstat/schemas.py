@@ -122,6 +122,15 @@ GAME_LOG_ENTRY = T.StructType(
 )
 GAME_LOG_PAYLOAD = T.StructType([T.StructField("gameLog", T.ArrayType(GAME_LOG_ENTRY))])
 
+
+def game_log_payload(game_id_type: T.DataType) -> T.StructType:
+    """The game-log payload with another type for ``gameId`` (e.g. quoted ids)."""
+    fields = [
+        T.StructField("gameId", game_id_type) if f.name == "gameId" else f
+        for f in GAME_LOG_ENTRY.fields
+    ]
+    return T.StructType([T.StructField("gameLog", T.ArrayType(T.StructType(fields)))])
+
 SIDE = T.StructType(
     [T.StructField("name", LOCALIZED), T.StructField("score", T.IntegerType())]
 )
