@@ -24,6 +24,8 @@ from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import ordered as O
 from ..schemas import AGG_KEYS
+from ..session import scratch_dir
+from ..sinks import parquet as K
 from ..sources.tables import scan_parquet
 from ..schemas import (
     GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
@@ -299,6 +301,27 @@ def q_results_digest(spark, sf):
     return D.digest_lines(_board_rows(spark, sf, take_while=True), "board")
 
 
+# -- sinks (write, then read back) -------------------------------------------
+
+def q_write_dated_partition(spark, sf):
+    """Two run dates landed, then the first rerun with other data: only that
+    date's partition is replaced."""
+    root = scratch_dir(spark, "raw-games")
+    K.write_dated_partition(V.new_games(spark, sf), root, V.RUN_DATE)
+    K.write_dated_partition(V.new_games(spark, sf), root, V.NEXT_RUN_DATE)
+    K.write_dated_partition(V.old_games(spark, sf), root, V.RUN_DATE)
+    return K.read_dated_partition(spark, root)
+
+
+def q_write_snapshot(spark, sf):
+    """Day-1 load, day-2 merge and a day-2 rerun through the staged swap."""
+    path = scratch_dir(spark, "dwh-games")
+    keys = ["playerId", "gameId"]
+    K.upsert_table(spark, V.old_games(spark, sf), path, keys)
+    K.upsert_table(spark, V.new_games(spark, sf), path, keys)
+    return K.upsert_table(spark, V.new_games(spark, sf), path, keys)
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
     "project_columns": q_project_columns,
@@ -345,4 +368,6 @@ QUERIES: dict[str, Query] = {
     "result_lines": q_result_lines,
     "date_change_marks": q_date_change_marks,
     "results_digest": q_results_digest,
+    "write_dated_partition": q_write_dated_partition,
+    "write_snapshot": q_write_snapshot,
 }

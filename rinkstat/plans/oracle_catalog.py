@@ -175,3 +175,12 @@ ORACLE_SQL.update({
     "results_digest": with_views(_BOARD)
     + f"SELECT board, date_pos, game_pos, CASE WHEN new_date THEN chr(10) ELSE '' END || {_LINE} AS line FROM marked",
 })
+
+ORACLE_SQL.update({
+    "write_dated_partition": _OLD_NEW_GAMES
+    + (
+        f"SELECT *, DATE '{V.RUN_DATE}' AS ds FROM old "
+        f"UNION ALL SELECT *, DATE '{V.NEXT_RUN_DATE}' AS ds FROM new"
+    ),
+    "write_snapshot": ORACLE_SQL["upsert_composite_key"],
+})
