@@ -49,6 +49,11 @@ def parse_payloads(df: DataFrame, text_column: str, schema: T.DataType) -> DataF
     A struct payload's fields become top-level columns; any other payload
     (e.g. a map keyed by position group) becomes column ``value``.  Either way
     ``_corrupt_record`` holds the text of a document that did not parse.
+
+    The parsed struct is expanded by a generator (``inline``) rather than a
+    projection: a later filter on ``_corrupt_record`` then stays above it
+    instead of being pushed below with a second copy of ``from_json``, so every
+    document is parsed exactly once.
     """
     keep = list(df.columns)
     text = F.col(text_column)
@@ -56,12 +61,13 @@ def parse_payloads(df: DataFrame, text_column: str, schema: T.DataType) -> DataF
         parsed = F.from_json(
             text, _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
         )
-        return df.select(*keep, parsed.alias("_p")).select(*keep, "_p.*")
-    value = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    out = df.select(*keep, value.alias("value"))
-    return out.withColumn(
-        CORRUPT_COLUMN, F.when(F.col("value").isNull() & text.isNotNull(), text)
+        return df.select(*keep, F.inline(F.array(parsed)))
+    value = df.select(*keep, F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("_value"))
+    row = F.struct(
+        F.col("_value").alias("value"),
+        F.when(F.col("_value").isNull() & text.isNotNull(), text).alias(CORRUPT_COLUMN),
     )
+    return value.select(*keep, F.inline(F.array(row)))
 
 
 def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -98,7 +104,7 @@ def _kept_games(games: Column) -> Column:
     first_unscored = F.array_position(
         F.transform(games, lambda g: g["awayTeam"]["score"].isNull()), F.lit(True)
     )
-    keep = F.when(first_unscored > 0, first_unscored - 1).otherwise(F.size(games))
+    keep = F.coalesce(F.nullif(first_unscored, F.lit(0)) - 1, F.size(games))
     return F.slice(games, F.lit(1), keep.cast("int"))
 
 
@@ -118,9 +124,11 @@ def flatten_scoreboard(docs: DataFrame, board: str, take_while: bool = True) ->
     days = F.col("gamesByDate")
     if take_while:
         days = F.transform(days, lambda d: d.withField("games", _kept_games(d["games"])))
-    first_shown = F.array_position(F.transform(days, lambda d: F.size(d["games"]) > 0), F.lit(True)) - 1
-    per_day = docs.select(
-        F.col(board), first_shown.alias("_first_shown"), F.posexplode(days).alias("date_pos", "_day")
+    # Two steps so the (interpreted) array transform is evaluated once.
+    shown = docs.select(F.col(board), days.alias("_days"))
+    first_shown = F.array_position(F.transform("_days", lambda d: F.size(d["games"]) > 0), F.lit(True)) - 1
+    per_day = shown.select(
+        board, first_shown.alias("_first_shown"), F.posexplode("_days").alias("date_pos", "_day")
     )
     per_game = per_day.select(
         board, "date_pos", "_first_shown", F.col("_day.date").alias("date_play"),
