@@ -120,6 +120,8 @@ def upsert_table(
 def write_text_sorted(lines: DataFrame, path: str, order: Sequence[str], column: str = "line") -> None:
     """Write one text column in total order (range partitions, sorted within),
     e.g. the results digest: concatenating the part files in name order gives
-    the digest text."""
+    the digest text.  A value's own final newline is replaced by the writer's
+    line separator."""
     ranged = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.select(column).write.mode("overwrite").option("lineSep", "").text(path)
+    text = F.regexp_replace(F.col(column), r"\n\z", "")
+    ranged.select(text.alias(column)).write.mode("overwrite").text(path)

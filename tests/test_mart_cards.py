@@ -1,0 +1,129 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from rinkstat.operators.aggregates import goalie_aggregate, rollup_home_road, skater_aggregate
+from rinkstat.plans.cards import card_text, goalie_cards, player_cards, skater_cards
+from rinkstat.plans.mart import player_game_mart
+from rinkstat.schemas import GAMES_INFO_TABLE, PLAYERS_INFO_TABLE, TEAMS_TABLE
+
+TEAMS = [(1, "Alpha Club", "ALP"), (2, "Beta Club", "BET"), (3, "Gamma Club", "GAM")]
+D = dt.date
+PLAYERS = [
+    # id, headshot, first, last, pos, shoots, birth, city, country, province, current, updated
+    (11, "h11", "Ann", "Lee", "C", "L", D(2000, 2, 29), "Springfield", "XLD", "North", "BET", "d1"),
+    (12, "h12", "Bo", "Ray", None, "R", D(1999, 5, 1), "Shelby", "XLD", "North", "ALP", "d1"),
+    (13, "h13", "Gus", "Olm", "G", "L", D(1995, 1, 1), "Ogden", "YLD", "South", "ALP", "d1"),
+    (14, "h14", "Cy", "Pak", "D", "R", D(1998, 7, 7), "Troy", "YLD", None, "ZZZ", "d1"),
+    (15, "h15", "Ann", "Lee", "C", "L", D(2001, 3, 3), "Salem", "XLD", "East", "ALP", "d1"),
+    (16, "h16", "Vi", "", "G", "L", D(1996, 6, 6), "Provo", "XLD", "West", "GAM", "d1"),
+]
+
+
+def _game(pid, gid, team, opp, flag, toi, **m):
+    base = {f.name: None for f in GAMES_INFO_TABLE.fields}
+    base.update(playerId=pid, gameId=gid, teamAbbrev=team, opponentAbbrev=opp, homeRoadFlag=flag, toi=toi)
+    base.update(m)
+    return tuple(base[f.name] for f in GAMES_INFO_TABLE.fields)
+
+
+GAMES = [
+    # traded skater 11: ALP and BET, home and road for both
+    _game(11, 1, "ALP", "BET", "H", "10:05", goals=1, points=2, plusMinus=1, shots=3, pim=None),
+    _game(11, 2, "ALP", "GAM", "R", "65:00", goals=0, points=1, plusMinus=-1, shots=2, pim=None),
+    _game(11, 3, "BET", "ALP", "H", "x", goals=2, points=2, plusMinus=2, shots=5, pim=None),
+    _game(11, 4, "BET", "GAM", "R", None, goals=0, points=0, plusMinus=0, shots=1, pim=None),
+    _game(11, 5, "BET", "GAM", "R", "1:02:03", goals=1, points=1, plusMinus=1, shots=1, pim=None),
+    # NULL position: in neither aggregate
+    _game(12, 1, "ALP", "BET", "H", "12:00", goals=3, points=3, shots=4, pim=2),
+    # goalie with a shutout and a 0-shot game
+    _game(13, 1, "ALP", "BET", "H", "60:00", gamesStarted=1, shotsAgainst=30, goalsAgainst=0, shutouts=1, pim=0),
+    _game(13, 2, "ALP", "GAM", "R", "60:00", gamesStarted=1, shotsAgainst=0, goalsAgainst=0, shutouts=0, pim=0),
+    # NULL province key; unknown current team
+    _game(14, 1, "GAM", "ALP", "H", "15:30", goals=0, points=0, plusMinus=0, shots=0, pim=4),
+    # player 15 shares the name "Ann Lee" with player 11
+    _game(15, 1, "GAM", "ALP", "H", "09:00", goals=5, points=5, plusMinus=5, shots=5, pim=0),
+    # unknown player; unknown team code
+    _game(99, 1, "XXX", "ALP", "R", "01:00", goals=1, points=1, plusMinus=0, shots=1, pim=0),
+    # goalie whose percentage lies on a rounding half: 7/(7+1) = 87.5 exactly, 1/(1+7)=12.5
+    _game(16, 1, "GAM", "BET", "H", "60:00", gamesStarted=1, shotsAgainst=7, goalsAgainst=1, shutouts=0, pim=0),
+]
+
+
+def _mart(spark):
+    teams = spark.createDataFrame(TEAMS, TEAMS_TABLE)
+    players = spark.createDataFrame(PLAYERS, PLAYERS_INFO_TABLE)
+    games = spark.createDataFrame(GAMES, GAMES_INFO_TABLE)
+    return player_game_mart(games, players, teams)
+
+
+def test_mart_left_joins_and_names(spark):
+    m = {(r.playerId, r.gameId): r for r in _mart(spark).collect()}
+    assert len(m) == len(GAMES)
+    unknown = m[(99, 1)]
+    assert unknown.playersFIO == "" and unknown.positionCode is None and unknown.teamFullName is None
+    assert m[(14, 1)].currentTeamFullName is None and m[(14, 1)].teamFullName == "Gamma Club"
+    assert m[(11, 3)].teamFullName == "Beta Club" and m[(11, 3)].opponentFullName == "Alpha Club"
+    assert m[(16, 1)].playersFIO == "Vi "
+    assert "firstName" not in _mart(spark).columns
+
+
+def test_skater_aggregate_grain_and_nulls(spark):
+    agg = {(r.playerId, r.teamAbbrev, r.homeRoadFlag): r for r in skater_aggregate(_mart(spark)).collect()}
+    assert set(agg) == {(11, "ALP", "H"), (11, "ALP", "R"), (11, "BET", "H"), (11, "BET", "R"), (14, "GAM", "H"),
+                        (15, "GAM", "H"), (99, "XXX", "R")} - {(99, "XXX", "R")}
+    r = agg[(11, "BET", "R")]
+    assert (r.gamesCNT, r.goals, r.toi, r.pim) == (2, 1, None, None)
+    assert agg[(11, "ALP", "R")].toi == 3900 and agg[(11, "ALP", "H")].toi == 605
+
+
+def test_totals_are_preserved(spark):
+    mart = _mart(spark)
+    s = skater_aggregate(mart).agg(F.sum("goals")).first()[0]
+    g = goalie_aggregate(mart).agg(F.sum("goals")).first()[0] or 0
+    rest = mart.filter(F.col("positionCode").isNull()).agg(F.sum("goals")).first()[0]
+    assert s + g + rest == mart.agg(F.sum("goals")).first()[0]
+
+
+def test_rollup_drops_null_keys_and_zero_fills(spark):
+    rolled = {(r.playerId, r.teamAbbrev): r for r in rollup_home_road(skater_aggregate(_mart(spark))).collect()}
+    assert (14, "GAM") not in rolled  # NULL province
+    r = rolled[(11, "BET")]
+    assert (r.gamesCNT, r.goals, r.pim, r.toi) == (3, 3, 0, 0)
+    assert rolled[(11, "ALP")].toi == 605 + 3900
+
+
+def test_skater_cards_first_row_per_name(spark):
+    cards = {r.playersFIO: r for r in skater_cards(_mart(spark), "2024-02-28").collect()}
+    assert set(cards) == {"Ann Lee"}
+    ann = cards["Ann Lee"]
+    assert (ann.playerId, ann.teamAbbrev, ann.gamesCNT) == (11, "ALP", 2)
+    assert ann.age == 23 and ann.name_link == "Ann%20Lee"
+    avg = (605 + 3900) // 2
+    assert (ann.avg_toi_min, ann.avg_toi_sec, ann.ref_toi_sec) == (avg // 60, avg % 60, (605 + 3900) % 60)
+    older = skater_cards(_mart(spark), "2024-02-29").first()
+    assert older.age == 24
+
+
+def test_goalie_cards_percentages(spark):
+    cards = {r.playerId: r for r in goalie_cards(_mart(spark), "2024-06-30").collect()}
+    g = cards[13]
+    assert (g.gamesCNT, g.gamesStarted, g.shutouts, g.perc_goals, g.save_pct) == (2, 2, 1, 100.0, 100.0)
+    assert cards[16].perc_goals == 87.5 and cards[16].save_pct == 85.71
+    assert cards[16].name_link == "Vi%20"
+
+
+def test_name_lookup_and_unknown_name(spark):
+    one = player_cards(_mart(spark), "skater", "2024-06-30", name="Ann Lee").collect()
+    assert [r.playerId for r in one] == [11]
+    assert player_cards(_mart(spark), "goalie", "2024-06-30", name="Nobody Here").count() == 0
+    assert player_cards(_mart(spark), "skater", "2024-06-30", name="").count() == 0
+    txt = card_text(player_cards(_mart(spark), "skater", "2024-06-30", name="Ann Lee"), "skater").first().card
+    assert "Games: 2" in txt and "Points: 3" in txt
+
+
+def test_name_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    _mart(spark).write.parquet(path)
+    plan = skater_cards(spark.read.parquet(path), "2024-06-30", name="Ann Lee")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "playersFIO" in plan.split("PushedFilters")[1].split("]")[0]
