@@ -24,8 +24,10 @@ def toi_seconds(toi: ColumnOrName) -> Column:
     failing the job.
     """
     t = _col(toi)
-    minutes = F.split_part(t, F.lit(":"), F.lit(1)).try_cast("int")
-    seconds = F.split_part(t, F.lit(":"), F.lit(2)).try_cast("int")
+    # Casts run only on guarded digit strings (a failing cast is slow);
+    # try_cast still turns an overflowing minute count into NULL.
+    minutes = F.substring_index(t, ":", 1).try_cast("int")
+    seconds = F.substring_index(t, ":", -1).try_cast("int")
     return F.when(t.rlike(TOI_PATTERN), minutes * 60 + seconds).cast("int")
 
 

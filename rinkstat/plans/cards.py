@@ -45,6 +45,20 @@ def _decorate(rows: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def cards_from_rolled(rolled: DataFrame, kind: str, as_of: str) -> DataFrame:
+    """Cards from a card-grain table (``rollup_home_road`` output or
+    :func:`rinkstat.plans.player_stats.card_aggregate`)."""
+    rows = card_rows(rolled)
+    if kind == "goalie":
+        rows = rows.withColumn(
+            "perc_goals", X.goalie_percentage("shotsAgainst", "goalsAgainst")
+        ).withColumn("save_pct", X.save_percentage("shotsAgainst", "goalsAgainst"))
+        fields = GOALIE_FIELDS
+    else:
+        fields = SKATER_FIELDS
+    return _decorate(rows, as_of).select(*COMMON_HEAD, *fields, *COMMON_TAIL)
+
+
 def skater_cards(mart: DataFrame, as_of: str, name: str | None = None) -> DataFrame:
     src = by_exact_name(mart, name) if name is not None else mart
     rows = card_rows(rollup_home_road(skater_aggregate(src)))

@@ -37,6 +37,7 @@ from . import digest as D
 from . import league_views as V
 from . import payload_views as PV
 from .mart import TEAM_ROLES, player_game_mart
+from . import player_stats as PS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,12 +126,21 @@ def q_upsert_first_load(spark, sf):
 
 # -- aggregates --------------------------------------------------------------
 
+def _base(spark, sf):
+    return V.games(spark, sf), V.players(spark, sf), V.teams(spark, sf)
+
+
 def q_skater_aggregate(spark, sf):
-    return A.skater_aggregate(_mart(spark, sf))
+    return PS.skater_aggregate_from_tables(*_base(spark, sf))
 
 
 def q_goalie_aggregate(spark, sf):
-    return A.goalie_aggregate(_mart(spark, sf))
+    return PS.goalie_aggregate_from_tables(*_base(spark, sf))
+
+
+def q_skater_aggregate_over_mart(spark, sf):
+    """The same aggregate over the materialised mart rows."""
+    return A.skater_aggregate(_mart(spark, sf))
 
 
 def q_rollup_home_road(spark, sf):
@@ -199,11 +209,11 @@ def q_name_link_parts(spark, sf):
 # -- presentation ------------------------------------------------------------
 
 def q_player_card_skater(spark, sf):
-    return C.skater_cards(_mart(spark, sf), V.AS_OF)
+    return C.cards_from_rolled(PS.card_aggregate(*_base(spark, sf), "skater"), "skater", V.AS_OF)
 
 
 def q_player_card_goalie(spark, sf):
-    return C.goalie_cards(_mart(spark, sf), V.AS_OF)
+    return C.cards_from_rolled(PS.card_aggregate(*_base(spark, sf), "goalie"), "goalie", V.AS_OF)
 
 
 # -- payload ingest ----------------------------------------------------------
@@ -341,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "upsert_first_load": q_upsert_first_load,
     "skater_aggregate": q_skater_aggregate,
     "goalie_aggregate": q_goalie_aggregate,
+    "skater_aggregate_over_mart": q_skater_aggregate_over_mart,
     "rollup_home_road": q_rollup_home_road,
     "count_non_null": q_count_non_null,
     "first_row_per_name": q_first_row_per_name,

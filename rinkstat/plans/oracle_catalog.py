@@ -58,6 +58,7 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT * FROM new",
     "skater_aggregate": _W + aggregate_sql("skater"),
     "goalie_aggregate": _W + aggregate_sql("goalie"),
+    "skater_aggregate_over_mart": _W + aggregate_sql("skater"),
     "rollup_home_road": _W + rollup_sql("skater"),
     "count_non_null": _GAMES
     + "SELECT teamAbbrev, COUNT(plusMinus) AS plusMinus_count FROM games GROUP BY teamAbbrev",

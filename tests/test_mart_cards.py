@@ -127,3 +127,25 @@ def test_name_filter_reaches_the_scan(spark, tmp_path):
     _mart(spark).write.parquet(path)
     plan = skater_cards(spark.read.parquet(path), "2024-06-30", name="Ann Lee")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "playersFIO" in plan.split("PushedFilters")[1].split("]")[0]
+
+
+def test_eager_aggregation_equals_mart_aggregation_with_fanout(spark):
+    from rinkstat.plans.player_stats import card_aggregate, player_aggregate
+
+    teams = spark.createDataFrame(TEAMS, TEAMS_TABLE)
+    dup = PLAYERS + [PLAYERS[0], PLAYERS[2][:9] + ("Other", "ALP", "d2")]  # key 11 twice (same), 13 twice (differs)
+    players = spark.createDataFrame(dup, PLAYERS_INFO_TABLE)
+    games = spark.createDataFrame(GAMES, GAMES_INFO_TABLE)
+    mart = player_game_mart(games, players, teams)
+    for kind, ref in (("skater", skater_aggregate(mart)), ("goalie", goalie_aggregate(mart))):
+        eager = player_aggregate(games, players, teams, kind)
+        cols = sorted(ref.columns)
+        assert sorted(map(tuple, eager.select(*cols).collect()), key=str) == sorted(
+            map(tuple, ref.select(*cols).collect()), key=str
+        )
+        rolled = rollup_home_road(ref)
+        direct = card_aggregate(games, players, teams, kind)
+        cols = sorted(rolled.columns)
+        assert sorted(map(tuple, direct.select(*cols).collect()), key=str) == sorted(
+            map(tuple, rolled.select(*cols).collect()), key=str
+        )
