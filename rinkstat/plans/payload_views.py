@@ -79,7 +79,7 @@ def teams_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def roster_docs(spark: SparkSession, sf: str) -> DataFrame:
-    ev = V.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = V.spread(V.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props"))
     elems = ev.select(
         F.expr(ROSTER_TEAM).alias("team"),
         F.col(ROSTER_GROUP).alias("grp"),
@@ -123,9 +123,9 @@ def game_log_docs(
 def scoreboard_docs(spark: SparkSession, sf: str) -> DataFrame:
     """One scoreboard per block of 64 order keys: dates sorted, games of a date
     in order-key order; an unscored side has no ``score`` key."""
-    o = V.table(spark, sf, "orders").select(
+    o = V.spread(V.table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+    ))
     side = lambda name, score: F.struct(
         F.struct(F.expr(name).alias("default")).alias("name"), F.expr(score).alias("score")
     )
