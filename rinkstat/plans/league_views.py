@@ -106,10 +106,12 @@ def spread(df: DataFrame) -> DataFrame:
     default parallelism, rows are redistributed round-robin; a large input
     (many splits) passes through untouched, so this costs nothing at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def _typed(df: DataFrame, columns: dict[str, str], schema) -> DataFrame:

@@ -80,11 +80,12 @@ def teams_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def roster_docs(spark: SparkSession, sf: str) -> DataFrame:
     ev = V.spread(V.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props"))
+    # One shuffle on the document key serves both grouping levels.
     elems = ev.select(
         F.expr(ROSTER_TEAM).alias("team"),
         F.col(ROSTER_GROUP).alias("grp"),
         F.expr(ROSTER_ELEMENT_JSON).alias("elem"),
-    )
+    ).repartition("team")
     groups = elems.groupBy("team", "grp").agg(
         F.concat(F.lit('"'), F.col("grp"), F.lit('":['), F.concat_ws(",", F.collect_list("elem")), F.lit("]")).alias("entry")
     )
@@ -130,10 +131,11 @@ def scoreboard_docs(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.expr(name).alias("default")).alias("name"), F.expr(score).alias("score")
     )
     game = F.struct(side(AWAY_NAME, AWAY_SCORE).alias("awayTeam"), side(HOME_NAME, HOME_SCORE).alias("homeTeam"))
+    # One shuffle on the board key serves both grouping levels.
     rows = o.select(
         F.expr(BOARD).alias("board"), F.expr(BOARD_DATE).alias("date"),
         F.struct(F.col("o_orderkey").alias("k"), game.alias("g")).alias("kg"),
-    )
+    ).repartition("board")
     days = rows.groupBy("board", "date").agg(F.array_sort(F.collect_list("kg")).alias("kgs"))
     days = days.select(
         "board", F.struct("date", F.transform("kgs", lambda x: x["g"]).alias("games")).alias("day")

@@ -31,8 +31,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def recover_snapshot(spark: SparkSession, path: str) -> None:
+    """Finish an interrupted swap: if the table is missing but a copy was moved
+    aside (the driver died between the two renames), move it back."""
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        return
+    parent = target.getParent()
+    if parent is None or not fs.exists(parent):
+        return
+    prefix = f"{target.getName()}.__retired-"
+    retired = [st.getPath() for st in fs.listStatus(parent) if st.getPath().getName().startswith(prefix)]
+    if retired:
+        latest = max(retired, key=lambda p: fs.getFileStatus(p).getModificationTime())
+        fs.rename(latest, target)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A parquet table exists when its directory holds a commit marker or files."""
+    recover_snapshot(spark, path)
     fs, p = _fs(spark, path)
     return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
 
@@ -81,6 +98,7 @@ def write_snapshot(
     (a merge) and a failed write leaves the old table untouched.
     """
     spark = df.sparkSession
+    recover_snapshot(spark, path)
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
     _layout(df, num_files, sort_by).write.mode("errorifexists").parquet(staging)

@@ -115,3 +115,11 @@ def test_write_text_sorted(spark, tmp_path):
     parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
     text = "".join(open(os.path.join(path, f)).read() for f in parts)
     assert text == "a\nb\n\nc\n"
+
+
+def test_interrupted_swap_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "dwh" / "teams")
+    K.write_snapshot(_df(spark, [(1, "a", "X", "d1")]), path)
+    os.rename(path, path + ".__retired-deadbeef")  # driver died between the renames
+    out = K.upsert_table(spark, _df(spark, [(2, "b", "Y", "d2")]), path, "playerId")
+    assert sorted(r.playerId for r in out.collect()) == [1, 2]
