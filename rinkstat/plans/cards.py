@@ -59,6 +59,16 @@ def cards_from_rolled(rolled: DataFrame, kind: str, as_of: str) -> DataFrame:
     return _decorate(rows, as_of).select(*COMMON_HEAD, *fields, *COMMON_TAIL)
 
 
+def cards_from_aggregate(agg: DataFrame, kind: str, as_of: str, name: str | None = None) -> DataFrame:
+    """Cards served from a stored ``skaters_agg`` / ``goalies_agg`` table.
+
+    The name filter is on a group key, so it reaches the parquet scan of the
+    stored aggregate before home and road rows are folded.
+    """
+    src = by_exact_name(agg, name) if name is not None else agg
+    return cards_from_rolled(rollup_home_road(src), kind, as_of)
+
+
 def skater_cards(mart: DataFrame, as_of: str, name: str | None = None) -> DataFrame:
     src = by_exact_name(mart, name) if name is not None else mart
     rows = card_rows(rollup_home_road(skater_aggregate(src)))

@@ -22,6 +22,7 @@ from ..operators.joins import semi_join
 from ..schemas import GAME_LOG_PAYLOAD, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD, TEAMS_PAYLOAD
 from ..session import ensure_checkpoint_dir
 from ..sinks import parquet as K
+from ..sinks.jdbc import write_jdbc
 from ..sources import payloads as S
 from .mart import player_game_mart
 from .player_stats import game_partials, player_aggregate
@@ -104,3 +105,24 @@ def schedule_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_ro
     raw = K.read_dated_partition(spark, _p(raw_root, "shedule"), ds).drop(K.DS_COLUMN)
     K.write_snapshot(raw, _p(dwh_root, "shedule"))
     return spark.read.parquet(_p(dwh_root, "shedule"))
+
+
+SERVING_TABLES = ("skaters_agg", "goalies_agg", "players_games_datamart", "shedule")
+
+
+def publish(
+    spark: SparkSession,
+    dwh_root: str,
+    url: str,
+    schema: str = "public",
+    tables: tuple[str, ...] = SERVING_TABLES,
+    **jdbc_options,
+) -> None:
+    """Overwrite the serving tables in a relational database over JDBC.
+
+    Connection settings come from the caller (``user``, ``password``,
+    ``driver``, ``num_partitions`` ... as in :func:`rinkstat.sinks.jdbc.write_jdbc`).
+    """
+    for table in tables:
+        df = spark.read.parquet(_p(dwh_root, table))
+        write_jdbc(df, url, f"{schema}.{table}" if schema else table, **jdbc_options)

@@ -83,3 +83,21 @@ def test_daily_batches_end_to_end(spark, tmp_path):
     sched = PL.schedule_batch(spark, land, raw, dwh, "2024-01-02")
     text = "".join(r.line for r in digest_lines(sched, "board").orderBy("date_pos", "game_pos").collect())
     assert text == "2024-01-01 ALP 2:1 BET.\n\n2024-01-02 BET 0:3 ALP.\n"
+
+
+def test_cards_from_stored_aggregate(spark, tmp_path):
+    from rinkstat.plans.cards import cards_from_aggregate
+
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.players_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.mart_and_aggregates(spark, dwh)
+    agg = spark.read.parquet(f"{dwh}/skaters_agg")
+    card = cards_from_aggregate(agg, "skater", "2024-06-30", name="Ann Lee")
+    plan = card._jdf.queryExecution().executedPlan().toString()
+    assert "playersFIO" in plan.split("PushedFilters")[1].split("]")[0]
+    r = card.first()
+    assert (r.playerId, r.gamesCNT, r.goals, r.points, r.toi, r.age) == (11, 2, 1, 3, 1350, 25)
+    goalie = cards_from_aggregate(spark.read.parquet(f"{dwh}/goalies_agg"), "goalie", "2024-06-30", "Gus Olm").first()
+    assert (goalie.perc_goals, goalie.save_pct) == (95.24, 95.0)
