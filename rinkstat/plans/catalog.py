@@ -23,21 +23,20 @@ from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import ordered as O
-from ..schemas import AGG_KEYS
-from ..session import scratch_dir
-from ..sinks import parquet as K
-from ..sources.tables import scan_parquet
 from ..schemas import (
-    GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
+    AGG_KEYS, GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
     SKATER_MEASURES, TEAMS_PAYLOAD, game_log_payload,
 )
+from ..session import scratch_dir
+from ..sinks import parquet as K
 from ..sources import payloads as S
+from ..sources.tables import scan_parquet
 from . import cards as C
 from . import digest as D
 from . import league_views as V
 from . import payload_views as PV
-from .mart import TEAM_ROLES, player_game_mart
 from . import player_stats as PS
+from .mart import TEAM_ROLES, player_game_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +56,7 @@ def q_scan_parquet(spark, sf):
 
 
 def q_project_columns(spark, sf):
-    return P.project(V.teams(spark, sf), ["id", "fullName", "triCode"])
+    return P.project(V.games(spark, sf), ["playerId", "gameId", "teamAbbrev", "homeRoadFlag", "toi"])
 
 
 def q_drop_columns(spark, sf):
@@ -65,7 +64,9 @@ def q_drop_columns(spark, sf):
 
 
 def q_rename_columns(spark, sf):
-    return P.rename_columns(V.teams(spark, sf), {"triCode": "teamAbbrev", "fullName": "teamFullName"})
+    """Roster records arrive keyed ``id``; the warehouse calls it ``playerId``."""
+    records = V.players(spark, sf).withColumnRenamed("playerId", "id")
+    return P.rename_columns(records, {"id": "playerId", "triCodeCurrent": "currentTeam"})
 
 
 def q_stamp_run_date(spark, sf):

@@ -5,14 +5,13 @@ from __future__ import annotations
 from ..schemas import AGG_KEYS
 from . import league_views as V
 from .oracle import (
-    BASE, MART_CTE, aggregate_sql, card_rows_sql, card_sql, games_cte, players_cte,
+    BASE, aggregate_sql, card_rows_sql, card_sql, games_cte, players_cte,
     rollup_sql, teams_cte, toi_seconds_sql, with_views,
 )
 
 _W = with_views(*BASE)
 _GAMES = with_views(games_cte())
 _PLAYERS = with_views(players_cte())
-_TEAMS = with_views(teams_cte())
 _OLD_NEW_PLAYERS = with_views(
     players_cte("old", V.OLD_PLAYERS_WHERE),
     players_cte("new", V.NEW_PLAYERS_WHERE, V.NEW_PLAYERS_OVERRIDES),
@@ -33,9 +32,9 @@ ORACLE_SQL: dict[str, str] = {
     "scan_parquet": (
         "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 10"
     ),
-    "project_columns": _TEAMS + "SELECT id, fullName, triCode FROM teams",
+    "project_columns": _GAMES + "SELECT playerId, gameId, teamAbbrev, homeRoadFlag, toi FROM games",
     "drop_columns": _W + f"SELECT {_MART_COLS} FROM mart",
-    "rename_columns": _TEAMS + "SELECT id, fullName AS teamFullName, triCode AS teamAbbrev FROM teams",
+    "rename_columns": _PLAYERS + "SELECT * EXCLUDE (triCodeCurrent), triCodeCurrent AS currentTeam FROM players",
     "stamp_run_date": _PLAYERS + f"SELECT * REPLACE ('{V.NEXT_RUN_DATE}' AS updatedDt) FROM players",
     "full_name": _PLAYERS + "SELECT playerId, concat_ws(' ', firstName, lastName) AS playersFIO FROM players",
     "filter_not_equal_3vl": _PLAYERS + "SELECT * FROM players WHERE positionCode <> 'G'",
