@@ -63,3 +63,37 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory path under the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "rinkstat", f"{label}-{uuid.uuid4().hex}")
+
+
+def cluster_conf(
+    input_bytes: int,
+    total_cores: int,
+    executor_memory_gb: float = 16.0,
+    executor_cores: int = 4,
+) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of parquet.
+
+    Shuffle partitions start at roughly one per 512 MB of input (never fewer
+    than two per core, capped at 100k so the M x R shuffle-block count stays
+    manageable); AQE then coalesces them to ``advisoryPartitionSizeInBytes``
+    and splits skewed ones.  The per-task memory budget bounds the advisory
+    size so a partition fits in executor memory with room for spills.
+    """
+    mb = 1024 * 1024
+    per_task_mb = max(64, int(executor_memory_gb * 1024 * 0.6 / max(1, executor_cores)))
+    advisory_mb = min(256, per_task_mb // 2)
+    partitions = int(min(100_000, max(2 * total_cores, input_bytes // (512 * mb))))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * advisory_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{min(256, 2 * advisory_mb)}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
