@@ -49,18 +49,26 @@ def cast_id(value: ColumnOrName) -> Column:
     return _col(value).cast("bigint")
 
 
+def round_half_even(value: ColumnOrName, digits: int) -> Column:
+    """Round a double half-to-even the way numpy/pandas ``round`` does: scale
+    the binary value, ``rint``, scale back.  (``bround`` rounds the decimal
+    representation instead and differs on values such as 2.675.)"""
+    scale = float(10**digits)
+    return F.rint(_col(value) * scale) / scale
+
+
 def goalie_percentage(shots_against: ColumnOrName, goals_against: ColumnOrName) -> Column:
     """SA / (SA + GA) * 100, half-even to 2 places; 0/0 -> NULL."""
     sa = _col(shots_against)
     ga = _col(goals_against)
-    return F.bround(F.try_divide(sa.cast("double"), (sa + ga).cast("double")) * 100, 2)
+    return round_half_even(F.try_divide(sa.cast("double"), (sa + ga).cast("double")) * 100, 2)
 
 
 def save_percentage(shots_against: ColumnOrName, goals_against: ColumnOrName) -> Column:
     """(SA - GA) / SA * 100, half-even to 2 places; no shots -> NULL."""
     sa = _col(shots_against)
     ga = _col(goals_against)
-    return F.bround(F.try_divide((sa - ga).cast("double"), sa.cast("double")) * 100, 2)
+    return round_half_even(F.try_divide((sa - ga).cast("double"), sa.cast("double")) * 100, 2)
 
 
 def age_years(birth: ColumnOrName, as_of: ColumnOrName) -> Column:

@@ -112,3 +112,24 @@ def test_full_name_and_localized_default(spark):
         X.localized_default(F.parse_json("j")).alias("d"), X.full_name("f", "l").alias("n")
     ).collect()
     assert [(r.d, r.n) for r in out] == [("X", "a b"), ("", "b"), ("", ""), ("", "a")]
+
+
+def test_round_half_even_matches_numpy(spark):
+    import numpy as np
+
+    vals = [0.575, 2.675, 1.005, 0.125, 12.5, 66.625, 87.125, -2.675, 0.0, 99.995, 33.335, 1e-9]
+    rnd = random.Random(1)
+    vals += [rnd.randrange(0, 10**6) / rnd.choice([8, 16, 40, 400, 800, 1000, 3, 7]) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.r for r in df.select(X.round_half_even("v", 2).alias("r")).collect()]
+    assert got == [float(np.round(v, 2)) for v in vals]
+    assert got[0] == 0.57  # bround would give 0.58 (it rounds the decimal representation)
+    assert df.select(F.bround("v", 2)).first()[0] == 0.58
+
+
+def test_goalie_percentage_on_large_totals_matches_pandas(spark):
+    grid = [(sa, ga) for sa in range(600, 1400, 7) for ga in range(0, 120, 3)]
+    df = spark.createDataFrame(grid, "sa int, ga int")
+    got = [r.p for r in df.select(X.goalie_percentage("sa", "ga").alias("p")).collect()]
+    pdf = pd.DataFrame(grid, columns=["sa", "ga"])
+    assert got == list((pdf.sa / (pdf.sa + pdf.ga) * 100).round(2))
