@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import semi_join
+from ..operators.merge import split_null_keys
 from ..schemas import GAME_LOG_PAYLOAD, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD, TEAMS_PAYLOAD
 from ..session import ensure_checkpoint_dir
 from ..sinks import parquet as K
@@ -49,11 +50,20 @@ def teams_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root:
 
 
 def players_batch(
-    spark: SparkSession, landing_root: str, raw_root: str, dwh_root: str, ds: str
+    spark: SparkSession,
+    landing_root: str,
+    raw_root: str,
+    dwh_root: str,
+    ds: str,
+    dedupe_by: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rosters of known teams -> players_info (upsert on playerId); then game
     logs of known players -> games_info (upsert on playerId, gameId).
-    Returns (players_info, rejected payloads)."""
+
+    Rows with a NULL key are not merged (they could never be replaced); they
+    are returned with the rejected payloads.  ``dedupe_by`` keeps one roster
+    row per player (e.g. a player listed by two teams on the same day).
+    Returns (players_info, rejected)."""
     teams = spark.read.parquet(_p(dwh_root, "teams"))
     rosters = S.read_payload_files(spark, _p(landing_root, "roster"), ROSTER_PAYLOAD)
     rosters = semi_join(rosters.withColumn("triCode", F.col(S.ENTITY_COLUMN)), teams, "triCode")
@@ -62,7 +72,10 @@ def players_batch(
     players = S.roster_to_players_info(records, "triCode", ds)
     K.write_dated_partition(players, _p(raw_root, "players_info"), ds)
     new_players = K.read_dated_partition(spark, _p(raw_root, "players_info"), ds).drop(K.DS_COLUMN)
-    players_info = K.upsert_table(spark, new_players, _p(dwh_root, "players_info"), "playerId")
+    new_players, null_players = split_null_keys(new_players, "playerId")
+    players_info = K.upsert_table(
+        spark, new_players, _p(dwh_root, "players_info"), "playerId", dedupe_by=dedupe_by
+    )
 
     logs = S.read_payload_files(spark, _p(landing_root, "gamelog"), GAME_LOG_PAYLOAD)
     logs = semi_join(logs.withColumn("playerId", F.col(S.ENTITY_COLUMN).try_cast("bigint")), players_info, "playerId")
@@ -70,9 +83,13 @@ def players_batch(
     games = S.game_log_to_games_info(S.flatten_keyed_array(good_logs, "gameLog", {"playerId": "playerId"}))
     K.write_dated_partition(games, _p(raw_root, "games_info"), ds)
     new_games = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds).drop(K.DS_COLUMN)
+    new_games, null_games = split_null_keys(new_games, ["playerId", "gameId"])
     K.upsert_table(spark, new_games, _p(dwh_root, "games_info"), ["playerId", "gameId"])
-    rejected = rejected_rosters.select(S.ENTITY_COLUMN).withColumn("kind", F.lit("roster")).unionByName(
-        rejected_logs.select(S.ENTITY_COLUMN).withColumn("kind", F.lit("gamelog"))
+    rejected = (
+        rejected_rosters.select(S.ENTITY_COLUMN).withColumn("kind", F.lit("roster"))
+        .unionByName(rejected_logs.select(S.ENTITY_COLUMN).withColumn("kind", F.lit("gamelog")))
+        .unionByName(null_players.select(F.col("triCodeCurrent").alias(S.ENTITY_COLUMN), F.lit("null playerId").alias("kind")))
+        .unionByName(null_games.select(F.col("playerId").cast("string").alias(S.ENTITY_COLUMN), F.lit("null gameId").alias("kind")))
     )
     return players_info, rejected
 
