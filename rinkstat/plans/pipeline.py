@@ -56,6 +56,7 @@ def players_batch(
     dwh_root: str,
     ds: str,
     dedupe_by: str | None = None,
+    games_partition: tuple[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rosters of known teams -> players_info (upsert on playerId); then game
     logs of known players -> games_info (upsert on playerId, gameId).
@@ -63,7 +64,10 @@ def players_batch(
     Rows with a NULL key are not merged (they could never be replaced); they
     are returned with the rejected payloads.  ``dedupe_by`` keeps one roster
     row per player (e.g. a player listed by two teams on the same day).
-    Returns (players_info, rejected)."""
+    ``games_partition=(column, sql_expr)`` keeps ``games_info`` partitioned by
+    a function of the game id (e.g. ``("season", "CAST(gameId DIV 1000000 AS
+    INT)")``) so a day's merge rewrites only the seasons it touches instead of
+    the whole table.  Returns (players_info, rejected)."""
     teams = spark.read.parquet(_p(dwh_root, "teams"))
     rosters = S.read_payload_files(spark, _p(landing_root, "roster"), ROSTER_PAYLOAD)
     rosters = semi_join(rosters.withColumn("triCode", F.col(S.ENTITY_COLUMN)), teams, "triCode")
@@ -84,7 +88,14 @@ def players_batch(
     K.write_dated_partition(games, _p(raw_root, "games_info"), ds)
     new_games = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds).drop(K.DS_COLUMN)
     new_games, null_games = split_null_keys(new_games, ["playerId", "gameId"])
-    K.upsert_table(spark, new_games, _p(dwh_root, "games_info"), ["playerId", "gameId"])
+    if games_partition is None:
+        K.upsert_table(spark, new_games, _p(dwh_root, "games_info"), ["playerId", "gameId"])
+    else:
+        column, expr = games_partition
+        K.upsert_partitioned(
+            spark, new_games.withColumn(column, F.expr(expr)), _p(dwh_root, "games_info"),
+            ["playerId", "gameId"], column,
+        )
     rejected = (
         rejected_rosters.select(S.ENTITY_COLUMN).withColumn("kind", F.lit("roster"))
         .unionByName(rejected_logs.select(S.ENTITY_COLUMN).withColumn("kind", F.lit("gamelog")))

@@ -135,6 +135,84 @@ def upsert_table(
     return spark.read.parquet(path)
 
 
+def upsert_partitioned(
+    spark: SparkSession,
+    new: DataFrame,
+    path: str,
+    keys: str | Sequence[str],
+    partition_col: str,
+    dedupe_by: str | None = None,
+) -> DataFrame:
+    """Merge ``new`` into a table partitioned by ``partition_col``, rewriting
+    only the partitions ``new`` touches.
+
+    ``partition_col`` must be a function of the key (e.g. the season of a
+    game id) so a key never moves between partitions.  Only touched
+    partitions are read, merged, written to a staging directory and swapped
+    in one partition at a time; untouched partitions are neither read nor
+    rewritten.  The touched partition values are collected to the driver:
+    they are partition metadata, bounded by the table's partition count (the
+    same listing a dynamic-overwrite commit does), and turn into a static
+    partition filter so the scan opens only those directories.  A rerun with
+    the same ``new`` gives the same table, so an interrupted run is repaired
+    by running it again.
+    """
+    spark_keys = [keys] if isinstance(keys, str) else list(keys)
+    if not table_exists(spark, path):
+        write_snapshot_partitioned(upsert(new, None, spark_keys, dedupe_by), path, partition_col)
+        return spark.read.parquet(path)
+    old = spark.read.parquet(path)
+    touched = [r[0] for r in new.select(partition_col).distinct().collect()]
+    in_touched = F.col(partition_col).isin([v for v in touched if v is not None])
+    if any(v is None for v in touched):
+        in_touched = in_touched | F.col(partition_col).isNull()
+    old_touched = old.filter(in_touched)
+    merged = upsert(new, old_touched, spark_keys, dedupe_by).select(*old.columns)
+    token = uuid.uuid4().hex
+    staging = f"{path.rstrip('/')}.__staging-{token}"
+    merged.write.mode("errorifexists").partitionBy(partition_col).parquet(staging)
+    fs, staged_root = _fs(spark, staging)
+    _, target_root = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    for status in fs.listStatus(staged_root):
+        name = status.getPath().getName()
+        if not status.isDirectory() or not name.startswith(f"{partition_col}="):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(target_root, name)
+        retired = jvm.org.apache.hadoop.fs.Path(target_root, f".{name}.__retired-{token}")
+        if fs.exists(target) and not fs.rename(target, retired):
+            raise OSError(f"could not move {target} aside")
+        if not fs.rename(status.getPath(), target):
+            if fs.exists(retired):
+                fs.rename(retired, target)
+            raise OSError(f"could not move {status.getPath()} into place")
+        if fs.exists(retired):
+            fs.delete(retired, True)
+    fs.delete(staged_root, True)
+    return spark.read.parquet(path)
+
+
+def write_snapshot_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
+    """``write_snapshot`` for a table partitioned by ``partition_col``."""
+    spark = df.sparkSession
+    recover_snapshot(spark, path)
+    token = uuid.uuid4().hex
+    staging = f"{path.rstrip('/')}.__staging-{token}"
+    df.write.mode("errorifexists").partitionBy(partition_col).parquet(staging)
+    fs, target = _fs(spark, path)
+    _, staged = _fs(spark, staging)
+    if fs.exists(target):
+        _, retired = _fs(spark, f"{path.rstrip('/')}.__retired-{token}")
+        if not fs.rename(target, retired):
+            raise OSError(f"could not move {path} aside")
+        if not fs.rename(staged, target):
+            fs.rename(retired, target)
+            raise OSError(f"could not move {staging} into place")
+        fs.delete(retired, True)
+    elif not fs.rename(staged, target):
+        raise OSError(f"could not move {staging} into place")
+
+
 def write_text_sorted(lines: DataFrame, path: str, order: Sequence[str], column: str = "line") -> None:
     """Write one text column in total order (range partitions, sorted within),
     e.g. the results digest: concatenating the part files in name order gives

@@ -123,3 +123,51 @@ def test_interrupted_swap_is_recovered(spark, tmp_path):
     os.rename(path, path + ".__retired-deadbeef")  # driver died between the renames
     out = K.upsert_table(spark, _df(spark, [(2, "b", "Y", "d2")]), path, "playerId")
     assert sorted(r.playerId for r in out.collect()) == [1, 2]
+
+
+def test_partition_scoped_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "dwh" / "games_info")
+    schema = "playerId bigint, gameId bigint, goals int, season int"
+    day1 = spark.createDataFrame(
+        [(1, 100, 1, 2023), (2, 100, 0, 2023), (1, 200, 2, 2024), (3, 201, 1, 2024)], schema
+    )
+    K.upsert_partitioned(spark, day1, path, ["playerId", "gameId"], "season")
+    untouched = sorted(os.listdir(os.path.join(path, "season=2023")))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cols = ["playerId", "gameId", "goals", "season"]
+        day2 = spark.createDataFrame([(1, 200, 5, 2024), (4, 202, 0, 2024)], schema)
+        out = sorted(map(tuple, K.upsert_partitioned(spark, day2, path, ["playerId", "gameId"], "season")
+                         .select(*cols).collect()))
+        again = sorted(map(tuple, K.upsert_partitioned(spark, day2, path, ["playerId", "gameId"], "season")
+                           .select(*cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    exp = [(1, 100, 1, 2023), (1, 200, 5, 2024), (2, 100, 0, 2023), (3, 201, 1, 2024), (4, 202, 0, 2024)]
+    assert out == exp and again == exp
+    assert sorted(os.listdir(os.path.join(path, "season=2023"))) == untouched
+    assert [n for n in os.listdir(path) if "__" in n] == []
+    assert [n for n in os.listdir(tmp_path / "dwh") if n != "games_info"] == []
+
+
+def test_partition_scoped_upsert_prunes_the_old_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 1000).selectExpr("id % 10 AS playerId", "id AS gameId", "CAST(id DIV 100 AS INT) AS season") \
+        .write.partitionBy("season").parquet(path)
+    new = spark.createDataFrame([(1, 5, 0)], "playerId bigint, gameId bigint, season int")
+    captured = []
+    orig = K.upsert
+
+    def spy(n, o, keys, dedupe_by=None):
+        captured.append(o)
+        return orig(n, o, keys, dedupe_by)
+
+    K.upsert = spy
+    try:
+        K.upsert_partitioned(spark, new, path, ["playerId", "gameId"], "season")
+    finally:
+        K.upsert = orig
+    plan = captured[0]._jdf.queryExecution().executedPlan().toString()
+    part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "season" in part_filters and ("= 0)" in part_filters or "IN (0)" in part_filters), part_filters

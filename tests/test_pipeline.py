@@ -102,3 +102,18 @@ def test_cards_from_stored_aggregate(spark, tmp_path):
     assert (r.playerId, r.gamesCNT, r.goals, r.points, r.toi, r.age) == (11, 2, 1, 3, 1350, 25)
     goalie = cards_from_aggregate(spark.read.parquet(f"{dwh}/goalies_agg"), "goalie", "2024-06-30", "Gus Olm").first()
     assert (goalie.perc_goals, goalie.save_pct) == (95.24, 95.0)
+
+
+def test_partitioned_games_warehouse(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    part = ("block", "CAST(gameId DIV 2 AS INT)")
+    _land(land, 1)
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=part)
+    _land(land, 2)
+    PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=part)
+    assert sorted(n for n in os.listdir(f"{dwh}/games_info") if n.startswith("block=")) == ["block=0", "block=1"]
+    games = sorted((r.playerId, r.gameId, r.goals) for r in spark.read.parquet(f"{dwh}/games_info").collect())
+    assert games == [(11, 1, 1), (11, 2, 1), (11, 3, 2), (12, 3, 0), (13, 1, None)]
+    PL.mart_and_aggregates(spark, dwh)
+    assert spark.read.parquet(f"{dwh}/players_games_datamart").count() == 5
