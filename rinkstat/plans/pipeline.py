@@ -37,7 +37,12 @@ def _p(root: str, *parts: str) -> str:
 
 
 def teams_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root: str, ds: str) -> DataFrame:
-    """teams.json -> raw/teams/ds=.. -> dwh/teams (id, fullName, triCode)."""
+    """teams.json -> raw/teams/ds=.. -> dwh/teams (id, fullName, triCode).
+
+    Every other batch is driven by this table, so a malformed or empty teams
+    payload fails the run (for the scheduler to retry) instead of replacing
+    the table with nothing; the current table is left as it is.
+    """
     docs = S.read_payload_files(spark, _p(landing_root, "teams.json"), TEAMS_PAYLOAD)
     good, _ = S.split_malformed(docs)
     teams = S.flatten_record_array(good, "data").select(
@@ -45,6 +50,8 @@ def teams_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root:
     )
     K.write_dated_partition(teams, _p(raw_root, "teams"), ds)
     raw = K.read_dated_partition(spark, _p(raw_root, "teams"), ds).select(*TEAM_COLUMNS)
+    if raw.isEmpty():
+        raise ValueError(f"teams payload for {ds} is malformed or empty; dwh/teams left unchanged")
     K.write_snapshot(raw, _p(dwh_root, "teams"))
     return spark.read.parquet(_p(dwh_root, "teams"))
 

@@ -117,3 +117,15 @@ def test_partitioned_games_warehouse(spark, tmp_path):
     assert games == [(11, 1, 1), (11, 2, 1), (11, 3, 2), (12, 3, 0), (13, 1, None)]
     PL.mart_and_aggregates(spark, dwh)
     assert spark.read.parquet(f"{dwh}/players_games_datamart").count() == 5
+
+
+def test_bad_teams_payload_keeps_the_table(spark, tmp_path):
+    import pytest
+
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    _w(f"{land}/teams.json", '{"data": [{"id": 1, ')
+    with pytest.raises(ValueError):
+        PL.teams_batch(spark, land, raw, dwh, "2024-01-02")
+    assert spark.read.parquet(f"{dwh}/teams").count() == 2
