@@ -312,6 +312,20 @@ def q_results_digest(spark, sf):
     return D.digest_lines(_board_rows(spark, sf, take_while=True), "board")
 
 
+def q_results_digest_text(spark, sf):
+    return D.digest_text(D.digest_lines(_board_rows(spark, sf, take_while=True), "board"), "board")
+
+
+def q_player_card_text_skater(spark, sf):
+    cards = C.cards_from_rolled(PS.card_aggregate(*_base(spark, sf), "skater"), "skater", V.AS_OF)
+    return C.card_text(cards, "skater").select("playersFIO", "card")
+
+
+def q_player_card_text_goalie(spark, sf):
+    cards = C.cards_from_rolled(PS.card_aggregate(*_base(spark, sf), "goalie"), "goalie", V.AS_OF)
+    return C.card_text(cards, "goalie").select("playersFIO", "card")
+
+
 # -- sinks (write, then read back) -------------------------------------------
 
 def q_write_dated_partition(spark, sf):
@@ -380,6 +394,9 @@ QUERIES: dict[str, Query] = {
     "result_lines": q_result_lines,
     "date_change_marks": q_date_change_marks,
     "results_digest": q_results_digest,
+    "results_digest_text": q_results_digest_text,
+    "player_card_text_skater": q_player_card_text_skater,
+    "player_card_text_goalie": q_player_card_text_goalie,
     "write_dated_partition": q_write_dated_partition,
     "write_snapshot": q_write_snapshot,
 }

@@ -33,3 +33,16 @@ def digest_lines(rows: DataFrame, board: str) -> DataFrame:
     return rows.select(
         board, "date_pos", "game_pos", F.concat(sep, result_line(*RESULT_COLUMNS)).alias("line")
     )
+
+
+def digest_text(lines: DataFrame, board: str) -> DataFrame:
+    """One digest text per board: its lines concatenated in display order.
+
+    A board is one landed scoreboard document, so the group is bounded by
+    what one document holds; a table without that bound should be consumed
+    as ordered lines (:func:`digest_lines`) instead.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("date_pos", "game_pos", "line")))
+    return lines.groupBy(board).agg(
+        F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("digest")
+    )

@@ -184,3 +184,42 @@ ORACLE_SQL.update({
     ),
     "write_snapshot": ORACLE_SQL["upsert_composite_key"],
 })
+
+
+def _card_text_sql(kind: str) -> str:
+    nl = " || chr(10) || "
+    parts = [
+        "'Born: ' || CAST(birthDate AS VARCHAR)",
+        "'Age: ' || CAST(age AS VARCHAR)",
+        "'Country: ' || birthCountry",
+        "'City: ' || birthCity",
+        "'Team: ' || teamFullName || ' (' || teamAbbrev || ')'",
+        "'Games: ' || CAST(gamesCNT AS VARCHAR)",
+    ]
+    if kind == "goalie":
+        parts += [
+            "'Games started: ' || CAST(gamesStarted AS VARCHAR)",
+            "'Shutouts: ' || CAST(shutouts AS VARCHAR)",
+            "'Saved shots, %: ' || CAST(perc_goals AS VARCHAR)",
+        ]
+    parts.append("'Average time on ice: ' || CAST(avg_toi_min AS VARCHAR) || ' min, ' || CAST(avg_toi_sec AS VARCHAR) || ' s'")
+    if kind == "skater":
+        parts.append("'Points: ' || CAST(points AS VARCHAR)")
+    parts.append("'Goals: ' || CAST(goals AS VARCHAR)")
+    if kind == "skater":
+        parts.append("'Plus/minus: ' || CAST(plusMinus AS VARCHAR)")
+    parts.append("'Penalty minutes: ' || CAST(pim AS VARCHAR)")
+    # concat_ws skips NULL parts, as Spark's does
+    body = "concat_ws(chr(10), " + ", ".join(parts) + ")"
+    return _W + f"SELECT playersFIO, {body} AS card FROM ({card_sql(kind)}) c"
+
+
+ORACLE_SQL.update({
+    "results_digest_text": with_views(_BOARD)
+    + (
+        "SELECT board, string_agg(CASE WHEN new_date THEN chr(10) ELSE '' END || "
+        f"{_LINE}, '' ORDER BY date_pos, game_pos) AS digest FROM marked GROUP BY board"
+    ),
+    "player_card_text_skater": _card_text_sql("skater"),
+    "player_card_text_goalie": _card_text_sql("goalie"),
+})
