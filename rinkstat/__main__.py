@@ -24,18 +24,23 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--dwh", required=True, help="warehouse root")
     ap.add_argument("--ds", help="run date YYYY-MM-DD")
     ap.add_argument("--num-files", type=int, default=None)
+    ap.add_argument("--games-partition", nargs=2, metavar=("COLUMN", "SQL_EXPR"),
+                    help="keep games_info partitioned, e.g. season 'CAST(gameId DIV 1000000 AS INT)'")
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password")
     ap.add_argument("--jdbc-driver")
     args = ap.parse_args(argv)
+    part = tuple(args.games_partition) if args.games_partition else None
 
     spark = SparkSession.builder.appName(f"rinkstat-{args.batch}").getOrCreate()
     if args.batch == "teams":
         PL.teams_batch(spark, args.landing, args.raw, args.dwh, args.ds)
     elif args.batch == "players":
-        _, rejected = PL.players_batch(spark, args.landing, args.raw, args.dwh, args.ds)
+        _, rejected = PL.players_batch(spark, args.landing, args.raw, args.dwh, args.ds, games_partition=part)
         rejected.groupBy("kind").count().show(truncate=False)
+    elif args.batch == "aggregates" and part is not None:
+        PL.refresh_aggregates(spark, args.dwh, part, args.raw, args.ds, args.num_files)
     elif args.batch == "aggregates":
         PL.mart_and_aggregates(spark, args.dwh, args.num_files)
     elif args.batch == "schedule":

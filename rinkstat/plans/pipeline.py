@@ -26,7 +26,7 @@ from ..sinks import parquet as K
 from ..sinks.jdbc import write_jdbc
 from ..sources import payloads as S
 from .mart import player_game_mart
-from .player_stats import game_partials, player_aggregate
+from .player_stats import PLAYER_GRAIN, game_partials, player_aggregate
 
 TEAM_COLUMNS = ["id", "fullName", "triCode"]
 SCHEDULE_COLUMNS = ["away_teams", "home_teams", "away_result", "home_result", "date_play"]
@@ -130,6 +130,51 @@ def mart_and_aggregates(spark: SparkSession, dwh_root: str, num_files: int | Non
         K.write_snapshot(agg, _p(dwh_root, table), num_files, sort_by=["playerId"])
 
 
+PARTIALS_TABLE = "_game_partials"
+
+
+def refresh_aggregates(
+    spark: SparkSession,
+    dwh_root: str,
+    games_partition: tuple[str, str],
+    raw_root: str | None = None,
+    ds: str | None = None,
+    num_files: int | None = None,
+) -> None:
+    """skaters_agg / goalies_agg from game partials kept per partition.
+
+    The partials (count and sums per player, team, home/road and
+    partition) depend only on ``games_info``, so a run recomputes them just
+    for the partitions (e.g. seasons) its raw game logs of ``ds`` touch and
+    swaps those in; with no ``ds`` (or no partials yet) all are built.
+    ``games_partition`` is the same ``(column, sql_expr)`` given to
+    :func:`players_batch`; the touched values come from the day's raw rows
+    alone.  The aggregates are then re-derived from the partials table —
+    one row per group, not per game — joined to the current player and team
+    dimensions, so a changed current team still reaches every season.
+    """
+    games = spark.read.parquet(_p(dwh_root, "games_info"))
+    players = spark.read.parquet(_p(dwh_root, "players_info"))
+    teams = spark.read.parquet(_p(dwh_root, "teams"))
+    partials_path = _p(dwh_root, PARTIALS_TABLE)
+    partition_col, partition_expr = games_partition
+    grain = PLAYER_GRAIN + [partition_col]
+    if ds is not None and raw_root is not None and K.table_exists(spark, partials_path):
+        day = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds)
+        touched = K.touched_partition_values(
+            day.select(F.expr(partition_expr).alias(partition_col)), partition_col
+        )
+        if touched:
+            subset = games.filter(K.in_partitions(partition_col, touched))
+            K.replace_partitions(game_partials(subset, grain), partials_path, partition_col)
+    else:
+        K.write_snapshot_partitioned(game_partials(games, grain), partials_path, partition_col)
+    partials = spark.read.parquet(partials_path)
+    for kind, table in (("skater", "skaters_agg"), ("goalie", "goalies_agg")):
+        agg = player_aggregate(partials, players, teams, kind, pre_aggregated=True)
+        K.write_snapshot(agg, _p(dwh_root, table), num_files, sort_by=["playerId"])
+
+
 def schedule_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root: str, ds: str) -> DataFrame:
     """scoreboard.json -> take-while rows -> raw/shedule/ds=.. -> dwh/shedule
     (replaced, not merged), keeping the display positions."""

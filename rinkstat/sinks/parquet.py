@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import upsert
@@ -162,17 +162,38 @@ def upsert_partitioned(
         write_snapshot_partitioned(upsert(new, None, spark_keys, dedupe_by), path, partition_col)
         return spark.read.parquet(path)
     old = spark.read.parquet(path)
-    touched = [r[0] for r in new.select(partition_col).distinct().collect()]
-    in_touched = F.col(partition_col).isin([v for v in touched if v is not None])
-    if any(v is None for v in touched):
-        in_touched = in_touched | F.col(partition_col).isNull()
-    old_touched = old.filter(in_touched)
+    old_touched = old.filter(in_partitions(partition_col, touched_partition_values(new, partition_col)))
     merged = upsert(new, old_touched, spark_keys, dedupe_by).select(*old.columns)
+    replace_partitions(merged, path, partition_col)
+    return spark.read.parquet(path)
+
+
+def touched_partition_values(df: DataFrame, partition_col: str) -> list:
+    """Distinct partition values of ``df`` — partition metadata, bounded by
+    the table's partition count, not by its rows."""
+    return [r[0] for r in df.select(partition_col).distinct().collect()]
+
+
+def in_partitions(partition_col: str, values: Sequence) -> Column:
+    """Static partition filter for ``values`` (NULL means the default partition)."""
+    cond = F.col(partition_col).isin([v for v in values if v is not None])
+    if any(v is None for v in values):
+        cond = cond | F.col(partition_col).isNull()
+    return cond
+
+
+def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Replace the partitions present in ``df`` (and only those) in the
+    partitioned table at ``path``: staged write, then one rename swap per
+    partition directory.  Rerunning with the same ``df`` is idempotent."""
+    spark = df.sparkSession
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
-    merged.write.mode("errorifexists").partitionBy(partition_col).parquet(staging)
+    df.write.mode("errorifexists").partitionBy(partition_col).parquet(staging)
     fs, staged_root = _fs(spark, staging)
     _, target_root = _fs(spark, path)
+    if not fs.exists(target_root):
+        fs.mkdirs(target_root)
     jvm = spark.sparkContext._jvm
     for status in fs.listStatus(staged_root):
         name = status.getPath().getName()
@@ -189,7 +210,6 @@ def upsert_partitioned(
         if fs.exists(retired):
             fs.delete(retired, True)
     fs.delete(staged_root, True)
-    return spark.read.parquet(path)
 
 
 def write_snapshot_partitioned(df: DataFrame, path: str, partition_col: str) -> None:

@@ -129,3 +129,22 @@ def test_bad_teams_payload_keeps_the_table(spark, tmp_path):
     with pytest.raises(ValueError):
         PL.teams_batch(spark, land, raw, dwh, "2024-01-02")
     assert spark.read.parquet(f"{dwh}/teams").count() == 2
+
+
+def test_incremental_aggregates_equal_full_rebuild(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    part = ("block", "CAST(gameId DIV 2 AS INT)")
+    _land(land, 1)
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=part)
+    PL.refresh_aggregates(spark, dwh, part, raw, "2024-01-01")
+    _land(land, 2)
+    PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=part)
+    before = sorted(os.listdir(f"{dwh}/_game_partials/block=0"))
+    PL.refresh_aggregates(spark, dwh, part, raw, "2024-01-02")
+    inc = {t: sorted(map(tuple, spark.read.parquet(f"{dwh}/{t}").collect())) for t in ("skaters_agg", "goalies_agg")}
+    PL.mart_and_aggregates(spark, dwh)  # full rebuild from games_info
+    full = {t: sorted(map(tuple, spark.read.parquet(f"{dwh}/{t}").collect())) for t in ("skaters_agg", "goalies_agg")}
+    assert inc == full and inc["skaters_agg"]
+    # day 2 touched games 2 and 3 (blocks 1); block 0 (game 1) was not rewritten
+    assert sorted(os.listdir(f"{dwh}/_game_partials/block=0")) == before
