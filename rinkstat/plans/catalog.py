@@ -347,6 +347,41 @@ def q_write_snapshot(spark, sf):
     return K.upsert_table(spark, V.new_games(spark, sf), path, keys)
 
 
+# Warehouse partitioning of games for the partition-scoped paths: blocks of
+# 4096 game ids (a stand-in for a season, which is a function of the id).
+GAME_BLOCK = ("block", "CAST(floor(gameId / 4096) AS INT)")
+
+
+def q_upsert_partitioned(spark, sf):
+    """Day-1 games, then the day-2 merge rewriting only touched partitions."""
+    path = scratch_dir(spark, "dwh-games-part")
+    col, expr = GAME_BLOCK
+    keys = ["playerId", "gameId"]
+    K.upsert_partitioned(spark, V.old_games(spark, sf).withColumn(col, F.expr(expr)), path, keys, col)
+    return K.upsert_partitioned(spark, V.new_games(spark, sf).withColumn(col, F.expr(expr)), path, keys, col)
+
+
+def q_incremental_skater_aggregate(spark, sf):
+    """Skater aggregate kept up to date from per-partition game partials:
+    full build on day 1, then only the partitions day 2 touches."""
+    from . import pipeline as PL
+
+    root = scratch_dir(spark, "incremental")
+    dwh, raw = os.path.join(root, "dwh"), os.path.join(root, "raw")
+    col, expr = GAME_BLOCK
+    keys = ["playerId", "gameId"]
+    K.write_snapshot(V.teams(spark, sf), os.path.join(dwh, "teams"))
+    K.write_snapshot(V.players(spark, sf), os.path.join(dwh, "players_info"))
+    games_path = os.path.join(dwh, "games_info")
+    K.upsert_partitioned(spark, V.old_games(spark, sf).withColumn(col, F.expr(expr)), games_path, keys, col)
+    PL.refresh_aggregates(spark, dwh, GAME_BLOCK)
+    new = V.new_games(spark, sf)
+    K.write_dated_partition(new, os.path.join(raw, "games_info"), V.NEXT_RUN_DATE)
+    K.upsert_partitioned(spark, new.withColumn(col, F.expr(expr)), games_path, keys, col)
+    PL.refresh_aggregates(spark, dwh, GAME_BLOCK, raw, V.NEXT_RUN_DATE)
+    return spark.read.parquet(os.path.join(dwh, "skaters_agg"))
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
     "project_columns": q_project_columns,
@@ -399,4 +434,6 @@ QUERIES: dict[str, Query] = {
     "player_card_text_goalie": q_player_card_text_goalie,
     "write_dated_partition": q_write_dated_partition,
     "write_snapshot": q_write_snapshot,
+    "upsert_partitioned": q_upsert_partitioned,
+    "incremental_skater_aggregate": q_incremental_skater_aggregate,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..schemas import AGG_KEYS
 from . import league_views as V
 from .oracle import (
-    BASE, aggregate_sql, card_rows_sql, card_sql, games_cte, players_cte,
+    BASE, MART_CTE, aggregate_sql, card_rows_sql, card_sql, games_cte, players_cte,
     rollup_sql, teams_cte, toi_seconds_sql, with_views,
 )
 
@@ -223,3 +223,23 @@ ORACLE_SQL.update({
     "player_card_text_skater": _card_text_sql("skater"),
     "player_card_text_goalie": _card_text_sql("goalie"),
 })
+
+
+_BLOCK = "CAST(floor(gameId / 4096) AS INTEGER)"
+_UPSERTED_GAMES = (
+    "games AS (SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (playerId, gameId))"
+)
+
+ORACLE_SQL.update({
+    "upsert_partitioned": _OLD_NEW_GAMES
+    + (
+        f"SELECT *, {_BLOCK} AS block FROM new UNION ALL "
+        f"SELECT *, {_BLOCK} AS block FROM old ANTI JOIN new USING (playerId, gameId)"
+    ),
+    "incremental_skater_aggregate": with_views(
+        teams_cte(), players_cte(),
+        games_cte("old", V.OLD_GAMES_WHERE),
+        games_cte("new", V.NEW_GAMES_WHERE, V.NEW_GAMES_OVERRIDES),
+        _UPSERTED_GAMES, MART_CTE,
+    ) + aggregate_sql("skater"),
+})
