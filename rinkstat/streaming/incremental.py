@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import CORRUPT_COLUMN, GAME_LOG_PAYLOAD
-from ..sinks.parquet import upsert_table
+from ..sinks.parquet import upsert_partitioned, upsert_table
 from ..sources import payloads as S
 
 GAME_KEYS = ["playerId", "gameId"]
@@ -39,15 +39,22 @@ def start_game_log_ingest(
     checkpoint_location: str,
     rejects_path: str | None = None,
     known_players: DataFrame | None = None,
+    games_partition: tuple[str, str] | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``query.awaitTermination()`` waits for the run to end.
 
     ``known_players`` (a DataFrame with ``playerId``) restricts the ingest to
     known keys with a semi-join, as the batch ingest does.
+    ``games_partition=(column, sql_expr)`` merges each batch into a table
+    partitioned by a function of the game id, rewriting only the partitions
+    the batch touches; ``max_files_per_trigger`` bounds a batch's size.
     """
+    reader = spark.readStream.format("text").option("wholetext", "true")
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     texts = (
-        spark.readStream.format("text")
-        .option("wholetext", "true")
+        reader
         .load(landing_dir)
         .select(
             F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias(S.ENTITY_COLUMN),
@@ -61,7 +68,13 @@ def start_game_log_ingest(
             rows = rows.join(known_players.select("playerId"), "playerId", "left_semi")
         if rejects_path is not None:
             rejected.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(rejects_path)
-        upsert_table(batch.sparkSession, rows, table_path, GAME_KEYS)
+        if games_partition is None:
+            upsert_table(batch.sparkSession, rows, table_path, GAME_KEYS)
+        else:
+            column, expr = games_partition
+            upsert_partitioned(
+                batch.sparkSession, rows.withColumn(column, F.expr(expr)), table_path, GAME_KEYS, column
+            )
 
     return (
         texts.writeStream.foreachBatch(merge_batch)

@@ -31,3 +31,16 @@ def test_available_now_ingest_is_incremental(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted((r.playerId, r.gameId, r.goals) for r in spark.read.parquet(table).collect())
     assert got == [(11, 1, 1), (11, 2, 0), (13, 7, 2)]
+
+
+def test_stream_merges_into_partitioned_table(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    table, ckpt = str(tmp_path / "games_info"), str(tmp_path / "ckpt")
+    for pid, games in ((11, [_g(1, 1), _g(5, 0)]), (12, [_g(2, 3)]), (13, [_g(6, 1)])):
+        _log(landing / f"{pid}.json", games)
+    q = start_game_log_ingest(spark, str(landing), table, ckpt, games_partition=("block", "CAST(gameId DIV 4 AS INT)"),
+                              max_files_per_trigger=1)
+    q.awaitTermination(180)
+    got = sorted((r.playerId, r.gameId, r.goals, r.block) for r in spark.read.parquet(table).collect())
+    assert got == [(11, 1, 1, 0), (11, 5, 0, 1), (12, 2, 3, 0), (13, 6, 1, 1)]
