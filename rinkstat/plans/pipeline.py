@@ -6,9 +6,11 @@ decides when.  Hand-off between stages is parquet, as in a warehouse:
   landing/<entity>/...json  --ingest-->  raw/<table>/ds=<ds>  --merge-->  dwh/<table>
 
 ``landing_root``, ``raw_root`` and ``dwh_root`` are caller-supplied paths on
-a shared file system.  Nothing is collected to the driver: the known-key
-driving sets (teams -> rosters, players -> game logs) are semi-joins on the
-file name, not driver loops.
+a shared file system.  No data rows are collected to the driver: the
+known-key driving sets (teams -> rosters, players -> game logs) are
+semi-joins on the file name, not driver loops.  The driver only sees
+metadata (the partition values a merge touches, whether the teams payload
+is empty).
 """
 
 from __future__ import annotations
@@ -29,7 +31,6 @@ from .mart import player_game_mart
 from .player_stats import PLAYER_GRAIN, game_partials, player_aggregate
 
 TEAM_COLUMNS = ["id", "fullName", "triCode"]
-SCHEDULE_COLUMNS = ["away_teams", "home_teams", "away_result", "home_result", "date_play"]
 
 
 def _p(root: str, *parts: str) -> str:
