@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
         _, rejected = PL.players_batch(spark, args.landing, args.raw, args.dwh, args.ds, games_partition=part)
         rejected.groupBy("kind").count().show(truncate=False)
     elif args.batch == "aggregates" and part is not None:
+        PL.refresh_mart(spark, args.dwh, part, args.raw, args.ds)
         PL.refresh_aggregates(spark, args.dwh, part, args.raw, args.ds, args.num_files)
     elif args.batch == "aggregates":
         PL.mart_and_aggregates(spark, args.dwh, args.num_files)

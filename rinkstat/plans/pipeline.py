@@ -176,6 +176,69 @@ def refresh_aggregates(
         K.write_snapshot(agg, _p(dwh_root, table), num_files, sort_by=["playerId"])
 
 
+MART_TABLE = "players_games_datamart"
+MART_PLAYERS = "_mart_players"
+MART_TEAMS = "_mart_teams"
+
+
+def _changed_keys(current: DataFrame, previous: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Keys whose row in ``current`` is new or differs from ``previous``
+    (NULL-safe); both are dimension-sized."""
+    cols = [c for c in current.columns if c not in ignore]
+    return current.select(*cols).exceptAll(previous.select(*cols)).select(key).distinct()
+
+
+def refresh_mart(
+    spark: SparkSession,
+    dwh_root: str,
+    games_partition: tuple[str, str],
+    raw_root: str | None = None,
+    ds: str | None = None,
+    track_updated_dt: bool = True,
+) -> None:
+    """Keep ``players_games_datamart`` partitioned like ``games_info`` and
+    rebuild only the partitions that can have changed.
+
+    A partition changes when the day's game logs touch it, or when it holds
+    a game of a player whose dimension row changed since the last build (the
+    mart copies current player attributes into every game).  Changed players
+    come from comparing ``players_info`` with the copy the mart was built
+    from — a dimension-sized comparison; a teams change (yearly) or a first
+    run rebuilds everything.  By default the comparison includes the roster
+    stamp ``updatedDt``, so the result equals a full rebuild exactly; with
+    ``track_updated_dt=False`` a re-stamped but otherwise unchanged player
+    does not trigger a rebuild, and the mart's ``updatedDt`` then means "as
+    of the partition's last rebuild".
+    """
+    column, expr = games_partition
+    games = spark.read.parquet(_p(dwh_root, "games_info"))
+    players = spark.read.parquet(_p(dwh_root, "players_info"))
+    teams = spark.read.parquet(_p(dwh_root, "teams"))
+    mart_path = _p(dwh_root, MART_TABLE)
+    snap_players, snap_teams = _p(dwh_root, MART_PLAYERS), _p(dwh_root, MART_TEAMS)
+    full = not (
+        K.table_exists(spark, mart_path) and K.table_exists(spark, snap_players)
+        and K.table_exists(spark, snap_teams)
+    )
+    if not full:
+        full = not _changed_keys(teams, spark.read.parquet(snap_teams), "triCode").isEmpty()
+    if full:
+        K.write_snapshot_partitioned(player_game_mart(games, players, teams), mart_path, column)
+    else:
+        ignore = () if track_updated_dt else ("updatedDt",)
+        changed = _changed_keys(players, spark.read.parquet(snap_players), "playerId", ignore)
+        by_players = games.select("playerId", column).join(changed, "playerId", "left_semi")
+        touched = set(K.touched_partition_values(by_players, column))
+        if ds is not None and raw_root is not None:
+            day = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds)
+            touched |= set(K.touched_partition_values(day.select(F.expr(expr).alias(column)), column))
+        if touched:
+            subset = games.filter(K.in_partitions(column, sorted(touched, key=lambda v: (v is None, v))))
+            K.replace_partitions(player_game_mart(subset, players, teams), mart_path, column)
+    K.write_snapshot(players, snap_players)
+    K.write_snapshot(teams, snap_teams)
+
+
 def schedule_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root: str, ds: str) -> DataFrame:
     """scoreboard.json -> take-while rows -> raw/shedule/ds=.. -> dwh/shedule
     (replaced, not merged), keeping the display positions."""

@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from rinkstat.plans import pipeline as PL
 from rinkstat.plans.digest import digest_lines
 
@@ -148,3 +150,32 @@ def test_incremental_aggregates_equal_full_rebuild(spark, tmp_path):
     assert inc == full and inc["skaters_agg"]
     # day 2 touched games 2 and 3 (blocks 1); block 0 (game 1) was not rewritten
     assert sorted(os.listdir(f"{dwh}/_game_partials/block=0")) == before
+
+
+def test_incremental_mart_equals_full_rebuild(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    part = ("block", "CAST(gameId DIV 2 AS INT)")
+    _land(land, 1)
+    # player 13 also played game 4 (block 2); nothing about 13 changes on day 2
+    _w(f"{land}/gamelog/13.json", {"gameLog": [
+        _game(1, "ALP", "H", "60:00", shotsAgainst=20, goalsAgainst=1, gamesStarted=1, shutouts=0),
+        _game(4, "ALP", "R", "60:00", shotsAgainst=10, goalsAgainst=2, gamesStarted=1, shutouts=0)]})
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=part)
+    PL.refresh_mart(spark, dwh, part, raw, "2024-01-01")
+    untouched = sorted(os.listdir(f"{dwh}/players_games_datamart/block=2"))
+    _land(land, 2)  # player 11 moves to BET (blocks 0 and 1), games 2 and 3 (block 1) arrive
+    PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=part)
+    PL.refresh_mart(spark, dwh, part, raw, "2024-01-02")
+    inc = spark.read.parquet(f"{dwh}/players_games_datamart")
+    cols = sorted(inc.columns)
+    inc_rows = sorted(map(tuple, inc.select(*cols).collect()), key=str)
+    from rinkstat.plans.mart import player_game_mart
+
+    full = player_game_mart(spark.read.parquet(f"{dwh}/games_info"), spark.read.parquet(f"{dwh}/players_info"),
+                            spark.read.parquet(f"{dwh}/teams"))
+    full_rows = sorted(map(tuple, full.withColumn("block", F.expr(part[1])).select(*cols).collect()), key=str)
+    assert inc_rows == full_rows and len(inc_rows) == 6
+    assert sorted(os.listdir(f"{dwh}/players_games_datamart/block=2")) == untouched
+    moved = [r for r in inc.collect() if r.playerId == 11]
+    assert {r.currentTeamFullName for r in moved} == {"Beta Club"}
