@@ -382,6 +382,29 @@ def q_incremental_skater_aggregate(spark, sf):
     return spark.read.parquet(os.path.join(dwh, "skaters_agg"))
 
 
+def q_incremental_mart(spark, sf):
+    """Mart kept up to date by partition: day-1 build, then the day-2 roster
+    and game merges followed by a refresh of only the affected partitions."""
+    from . import pipeline as PL
+
+    root = scratch_dir(spark, "incremental-mart")
+    dwh, raw = os.path.join(root, "dwh"), os.path.join(root, "raw")
+    col, expr = GAME_BLOCK
+    keys = ["playerId", "gameId"]
+    K.write_snapshot(V.teams(spark, sf), os.path.join(dwh, "teams"))
+    players_path = os.path.join(dwh, "players_info")
+    games_path = os.path.join(dwh, "games_info")
+    K.upsert_table(spark, V.old_players(spark, sf), players_path, "playerId")
+    K.upsert_partitioned(spark, V.old_games(spark, sf).withColumn(col, F.expr(expr)), games_path, keys, col)
+    PL.refresh_mart(spark, dwh, GAME_BLOCK)
+    K.upsert_table(spark, V.new_players(spark, sf), players_path, "playerId")
+    new = V.new_games(spark, sf)
+    K.write_dated_partition(new, os.path.join(raw, "games_info"), V.NEXT_RUN_DATE)
+    K.upsert_partitioned(spark, new.withColumn(col, F.expr(expr)), games_path, keys, col)
+    PL.refresh_mart(spark, dwh, GAME_BLOCK, raw, V.NEXT_RUN_DATE)
+    return spark.read.parquet(os.path.join(dwh, PL.MART_TABLE))
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
     "project_columns": q_project_columns,
@@ -436,4 +459,5 @@ QUERIES: dict[str, Query] = {
     "write_snapshot": q_write_snapshot,
     "upsert_partitioned": q_upsert_partitioned,
     "incremental_skater_aggregate": q_incremental_skater_aggregate,
+    "incremental_mart": q_incremental_mart,
 }

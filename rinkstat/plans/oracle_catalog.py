@@ -243,3 +243,13 @@ ORACLE_SQL.update({
         _UPSERTED_GAMES, MART_CTE,
     ) + aggregate_sql("skater"),
 })
+
+ORACLE_SQL["incremental_mart"] = with_views(
+    teams_cte(),
+    players_cte("old_p", V.OLD_PLAYERS_WHERE),
+    players_cte("new_p", V.NEW_PLAYERS_WHERE, V.NEW_PLAYERS_OVERRIDES),
+    "players AS (SELECT * FROM new_p UNION ALL SELECT * FROM old_p ANTI JOIN new_p USING (playerId))",
+    games_cte("old", V.OLD_GAMES_WHERE),
+    games_cte("new", V.NEW_GAMES_WHERE, V.NEW_GAMES_OVERRIDES),
+    _UPSERTED_GAMES, MART_CTE,
+) + f"SELECT *, {_BLOCK} AS block FROM mart"
