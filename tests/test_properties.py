@@ -81,3 +81,38 @@ def test_change_marks_match_a_lag_loop(spark, rows):
         exp[(b, blk, pos)] = prev is not None and prev[0] == b and prev[1] != blk
         prev = (b, blk)
     assert got == exp
+
+
+@settings(max_examples=1, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 8), st.integers(0, 10**6), st.integers(0, 99)), min_size=30, max_size=90,
+                unique_by=lambda r: (r[0], r[1])))
+def test_dedupe_latest_keeps_the_greatest(spark, rows):
+    from rinkstat.operators.merge import dedupe_latest
+
+    df = spark.createDataFrame(rows, "k int, ts int, v int")
+    got = {r.k: (r.ts, r.v) for r in dedupe_latest(df, "k", "ts").collect()}
+    exp = {}
+    for k, ts, v in rows:
+        if k not in exp or ts > exp[k][0]:
+            exp[k] = (ts, v)
+    assert got == exp
+
+
+def test_partitioned_upsert_equals_plain_upsert_over_days(spark, tmp_path):
+    import random
+
+    from rinkstat.operators.merge import upsert
+    from rinkstat.sinks.parquet import upsert_partitioned
+
+    rnd = random.Random(17)
+    schema = "playerId int, gameId int, goals int, season int"
+    path = str(tmp_path / "t")
+    plain = None
+    for day in range(4):
+        rows = {(rnd.randrange(0, 6), rnd.randrange(0, 40)): rnd.randrange(0, 5) for _ in range(25)}
+        new = spark.createDataFrame([(p, g, v, g // 10) for (p, g), v in rows.items()], schema)
+        got = upsert_partitioned(spark, new, path, ["playerId", "gameId"], "season")
+        got_rows = sorted(map(tuple, got.select("playerId", "gameId", "goals", "season").collect()))
+        plain = upsert(new, plain, ["playerId", "gameId"])
+        plain = spark.createDataFrame(sorted(map(tuple, plain.collect())), schema)
+        assert got_rows == sorted(map(tuple, plain.collect())), day
