@@ -1,0 +1,79 @@
+import hashlib
+import math
+
+from pyspark.sql import functions as F
+
+from rinkstat.llm import mixing
+from rinkstat.llm.common import word_count
+
+from .data import documents, frame, words
+
+
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    total, target, open_ = 1.5 * sum(sizes.values()), {}, list(names)
+    while open_:
+        level = (total - sum(target.values())) / sum(weight[s] for s in open_)
+        over = [s for s in open_ if level * weight[s] > 2 * sizes[s]]
+        if not over:
+            target |= {s: level * weight[s] for s in open_}
+            break
+        target |= {s: 2.0 * sizes[s] for s in over}
+        open_ = [s for s in open_ if s not in over]
+    return target
+
+
+def brute_mix(rows, weight, seed=20):
+    sizes = {}
+    for _, text, _, source, _ in rows:
+        sizes[source] = sizes.get(source, 0) + len(words(text))
+    target, out = brute_targets(sizes), {}
+    for s in sizes:
+        epochs = math.floor(target[s] / max(sizes[s], 1))
+        rest, used, order = target[s] - epochs * sizes[s], 0, []
+        for d, text, _, source, _ in rows:
+            if source == s:
+                u = (int(hashlib.md5(f"{seed}:{d}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                order.append((-math.log(u) / weight(d), d, len(words(text))))
+        for _, d, n in sorted(order):
+            more = rest > 0 and used + n / 2 <= rest
+            used += n
+            out[d] = (s, n, sizes[s], target[s], n * (epochs + more))
+    return out
+
+
+def run(spark, rows, bucket_rows=3):
+    docs = frame(spark, rows).withColumn("size", word_count("text")).withColumn("target", F.lit("clash"))
+    weight = F.when(F.col("doc_id") % 2 == 0, 1.0).otherwise(0.25)
+    plan = mixing.mix_plan(docs, "size", weight, bucket_rows=bucket_rows)
+    return mixing.apply_mix(docs, plan, "size", weight)
+
+
+def test_mix_equals_brute_force(spark):
+    rows = documents()
+    want = brute_mix(rows, lambda d: 1.0 if d % 2 == 0 else 0.25)
+    for bucket_rows in (2, 1000):
+        got = {r.doc_id: r for r in run(spark, rows, bucket_rows).collect()}
+        assert got.keys() == want.keys()
+        for d, (s, n, size, target, taken) in want.items():
+            r = got[d]
+            assert (r.source, r["size"], r.source_size, r.taken) == (s, n, size, taken), d
+            assert math.isclose(r.target, target, abs_tol=1e-6)
+
+
+def test_sources_come_near_their_targets(spark):
+    rows = documents(n=200)
+    longest = {}
+    for r in (got := run(spark, rows).collect()):
+        longest[r.source] = max(longest.get(r.source, 0), r["size"])
+        assert r.taken <= 2 * r["size"]
+    for s in longest:
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= longest[s] / 2 + 1e-6
+
+
+def test_empty_table_and_no_words(spark):
+    assert run(spark, []).count() == 0
+    got = run(spark, [(1, None, None, None, 0), (2, "", None, "a", 0)]).collect()
+    assert [r.taken for r in got] == [0, 0]
