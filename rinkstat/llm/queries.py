@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_rules, mixing, packing, shard
+from ..session import scratch_dir
+from . import decision_rules, mixing, near_dup, packing, secrets, shard, substring, version_sketch, warc
 from .common import stored, table, word_count
 
 SYMBOL_CHARS = "#*$%&|<>"
@@ -36,6 +37,34 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_chunked_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    manifest = warc.write_archives(warc.with_revisits(table(spark, sf, "pages").select("page_id", "url", "html")), folder)
+    back = warc.records_of(warc.read_chunks(manifest, folder, with_data=False))
+    is_response = F.col("record_type") == "response"
+    return back.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        F.when(is_response, F.col("stored_bytes")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
+        F.when(is_response, F.col("stored_digest")).otherwise(F.col("declared_digest")).alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op4_seed_and_extend(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.dedup_substrings(table(spark, sf, "documents").select("doc_id", "text")).drop("kept_text")
+
+
+def op5_invertible_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    rows = version_sketch.edited_and_next(table(spark, sf, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256",
+        version_sketch.fingerprint(F.col("keys")).alias("fingerprint"),
+        version_sketch.fingerprint(F.col("edited_keys")).alias("edited_fingerprint"),
+        version_sketch.likeness(F.col("keys"), F.col("edited_keys")).alias("near_edited"),
+        version_sketch.likeness(F.col("keys"), F.col("next_keys")).alias("near_next"),
+    )
+
+
 def op6_feistel_shards(spark: SparkSession, sf: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = table(spark, sf, "documents").select(
@@ -48,15 +77,36 @@ def op6_feistel_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_multi_index_near_dup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), threshold=85)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     pieces = stored(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")
     return packing.pack(pieces)
 
 
+def op10_trigram_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda s: s["kind"] < len(secrets.BASE_RULES))
+
+    def count(number: int):
+        return F.size(F.filter("secret_spans", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(secrets.BASE_RULES)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("secret_spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_quality_rules, op6_feistel_shards, op9_best_fit_packing)
+    for f in (
+        op1_mix_sources, op2_quality_rules, op3_chunked_warc, op4_seed_and_extend, op5_invertible_sketch,
+        op6_feistel_shards, op8_multi_index_near_dup, op9_best_fit_packing, op10_trigram_secrets,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
