@@ -83,8 +83,8 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     line_start[1:] = breaks
     line_start[offsets] = True
     line_at = np.flatnonzero(line_start[: len(data)])
-    line_end = np.append(line_at[1:], len(data))
-    line_end = line_end - (breaks[line_end - 1] if len(line_end) else 0)
+    line_end = np.append(line_at, len(data))[1:]
+    line_end = line_end - breaks[line_end - 1]
     line_doc = np.searchsorted(offsets, line_at, "right") - 1
     line_hash = np.array([hash(data[a:b].tobytes()) for a, b in zip(line_at, line_end, strict=True)], dtype=np.int64)
     has_word = np.searchsorted(words.starts, line_end) > np.searchsorted(words.starts, line_at)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decision_rules, mixing, near_dup, packing, secrets, shard, substring, version_sketch, warc
+from . import decision_rules, mixing, near_dup, packing, secrets, shard, site_quality, substring, version_sketch, warc
 from .common import stored, table, word_count
 
 SYMBOL_CHARS = "#*$%&|<>"
@@ -77,6 +77,11 @@ def op6_feistel_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_site_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    return site_quality.classify(docs, table(spark, sf, "labels"))
+
+
 def op8_multi_index_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), threshold=85)
 
@@ -105,7 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_quality_rules, op3_chunked_warc, op4_seed_and_extend, op5_invertible_sketch,
-        op6_feistel_shards, op8_multi_index_near_dup, op9_best_fit_packing, op10_trigram_secrets,
+        op6_feistel_shards, op7_site_quality, op8_multi_index_near_dup, op9_best_fit_packing, op10_trigram_secrets,
     )
 }
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_rules, mixing, packing
+from . import decision_rules, mixing, near_dup, packing, secrets
 from .common import stored, table, word_count
 from .queries import noise_weight
 
@@ -20,6 +20,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter("kept").select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates, of rows that share an id one."""
+    found = near_dup.near_duplicates(docs, threshold=80)
+    gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "near-duplicates-gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and ``n_chars`` counted anew where that changed the text."""
+    scanned = secrets.scan(docs)
+    hit = F.size("secret_spans") > 0
+    clean = secrets.redacted(F.col("text"), F.col("secret_spans"))
+    chars = F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return scanned.withColumn("text", clean).withColumn("n_chars", chars).select(docs.columns)
+
+
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it (a row per time)."""
     sized = docs.withColumn("size", word_count("text")).withColumn("weight", noise_weight())
