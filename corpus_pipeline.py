@@ -9,6 +9,8 @@ from rinkstat.llm.common import stored, table
 
 STAGES = [
     ("quality rules", stages.quality_rules),
+    ("near-duplicates", stages.near_duplicates),
+    ("secret scans", stages.secret_scans),
     ("mixing", stages.mixing_to_weights),
     ("packing", stages.best_fit_packing),
 ]
