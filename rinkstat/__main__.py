@@ -30,6 +30,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password")
     ap.add_argument("--jdbc-driver")
+    ap.add_argument("--jdbc-connections", type=int, default=8)
+    ap.add_argument("--dedupe-by", metavar="COLUMN", help="keep one roster row per player, e.g. updatedDt")
     args = ap.parse_args(argv)
     part = tuple(args.games_partition) if args.games_partition else None
 
@@ -37,11 +39,13 @@ def main(argv: list[str] | None = None) -> int:
     if args.batch == "teams":
         PL.teams_batch(spark, args.landing, args.raw, args.dwh, args.ds)
     elif args.batch == "players":
-        _, rejected = PL.players_batch(spark, args.landing, args.raw, args.dwh, args.ds, games_partition=part)
+        _, rejected = PL.players_batch(
+            spark, args.landing, args.raw, args.dwh, args.ds, dedupe_by=args.dedupe_by, games_partition=part
+        )
         rejected.groupBy("kind").count().show(truncate=False)
     elif args.batch == "aggregates" and part is not None:
-        PL.refresh_mart(spark, args.dwh, part, args.raw, args.ds)
-        PL.refresh_aggregates(spark, args.dwh, part, args.raw, args.ds, args.num_files)
+        PL.refresh_mart(spark, args.dwh, part)
+        PL.refresh_aggregates(spark, args.dwh, part, args.num_files)
     elif args.batch == "aggregates":
         PL.mart_and_aggregates(spark, args.dwh, args.num_files)
     elif args.batch == "schedule":
@@ -49,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.batch == "publish":
         PL.publish(
             spark, args.dwh, args.jdbc_url, user=args.jdbc_user, password=args.jdbc_password,
-            driver=args.jdbc_driver,
+            driver=args.jdbc_driver, games_partition=part, num_partitions=args.jdbc_connections,
         )
     return 0
 

@@ -24,11 +24,11 @@ def toi_seconds(toi: ColumnOrName) -> Column:
     failing the job.
     """
     t = _col(toi)
-    # Casts run only on guarded digit strings (a failing cast is slow);
-    # try_cast still turns an overflowing minute count into NULL.
+    # Casts run only on guarded digit strings (a failing cast is slow); the
+    # try_ forms turn a value beyond INT into NULL, in either part or the sum.
     minutes = F.substring_index(t, ":", 1).try_cast("int")
     seconds = F.substring_index(t, ":", -1).try_cast("int")
-    return F.when(t.rlike(TOI_PATTERN), minutes * 60 + seconds).cast("int")
+    return F.when(t.rlike(TOI_PATTERN), F.try_add(F.try_multiply(minutes, F.lit(60)), seconds))
 
 
 def localized_default(value: ColumnOrName) -> Column:
@@ -46,7 +46,8 @@ def full_name(*parts: ColumnOrName) -> Column:
 
 
 def cast_id(value: ColumnOrName) -> Column:
-    return _col(value).cast("bigint")
+    """Id as BIGINT; a value that isn't one gives NULL (the key check rejects the row)."""
+    return _col(value).try_cast("bigint")
 
 
 def round_half_even(value: ColumnOrName, digits: int) -> Column:

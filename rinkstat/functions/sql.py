@@ -14,8 +14,8 @@ TOI_SECONDS_SQL = f"""
 CREATE OR REPLACE TEMPORARY FUNCTION {{name}}(t STRING)
 RETURNS INT
 RETURN CASE WHEN t RLIKE '{TOI_PATTERN}'
-            THEN try_cast(substring_index(t, ':', 1) AS INT) * 60
-                 + try_cast(substring_index(t, ':', -1) AS INT)
+            THEN try_add(try_multiply(try_cast(substring_index(t, ':', 1) AS INT), 60),
+                         try_cast(substring_index(t, ':', -1) AS INT))
        END
 """
 

@@ -22,14 +22,15 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 def dedupe_latest(df: DataFrame, keys: str | Sequence[str], order_by: str) -> DataFrame:
     """Keep one row per key: the one with the greatest ``order_by``.
 
-    Expressed as an aggregate (``max_by`` over a struct) so it combines
-    map-side and a hot key cannot pile up in one task.
+    A NULL ``order_by`` is below any other; ties go to the greatest values of
+    the other columns in their order, so the winner doesn't depend on how the
+    rows are partitioned.  Expressed as an aggregate (``max`` of a struct) it
+    combines map-side and a hot key cannot pile up in one task.
     """
     k = _keys(keys)
-    payload = [c for c in df.columns if c not in k]
-    picked = df.groupBy(*k).agg(
-        F.max_by(F.struct(*payload), F.col(order_by)).alias("_row")
-    )
+    rest = [c for c in df.columns if c not in k and c != order_by]
+    order = F.struct(F.col(order_by).isNotNull().alias("_set"), order_by, *rest)
+    picked = df.groupBy(*k).agg(F.max(order).alias("_row"))
     return picked.select(*k, "_row.*").select(*df.columns)
 
 

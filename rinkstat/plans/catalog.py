@@ -48,6 +48,12 @@ def _mart(spark: SparkSession, sf: str) -> DataFrame:
 # -- sources / projections -------------------------------------------------
 
 def q_scan_parquet(spark, sf):
+    return scan_parquet(
+        spark, os.path.join(sf, "lineitem.parquet"), ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"],
+    )
+
+
+def q_scan_parquet_filtered(spark, sf):
     return scan_parquet(
         spark, os.path.join(sf, "lineitem.parquet"),
         ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"],
@@ -64,28 +70,26 @@ def q_drop_columns(spark, sf):
 
 
 def q_rename_columns(spark, sf):
-    """Roster records arrive keyed ``id``; the warehouse calls it ``playerId``."""
-    records = V.players(spark, sf).withColumnRenamed("playerId", "id")
-    return P.rename_columns(records, {"id": "playerId", "triCodeCurrent": "currentTeam"})
+    return P.rename_columns(V.players(spark, sf, everyone=True), {"playerId": "id", "triCodeCurrent": "currentTeam"})
 
 
 def q_stamp_run_date(spark, sf):
-    return P.stamp_run_date(V.players(spark, sf).drop("updatedDt"), V.NEXT_RUN_DATE)
+    return P.stamp_run_date(V.players(spark, sf, everyone=True).drop("updatedDt"), V.NEXT_RUN_DATE)
 
 
 def q_full_name(spark, sf):
-    p = V.players(spark, sf)
+    p = V.players(spark, sf, everyone=True)
     return p.select("playerId", X.full_name("firstName", "lastName").alias("playersFIO"))
 
 
 # -- filters -----------------------------------------------------------------
 
 def q_filter_not_equal_3vl(spark, sf):
-    return FL.skaters(V.players(spark, sf))
+    return FL.skaters(V.players(spark, sf, everyone=True))
 
 
 def q_filter_equal(spark, sf):
-    return FL.goalies(V.players(spark, sf))
+    return FL.goalies(V.players(spark, sf, everyone=True))
 
 
 # -- joins -----------------------------------------------------------------
@@ -103,8 +107,10 @@ def q_left_join_dimension(spark, sf):
 
 
 def q_role_playing_joins(spark, sf):
-    roles = {k: v for k, v in TEAM_ROLES.items() if k != "triCodeCurrent"}
-    return J.role_playing_join(V.games(spark, sf), V.teams(spark, sf), "triCode", "fullName", roles)
+    """Team played for, opponent and current team: three roles of one dimension."""
+    current = V.players(spark, sf).select("playerId", "triCodeCurrent")
+    games = J.left_join_dimension(V.games(spark, sf), current, "playerId")
+    return J.role_playing_join(games, V.teams(spark, sf), "triCode", "fullName", TEAM_ROLES)
 
 
 def q_player_game_mart(spark, sf):
@@ -122,7 +128,7 @@ def q_upsert_composite_key(spark, sf):
 
 
 def q_upsert_first_load(spark, sf):
-    return M.upsert(V.new_games(spark, sf), None, ["playerId", "gameId"])
+    return M.upsert(V.games(spark, sf), None, ["playerId", "gameId"])
 
 
 # -- aggregates --------------------------------------------------------------
@@ -140,12 +146,14 @@ def q_goalie_aggregate(spark, sf):
 
 
 def q_skater_aggregate_over_mart(spark, sf):
-    """The same aggregate over the materialised mart rows."""
-    return A.skater_aggregate(_mart(spark, sf))
+    """The same aggregate over the stored mart: no join lies between the scan and the aggregate."""
+    path = scratch_dir(spark, "mart")
+    K.write_snapshot(_mart(spark, sf), path)
+    return A.skater_aggregate(spark.read.parquet(path))
 
 
 def q_rollup_home_road(spark, sf):
-    return A.rollup_home_road(A.skater_aggregate(_mart(spark, sf)))
+    return A.rollup_home_road(q_skater_aggregate(spark, sf))
 
 
 def q_count_non_null(spark, sf):
@@ -153,11 +161,11 @@ def q_count_non_null(spark, sf):
 
 
 def q_first_row_per_name(spark, sf):
-    return C.card_rows(A.rollup_home_road(A.skater_aggregate(_mart(spark, sf))))
+    return C.card_rows(A.rollup_home_road(q_skater_aggregate(spark, sf)))
 
 
 def q_sort_by_key(spark, sf):
-    return O.sort_by(A.skater_aggregate(_mart(spark, sf)), ["playerId", *AGG_KEYS[1:]])
+    return O.sort_by(q_skater_aggregate(spark, sf), ["playerId", *AGG_KEYS[1:]])
 
 
 def q_preview_limit(spark, sf):
@@ -180,7 +188,7 @@ def q_named_sql_function(spark, sf):
 
 
 def q_goalie_percentage(spark, sf):
-    agg = A.goalie_aggregate(_mart(spark, sf))
+    agg = q_goalie_aggregate(spark, sf)
     return agg.select(
         *AGG_KEYS, "shotsAgainst", "goalsAgainst",
         X.goalie_percentage("shotsAgainst", "goalsAgainst").alias("perc_goals"),
@@ -189,12 +197,12 @@ def q_goalie_percentage(spark, sf):
 
 
 def q_age_years(spark, sf):
-    p = V.players(spark, sf)
+    p = V.players(spark, sf, everyone=True)
     return p.select("playerId", "birthDate", X.age_years("birthDate", F.lit(V.AS_OF).cast("date")).alias("age"))
 
 
 def q_avg_toi(spark, sf):
-    agg = A.skater_aggregate(_mart(spark, sf))
+    agg = q_skater_aggregate(spark, sf)
     avg = X.avg_toi_seconds("toi", "gamesCNT")
     return agg.select(
         *AGG_KEYS, "gamesCNT", "toi",
@@ -203,7 +211,7 @@ def q_avg_toi(spark, sf):
 
 
 def q_name_link_parts(spark, sf):
-    p = V.players(spark, sf).select("playerId", X.full_name("firstName", "lastName").alias("playersFIO"))
+    p = V.players(spark, sf, everyone=True).select("playerId", X.full_name("firstName", "lastName").alias("playersFIO"))
     return p.select("playerId", "playersFIO", X.name_link("playersFIO").alias("name_link"))
 
 
@@ -217,10 +225,30 @@ def q_player_card_goalie(spark, sf):
     return C.cards_from_rolled(PS.card_aggregate(*_base(spark, sf), "goalie"), "goalie", V.AS_OF)
 
 
+LOOKUP_NAME = "cold anvil"
+UNKNOWN_NAME = "no one"
+
+
+def _card_lookup(spark, sf, kind: str) -> DataFrame:
+    """Cards of one name and of an unknown one (no card), from the stored aggregate."""
+    path = scratch_dir(spark, f"{kind}s-agg")
+    K.write_snapshot(PS.player_aggregate(*_base(spark, sf), kind), path, num_files=2, sort_by=["playersFIO"])
+    stored = spark.read.parquet(path)
+    return M.union_by_name(*[C.cards_from_aggregate(stored, kind, V.AS_OF, n) for n in (LOOKUP_NAME, UNKNOWN_NAME)])
+
+
+def q_player_card_lookup_skater(spark, sf):
+    return _card_lookup(spark, sf, "skater")
+
+
+def q_player_card_lookup_goalie(spark, sf):
+    return _card_lookup(spark, sf, "goalie")
+
+
 # -- payload ingest ----------------------------------------------------------
 
-def _good(docs: DataFrame, schema) -> DataFrame:
-    good, _rejected = S.split_malformed(S.parse_payloads(docs, "json", schema))
+def _good(docs: DataFrame, schema, required: tuple[str, ...] = ()) -> DataFrame:
+    good, _rejected = S.split_malformed(S.parse_payloads(docs, "json", schema), required)
     return good
 
 
@@ -245,7 +273,7 @@ def q_localized_default(spark, sf):
 
 
 def _game_log_rows(docs: DataFrame, schema=GAME_LOG_PAYLOAD) -> DataFrame:
-    good = _good(docs, schema)
+    good = _good(docs, schema, ("gameLog",))
     return S.game_log_to_games_info(S.flatten_keyed_array(good, "gameLog", {"playerId": "playerId"}))
 
 
@@ -270,8 +298,9 @@ def q_skip_malformed_payloads(spark, sf):
 
 
 def q_rejected_payloads(spark, sf):
+    """Documents cut in transit and error bodies without the field, counted together."""
     parsed = S.parse_payloads(PV.game_log_docs(spark, sf, with_broken=True), "json", GAME_LOG_PAYLOAD)
-    _good_docs, rejected = S.split_malformed(parsed)
+    _good_docs, rejected = S.split_malformed(parsed, ["gameLog"])
     return rejected.agg(F.count(F.lit(1)).alias("rejected_docs"))
 
 
@@ -304,8 +333,10 @@ def q_result_lines(spark, sf):
 
 
 def q_date_change_marks(spark, sf):
-    rows = _board_rows(spark, sf, take_while=True).drop("new_date")
-    return D.date_marks(rows, "board").select("board", "date_pos", "game_pos", "date_play", "new_date")
+    """Marks on the stored flat table, as the digest finds it."""
+    path = scratch_dir(spark, "shedule")
+    K.write_snapshot(_board_rows(spark, sf, take_while=True).drop("new_date"), path)
+    return D.date_marks(spark.read.parquet(path), "board").select("board", "date_pos", "game_pos", "date_play", "new_date")
 
 
 def q_results_digest(spark, sf):
@@ -347,9 +378,11 @@ def q_write_snapshot(spark, sf):
     return K.upsert_table(spark, V.new_games(spark, sf), path, keys)
 
 
-# Warehouse partitioning of games for the partition-scoped paths: blocks of
-# 4096 game ids (a stand-in for a season, which is a function of the id).
-GAME_BLOCK = ("block", "CAST(floor(gameId / 4096) AS INT)")
+# Warehouse partitioning of games for the partition-scoped paths: blocks of 4096
+# game ids dealt to a fixed number of partitions (a stand-in for a season, which
+# is a function of the id).  The number doesn't grow with the data.
+GAME_BLOCKS = 16
+GAME_BLOCK = ("block", f"CAST(floor(gameId / 4096) % {GAME_BLOCKS} AS INT)")
 
 
 def q_upsert_partitioned(spark, sf):
@@ -366,8 +399,7 @@ def q_incremental_skater_aggregate(spark, sf):
     full build on day 1, then only the partitions day 2 touches."""
     from . import pipeline as PL
 
-    root = scratch_dir(spark, "incremental")
-    dwh, raw = os.path.join(root, "dwh"), os.path.join(root, "raw")
+    dwh = os.path.join(scratch_dir(spark, "incremental"), "dwh")
     col, expr = GAME_BLOCK
     keys = ["playerId", "gameId"]
     K.write_snapshot(V.teams(spark, sf), os.path.join(dwh, "teams"))
@@ -375,10 +407,8 @@ def q_incremental_skater_aggregate(spark, sf):
     games_path = os.path.join(dwh, "games_info")
     K.upsert_partitioned(spark, V.old_games(spark, sf).withColumn(col, F.expr(expr)), games_path, keys, col)
     PL.refresh_aggregates(spark, dwh, GAME_BLOCK)
-    new = V.new_games(spark, sf)
-    K.write_dated_partition(new, os.path.join(raw, "games_info"), V.NEXT_RUN_DATE)
-    K.upsert_partitioned(spark, new.withColumn(col, F.expr(expr)), games_path, keys, col)
-    PL.refresh_aggregates(spark, dwh, GAME_BLOCK, raw, V.NEXT_RUN_DATE)
+    K.upsert_partitioned(spark, V.new_games(spark, sf).withColumn(col, F.expr(expr)), games_path, keys, col)
+    PL.refresh_aggregates(spark, dwh, GAME_BLOCK)
     return spark.read.parquet(os.path.join(dwh, "skaters_agg"))
 
 
@@ -387,8 +417,7 @@ def q_incremental_mart(spark, sf):
     and game merges followed by a refresh of only the affected partitions."""
     from . import pipeline as PL
 
-    root = scratch_dir(spark, "incremental-mart")
-    dwh, raw = os.path.join(root, "dwh"), os.path.join(root, "raw")
+    dwh = os.path.join(scratch_dir(spark, "incremental-mart"), "dwh")
     col, expr = GAME_BLOCK
     keys = ["playerId", "gameId"]
     K.write_snapshot(V.teams(spark, sf), os.path.join(dwh, "teams"))
@@ -398,15 +427,14 @@ def q_incremental_mart(spark, sf):
     K.upsert_partitioned(spark, V.old_games(spark, sf).withColumn(col, F.expr(expr)), games_path, keys, col)
     PL.refresh_mart(spark, dwh, GAME_BLOCK)
     K.upsert_table(spark, V.new_players(spark, sf), players_path, "playerId")
-    new = V.new_games(spark, sf)
-    K.write_dated_partition(new, os.path.join(raw, "games_info"), V.NEXT_RUN_DATE)
-    K.upsert_partitioned(spark, new.withColumn(col, F.expr(expr)), games_path, keys, col)
-    PL.refresh_mart(spark, dwh, GAME_BLOCK, raw, V.NEXT_RUN_DATE)
-    return spark.read.parquet(os.path.join(dwh, PL.MART_TABLE))
+    K.upsert_partitioned(spark, V.new_games(spark, sf).withColumn(col, F.expr(expr)), games_path, keys, col)
+    PL.refresh_mart(spark, dwh, GAME_BLOCK)
+    return PL.read_mart(spark, dwh)
 
 
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
+    "scan_parquet_filtered": q_scan_parquet_filtered,
     "project_columns": q_project_columns,
     "drop_columns": q_drop_columns,
     "rename_columns": q_rename_columns,
@@ -438,6 +466,8 @@ QUERIES: dict[str, Query] = {
     "name_link_parts": q_name_link_parts,
     "player_card_skater": q_player_card_skater,
     "player_card_goalie": q_player_card_goalie,
+    "player_card_lookup_skater": q_player_card_lookup_skater,
+    "player_card_lookup_goalie": q_player_card_lookup_goalie,
     "flatten_record_array": q_flatten_record_array,
     "flatten_map_of_arrays": q_flatten_map_of_arrays,
     "localized_default": q_localized_default,

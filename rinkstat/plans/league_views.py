@@ -7,7 +7,7 @@ both engines compute the same inputs.  Every view reads whole tables: rows are
 assigned to roles by attributes, never sampled.
 
   teams    <- nation                 (25 teams; codes T00..T24)
-  players  <- part                   (roster: every part whose type is not STANDARD,
+  players  <- part                   (in joins: every part whose type is not STANDARD,
                                       so games of STANDARD parts miss the dimension)
   games    <- lineitem x supplier    (one row per line: player = part,
                                       game = order, team = supplier's nation)
@@ -68,7 +68,7 @@ GAME_COLUMNS = {
     "opponentAbbrev": team_code("(s_nationkey + l_linenumber) % 25"),
     "homeRoadFlag": "CASE WHEN l_linestatus = 'O' THEN 'H' ELSE 'R' END",
     "toi": (
-        "CASE WHEN l_quantity = 50 THEN '0:50:00' ELSE "
+        "CASE WHEN l_quantity = 50 THEN '0:50:00' WHEN l_quantity = 49 AND l_linenumber = 7 THEN '99999999:00' ELSE "
         "CAST(CAST(l_quantity AS INT) AS STRING) || ':' || lpad(CAST(l_linenumber * 7 AS STRING), 2, '0') END"
     ),
     "goals": "l_linenumber - 1",
@@ -97,23 +97,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Parallelism floor for a fact scan.
-
-    A scan splits at parquet row groups; an input of one large row group
-    gives one task for all the narrow work that follows (view expressions,
-    joins, JSON).  When the scan has fewer partitions than the cluster's
-    default parallelism, rows are redistributed round-robin; a large input
-    (many splits) passes through untouched, so this costs nothing at scale.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def _typed(df: DataFrame, columns: dict[str, str], schema) -> DataFrame:
     types = {f.name: f.dataType for f in schema.fields}
     return df.select(
@@ -135,9 +118,16 @@ def players(
     sf_dir: str,
     where: str | None = None,
     overrides: dict[str, str] | None = None,
+    everyone: bool = False,
 ) -> DataFrame:
-    """The roster dimension (``players_info``); ``where`` narrows by attribute."""
-    part = table(spark, sf_dir, "part").select(*PART_COLUMNS).filter(F.expr(PLAYER_FILTER))
+    """The roster dimension (``players_info``); ``where`` narrows by attribute.
+
+    ``everyone`` keeps the off-roster parts too (queries that need no
+    dimension misses read the whole table).
+    """
+    part = table(spark, sf_dir, "part").select(*PART_COLUMNS)
+    if not everyone:
+        part = part.filter(F.expr(PLAYER_FILTER))
     if where:
         part = part.filter(F.expr(where))
     return _typed(part, {**PLAYER_COLUMNS, **(overrides or {})}, PLAYERS_INFO_TABLE)
@@ -153,7 +143,6 @@ def games(
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
     if where:
         li = li.filter(F.expr(where))
-    li = spread(li)
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = li.join(sup, li["l_suppkey"] == sup["s_suppkey"], "inner")
     return _typed(joined, {**GAME_COLUMNS, **(overrides or {})}, GAMES_INFO_TABLE)

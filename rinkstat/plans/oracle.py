@@ -23,8 +23,10 @@ def teams_cte() -> str:
     return f"teams AS (SELECT {_select(V.TEAM_COLUMNS)} FROM nation)"
 
 
-def players_cte(name: str = "players", where: str | None = None, overrides: dict | None = None) -> str:
-    cond = V.PLAYER_FILTER + (f" AND {where}" if where else "")
+def players_cte(
+    name: str = "players", where: str | None = None, overrides: dict | None = None, everyone: bool = False
+) -> str:
+    cond = ("TRUE" if everyone else V.PLAYER_FILTER) + (f" AND {where}" if where else "")
     cols = {**V.PLAYER_COLUMNS, **(overrides or {})}
     return f"{name} AS (SELECT {_select(cols)} FROM part WHERE {cond})"
 
@@ -54,8 +56,8 @@ MART_CTE = """mart AS (
 def toi_seconds_sql(col: str) -> str:
     return (
         f"CASE WHEN regexp_matches({col}, '{TOI_PATTERN}') "
-        f"THEN TRY_CAST(split_part({col}, ':', 1) AS INTEGER) * 60 "
-        f"+ TRY_CAST(split_part({col}, ':', 2) AS INTEGER) END"
+        f"THEN TRY_CAST(CAST(TRY_CAST(split_part({col}, ':', 1) AS INTEGER) AS BIGINT) * 60 "
+        f"+ TRY_CAST(split_part({col}, ':', 2) AS INTEGER) AS INTEGER) END"
     )
 
 

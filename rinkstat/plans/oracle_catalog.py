@@ -11,7 +11,7 @@ from .oracle import (
 
 _W = with_views(*BASE)
 _GAMES = with_views(games_cte())
-_PLAYERS = with_views(players_cte())
+_EVERYONE = with_views(players_cte(everyone=True))
 _OLD_NEW_PLAYERS = with_views(
     players_cte("old", V.OLD_PLAYERS_WHERE),
     players_cte("new", V.NEW_PLAYERS_WHERE, V.NEW_PLAYERS_OVERRIDES),
@@ -29,32 +29,35 @@ def _games_order() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
-    "scan_parquet": (
+    "scan_parquet": "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem",
+    "scan_parquet_filtered": (
         "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 10"
     ),
     "project_columns": _GAMES + "SELECT playerId, gameId, teamAbbrev, homeRoadFlag, toi FROM games",
     "drop_columns": _W + f"SELECT {_MART_COLS} FROM mart",
-    "rename_columns": _PLAYERS + "SELECT * EXCLUDE (triCodeCurrent), triCodeCurrent AS currentTeam FROM players",
-    "stamp_run_date": _PLAYERS + f"SELECT * REPLACE ('{V.NEXT_RUN_DATE}' AS updatedDt) FROM players",
-    "full_name": _PLAYERS + "SELECT playerId, concat_ws(' ', firstName, lastName) AS playersFIO FROM players",
-    "filter_not_equal_3vl": _PLAYERS + "SELECT * FROM players WHERE positionCode <> 'G'",
-    "filter_equal": _PLAYERS + "SELECT * FROM players WHERE positionCode = 'G'",
+    "rename_columns": _EVERYONE
+    + "SELECT * EXCLUDE (playerId, triCodeCurrent), playerId AS id, triCodeCurrent AS currentTeam FROM players",
+    "stamp_run_date": _EVERYONE + f"SELECT * REPLACE ('{V.NEXT_RUN_DATE}' AS updatedDt) FROM players",
+    "full_name": _EVERYONE + "SELECT playerId, concat_ws(' ', firstName, lastName) AS playersFIO FROM players",
+    "filter_not_equal_3vl": _EVERYONE + "SELECT * FROM players WHERE positionCode <> 'G'",
+    "filter_equal": _EVERYONE + "SELECT * FROM players WHERE positionCode = 'G'",
     "anti_join_single_key": _OLD_NEW_PLAYERS + "SELECT * FROM old ANTI JOIN new USING (playerId)",
     "anti_join_composite_key": _OLD_NEW_GAMES + "SELECT * FROM old ANTI JOIN new USING (playerId, gameId)",
     "left_join_dimension": with_views(games_cte(), players_cte())
     + "SELECT * FROM games LEFT JOIN players USING (playerId)",
-    "role_playing_joins": with_views(games_cte(), teams_cte())
+    "role_playing_joins": with_views(games_cte(), players_cte(), teams_cte())
     + (
-        "SELECT g.*, t1.fullName AS teamFullName, t2.fullName AS opponentFullName FROM games g "
-        "LEFT JOIN teams t1 ON g.teamAbbrev = t1.triCode LEFT JOIN teams t2 ON g.opponentAbbrev = t2.triCode"
+        "SELECT g.*, p.triCodeCurrent, t1.fullName AS teamFullName, t2.fullName AS opponentFullName, "
+        "t3.fullName AS currentTeamFullName FROM games g LEFT JOIN players p USING (playerId) "
+        "LEFT JOIN teams t1 ON g.teamAbbrev = t1.triCode LEFT JOIN teams t2 ON g.opponentAbbrev = t2.triCode "
+        "LEFT JOIN teams t3 ON p.triCodeCurrent = t3.triCode"
     ),
     "player_game_mart": _W + "SELECT * FROM mart",
     "upsert_single_key": _OLD_NEW_PLAYERS
     + "SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (playerId)",
     "upsert_composite_key": _OLD_NEW_GAMES
     + "SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (playerId, gameId)",
-    "upsert_first_load": with_views(games_cte("new", V.NEW_GAMES_WHERE, V.NEW_GAMES_OVERRIDES))
-    + "SELECT * FROM new",
+    "upsert_first_load": _GAMES + "SELECT * FROM games",
     "skater_aggregate": _W + aggregate_sql("skater"),
     "goalie_aggregate": _W + aggregate_sql("goalie"),
     "skater_aggregate_over_mart": _W + aggregate_sql("skater"),
@@ -74,7 +77,7 @@ ORACLE_SQL: dict[str, str] = {
         "round_even((shotsAgainst - goalsAgainst) / NULLIF(shotsAgainst, 0) * 100, 2) AS save_pct "
         f"FROM ({aggregate_sql('goalie')}) a"
     ),
-    "age_years": _PLAYERS
+    "age_years": _EVERYONE
     + (
         "SELECT playerId, birthDate, "
         f"CAST(datesub('year', birthDate, DATE '{V.AS_OF}') AS INTEGER) AS age FROM players"
@@ -86,7 +89,7 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(trunc(toi / NULLIF(gamesCNT, 0)) AS BIGINT) % 60 AS avg_toi_sec "
         f"FROM ({aggregate_sql('skater')}) a"
     ),
-    "name_link_parts": _PLAYERS
+    "name_link_parts": _EVERYONE
     + (
         "SELECT playerId, playersFIO, "
         "concat_ws('%20', string_split(playersFIO, ' ')[1], string_split(playersFIO, ' ')[2]) AS name_link "
@@ -94,6 +97,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "player_card_skater": _W + card_sql("skater"),
     "player_card_goalie": _W + card_sql("goalie"),
+    "player_card_lookup_skater": _W + f"SELECT * FROM ({card_sql('skater')}) k WHERE playersFIO IN ('cold anvil', 'no one')",
+    "player_card_lookup_goalie": _W + f"SELECT * FROM ({card_sql('goalie')}) k WHERE playersFIO IN ('cold anvil', 'no one')",
 }
 
 
@@ -119,7 +124,7 @@ FROM events"""
 _GAMES_INFO_COLS = ", ".join(V.GAME_COLUMNS)
 _BROKEN_DOCS = (
     "broken AS (SELECT DISTINCT playerId, CAST(floor(gameId / 64) AS BIGINT) AS chunk FROM games "
-    f"WHERE toi = '{PV.TRUNCATED_MARKER_TOI}')"
+    f"WHERE toi IN ('{PV.TRUNCATED_MARKER_TOI}', '{PV.ERROR_MARKER_TOI}'))"
 )
 _GOOD_GAMES = (
     f"SELECT {_GAMES_INFO_COLS} FROM games g WHERE NOT EXISTS (SELECT 1 FROM broken b "
@@ -225,7 +230,7 @@ ORACLE_SQL.update({
 })
 
 
-_BLOCK = "CAST(floor(gameId / 4096) AS INTEGER)"
+_BLOCK = "CAST(floor(gameId / 4096) % 16 AS INTEGER)"
 _UPSERTED_GAMES = (
     "games AS (SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (playerId, gameId))"
 )

@@ -4,7 +4,8 @@ The driver has no JSON payloads, so these views serialise table rows into the
 payload shapes the ingest operators read (teams, rosters, game logs,
 scoreboards), then the queries parse them back.  Every document holds a
 bounded number of records: rows are grouped by ``key div 64`` over a unique
-key (or a unique key inside a player), so no group can grow with the data.
+key; a game log groups by player and block of 64 orders, where an order has a
+few lines of one player at most.
 The element expressions are SQL shared with the DuckDB oracle.
 """
 
@@ -69,6 +70,9 @@ HOME_SCORE = (
 )
 # Game logs containing this time-on-ice value are truncated in transit.
 TRUNCATED_MARKER_TOI = "0:50:00"
+# Game logs containing this one arrive as an error body without the field.
+ERROR_MARKER_TOI = "99999999:00"
+ERROR_BODY = '{"error":"not found"}'
 
 
 def teams_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +103,8 @@ def game_log_docs(
     """One document per (player, block of 64 order keys): ``{"gameLog": [...]}``.
 
     With ``with_broken``, documents holding a game with
-    ``TRUNCATED_MARKER_TOI`` are cut in half, as a failed transfer leaves them.
+    ``TRUNCATED_MARKER_TOI`` are cut in half, as a failed transfer leaves them,
+    and those holding ``ERROR_MARKER_TOI`` are replaced by an error body.
     """
     g = V.games(spark, sf)
     game_id = F.col("gameId").cast("string") if id_as_text else F.col("gameId")
@@ -112,12 +117,14 @@ def game_log_docs(
     docs = g.groupBy("playerId", F.expr("gameId div 64").alias("chunk")).agg(
         F.collect_list(rec).alias("gameLog"),
         F.max((F.col("toi") == F.lit(TRUNCATED_MARKER_TOI)).cast("int")).alias("_broken"),
+        F.max((F.col("toi") == F.lit(ERROR_MARKER_TOI)).cast("int")).alias("_error"),
     )
     text = F.to_json(F.struct("gameLog"))
     broken = F.substring(text, 1, (F.length(text) / 2).cast("int"))
     return docs.select(
         "playerId", "chunk",
-        F.when(F.lit(with_broken) & (F.col("_broken") == 1), broken).otherwise(text).alias("json"),
+        F.when(F.lit(with_broken) & (F.col("_error") == 1), F.lit(ERROR_BODY))
+        .when(F.lit(with_broken) & (F.col("_broken") == 1), broken).otherwise(text).alias("json"),
     )
 
 

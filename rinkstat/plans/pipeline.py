@@ -45,14 +45,14 @@ def teams_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root:
     the table with nothing; the current table is left as it is.
     """
     docs = S.read_payload_files(spark, _p(landing_root, "teams.json"), TEAMS_PAYLOAD)
-    good, _ = S.split_malformed(docs)
+    good, _ = S.split_malformed(docs, ["data"])
     teams = S.flatten_record_array(good, "data").select(
         F.col("id").cast("int").alias("id"), "fullName", "triCode"
     )
+    if teams.isEmpty():
+        raise ValueError(f"teams payload for {ds} is malformed or empty; dwh/teams left unchanged")
     K.write_dated_partition(teams, _p(raw_root, "teams"), ds)
     raw = K.read_dated_partition(spark, _p(raw_root, "teams"), ds).select(*TEAM_COLUMNS)
-    if raw.isEmpty():
-        raise ValueError(f"teams payload for {ds} is malformed or empty; dwh/teams left unchanged")
     K.write_snapshot(raw, _p(dwh_root, "teams"))
     return spark.read.parquet(_p(dwh_root, "teams"))
 
@@ -91,7 +91,7 @@ def players_batch(
 
     logs = S.read_payload_files(spark, _p(landing_root, "gamelog"), GAME_LOG_PAYLOAD)
     logs = semi_join(logs.withColumn("playerId", F.col(S.ENTITY_COLUMN).try_cast("bigint")), players_info, "playerId")
-    good_logs, rejected_logs = S.split_malformed(logs)
+    good_logs, rejected_logs = S.split_malformed(logs, ["gameLog"])
     games = S.game_log_to_games_info(S.flatten_keyed_array(good_logs, "gameLog", {"playerId": "playerId"}))
     K.write_dated_partition(games, _p(raw_root, "games_info"), ds)
     new_games = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds).drop(K.DS_COLUMN)
@@ -132,44 +132,42 @@ def mart_and_aggregates(spark: SparkSession, dwh_root: str, num_files: int | Non
 
 
 PARTIALS_TABLE = "_game_partials"
+PARTIALS_BUILT = "_game_partials_built"
 
 
 def refresh_aggregates(
     spark: SparkSession,
     dwh_root: str,
     games_partition: tuple[str, str],
-    raw_root: str | None = None,
-    ds: str | None = None,
     num_files: int | None = None,
 ) -> None:
     """skaters_agg / goalies_agg from game partials kept per partition.
 
-    The partials (count and sums per player, team, home/road and
-    partition) depend only on ``games_info``, so a run recomputes them just
-    for the partitions (e.g. seasons) its raw game logs of ``ds`` touch and
-    swaps those in; with no ``ds`` (or no partials yet) all are built.
-    ``games_partition`` is the same ``(column, sql_expr)`` given to
-    :func:`players_batch`; the touched values come from the day's raw rows
-    alone.  The aggregates are then re-derived from the partials table —
-    one row per group, not per game — joined to the current player and team
-    dimensions, so a changed current team still reaches every season.
+    The partials (count and sums per player, team, home/road and partition)
+    depend only on ``games_info``.  A stored marker says from which files of
+    each ``games_info`` partition they were built; a run recomputes just the
+    partitions that differ, however many merges it missed.  The marker is
+    written last, so an interrupted run is done again.  The aggregates are then
+    re-derived from the partials table (one row per group, not per game) joined
+    to the current player and team dimensions, so a changed current team still
+    reaches every season.  ``games_partition`` is the ``(column, sql_expr)``
+    given to :func:`players_batch`.
     """
-    games = spark.read.parquet(_p(dwh_root, "games_info"))
+    games_path, partials_path = _p(dwh_root, "games_info"), _p(dwh_root, PARTIALS_TABLE)
+    column = games_partition[0]
+    grain = PLAYER_GRAIN + [column]
+    versions = K.partition_versions(spark, games_path)
+    games = spark.read.parquet(games_path)
     players = spark.read.parquet(_p(dwh_root, "players_info"))
     teams = spark.read.parquet(_p(dwh_root, "teams"))
-    partials_path = _p(dwh_root, PARTIALS_TABLE)
-    partition_col, partition_expr = games_partition
-    grain = PLAYER_GRAIN + [partition_col]
-    if ds is not None and raw_root is not None and K.table_exists(spark, partials_path):
-        day = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds)
-        touched = K.touched_partition_values(
-            day.select(F.expr(partition_expr).alias(partition_col)), partition_col
-        )
-        if touched:
-            subset = games.filter(K.in_partitions(partition_col, touched))
-            K.replace_partitions(game_partials(subset, grain), partials_path, partition_col)
+    if K.table_exists(spark, partials_path):
+        changed = K.changed_partitions(spark, versions, _p(dwh_root, PARTIALS_BUILT))
+        if changed:
+            subset = games.filter(K.in_partition_folders(column, changed))
+            K.replace_partitions(game_partials(subset, grain), partials_path, column)
     else:
-        K.write_snapshot_partitioned(game_partials(games, grain), partials_path, partition_col)
+        K.write_snapshot_partitioned(game_partials(games, grain), partials_path, column)
+    K.write_versions(spark, versions, _p(dwh_root, PARTIALS_BUILT))
     partials = spark.read.parquet(partials_path)
     for kind, table in (("skater", "skaters_agg"), ("goalie", "goalies_agg")):
         agg = player_aggregate(partials, players, teams, kind, pre_aggregated=True)
@@ -177,8 +175,10 @@ def refresh_aggregates(
 
 
 MART_TABLE = "players_games_datamart"
+MART_BUILT = "_mart_built"
 MART_PLAYERS = "_mart_players"
 MART_TEAMS = "_mart_teams"
+STAMP = "updatedDt"
 
 
 def _changed_keys(current: DataFrame, previous: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
@@ -188,62 +188,65 @@ def _changed_keys(current: DataFrame, previous: DataFrame, key: str, ignore: tup
     return current.select(*cols).exceptAll(previous.select(*cols)).select(key).distinct()
 
 
-def refresh_mart(
-    spark: SparkSession,
-    dwh_root: str,
-    games_partition: tuple[str, str],
-    raw_root: str | None = None,
-    ds: str | None = None,
-    track_updated_dt: bool = True,
-) -> None:
+def refresh_mart(spark: SparkSession, dwh_root: str, games_partition: tuple[str, str]) -> None:
     """Keep ``players_games_datamart`` partitioned like ``games_info`` and
     rebuild only the partitions that can have changed.
 
-    A partition changes when the day's game logs touch it, or when it holds
-    a game of a player whose dimension row changed since the last build (the
-    mart copies current player attributes into every game).  Changed players
-    come from comparing ``players_info`` with the copy the mart was built
-    from — a dimension-sized comparison; a teams change (yearly) or a first
-    run rebuilds everything.  By default the comparison includes the roster
-    stamp ``updatedDt``, so the result equals a full rebuild exactly; with
-    ``track_updated_dt=False`` a re-stamped but otherwise unchanged player
-    does not trigger a rebuild, and the mart's ``updatedDt`` then means "as
-    of the partition's last rebuild".
+    A partition changes when its ``games_info`` files differ from those the
+    mart was built from (a stored marker, so no merge is ever missed), or when
+    it holds a game of a player whose dimension row changed since the last
+    build (the mart copies current player attributes into every game).  Changed
+    players come from comparing ``players_info`` with the copy the mart was
+    built from, a dimension-sized comparison; a teams change (yearly) or a
+    first run rebuilds everything.  The daily stamp ``updatedDt`` doesn't count
+    as a change: the stored one is that of the partition's last rebuild, and
+    :func:`read_mart` puts in the current one.
     """
-    column, expr = games_partition
-    games = spark.read.parquet(_p(dwh_root, "games_info"))
+    column = games_partition[0]
+    games_path, mart_path = _p(dwh_root, "games_info"), _p(dwh_root, MART_TABLE)
+    snap_players, snap_teams, built = (_p(dwh_root, t) for t in (MART_PLAYERS, MART_TEAMS, MART_BUILT))
+    versions = K.partition_versions(spark, games_path)
+    games = spark.read.parquet(games_path)
     players = spark.read.parquet(_p(dwh_root, "players_info"))
     teams = spark.read.parquet(_p(dwh_root, "teams"))
-    mart_path = _p(dwh_root, MART_TABLE)
-    snap_players, snap_teams = _p(dwh_root, MART_PLAYERS), _p(dwh_root, MART_TEAMS)
-    full = not (
-        K.table_exists(spark, mart_path) and K.table_exists(spark, snap_players)
-        and K.table_exists(spark, snap_teams)
-    )
+    full = not all(K.table_exists(spark, p) for p in (mart_path, snap_players, snap_teams))
     if not full:
         full = not _changed_keys(teams, spark.read.parquet(snap_teams), "triCode").isEmpty()
     if full:
         K.write_snapshot_partitioned(player_game_mart(games, players, teams), mart_path, column)
     else:
-        ignore = () if track_updated_dt else ("updatedDt",)
-        changed = _changed_keys(players, spark.read.parquet(snap_players), "playerId", ignore)
-        by_players = games.select("playerId", column).join(changed, "playerId", "left_semi")
-        touched = set(K.touched_partition_values(by_players, column))
-        if ds is not None and raw_root is not None:
-            day = K.read_dated_partition(spark, _p(raw_root, "games_info"), ds)
-            touched |= set(K.touched_partition_values(day.select(F.expr(expr).alias(column)), column))
-        if touched:
-            subset = games.filter(K.in_partitions(column, sorted(touched, key=lambda v: (v is None, v))))
-            K.replace_partitions(player_game_mart(subset, players, teams), mart_path, column)
+        moved = _changed_keys(players, spark.read.parquet(snap_players), "playerId", (STAMP,))
+        by_players = games.select("playerId", column).join(moved, "playerId", "left_semi")
+        touched = K.in_partitions(column, K.touched_partition_values(by_players, column))
+        changed = K.in_partition_folders(column, K.changed_partitions(spark, versions, built))
+        subset = games.filter(touched | changed)
+        K.replace_partitions(player_game_mart(subset, players, teams), mart_path, column)
     K.write_snapshot(players, snap_players)
     K.write_snapshot(teams, snap_teams)
+    K.write_versions(spark, versions, built)
+
+
+def read_mart(spark: SparkSession, dwh_root: str) -> DataFrame:
+    """The stored mart with each player's current ``updatedDt`` (the latest, if the roster holds a player twice)."""
+    mart = spark.read.parquet(_p(dwh_root, MART_TABLE))
+    stamps = (
+        spark.read.parquet(_p(dwh_root, "players_info")).groupBy("playerId").agg(F.max(STAMP).alias("_now"))
+    )
+    now = F.coalesce(F.col("_now"), F.col(STAMP))
+    return mart.join(stamps, "playerId", "left").withColumn(STAMP, now).select(*mart.columns)
 
 
 def schedule_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root: str, ds: str) -> DataFrame:
     """scoreboard.json -> take-while rows -> raw/shedule/ds=.. -> dwh/shedule
-    (replaced, not merged), keeping the display positions."""
+    (replaced, not merged), keeping the display positions.
+
+    A malformed scoreboard fails the run before anything is written; a valid
+    one without games is legal and empties the table.
+    """
     docs = S.read_payload_files(spark, _p(landing_root, "scoreboard.json"), SCOREBOARD_PAYLOAD)
-    good, _ = S.split_malformed(docs)
+    good, rejected = S.split_malformed(docs)
+    if not rejected.isEmpty():
+        raise ValueError(f"scoreboard payload for {ds} is malformed; dwh/shedule left unchanged")
     rows = S.flatten_scoreboard(good.withColumnRenamed(S.ENTITY_COLUMN, "board"), "board")
     K.write_dated_partition(rows, _p(raw_root, "shedule"), ds)
     raw = K.read_dated_partition(spark, _p(raw_root, "shedule"), ds).drop(K.DS_COLUMN)
@@ -260,13 +263,20 @@ def publish(
     url: str,
     schema: str = "public",
     tables: tuple[str, ...] = SERVING_TABLES,
+    games_partition: tuple[str, str] | None = None,
+    num_partitions: int = 8,
     **jdbc_options,
 ) -> None:
     """Overwrite the serving tables in a relational database over JDBC.
 
     Connection settings come from the caller (``user``, ``password``,
-    ``driver``, ``num_partitions`` ... as in :func:`rinkstat.sinks.jdbc.write_jdbc`).
+    ``driver`` ... as in :func:`rinkstat.sinks.jdbc.write_jdbc`);
+    ``num_partitions`` bounds the connections.  The partition column of a
+    partitioned mart is the warehouse's own and isn't published.
     """
     for table in tables:
-        df = spark.read.parquet(_p(dwh_root, table))
-        write_jdbc(df, url, f"{schema}.{table}" if schema else table, **jdbc_options)
+        if table == MART_TABLE and games_partition is not None:
+            df = read_mart(spark, dwh_root).drop(games_partition[0])
+        else:
+            df = spark.read.parquet(_p(dwh_root, table))
+        write_jdbc(df, url, f"{schema}.{table}" if schema else table, num_partitions=num_partitions, **jdbc_options)

@@ -64,12 +64,13 @@ def player_aggregate(
     ``pre_aggregated=True`` means ``games`` already holds :func:`game_partials`
     at a grain that includes the grain these keys need.
     """
+    if name is not None:  # a lookup reads the games of the players of that name only
+        players = by_exact_name(players.withColumn("playersFIO", full_name("firstName", "lastName")), name).drop("playersFIO")
+        games = games.join(players.select("playerId").distinct(), "playerId", "left_semi")
     grain = PLAYER_GRAIN if "homeRoadFlag" in keys else CARD_GRAIN
     sums = SKATER_SUMS if kind == "skater" else GOALIE_SUMS
     partials = games if pre_aggregated else game_partials(games, grain)
     rows = by_kind(_dimensioned(partials, players, teams), kind)
-    if name is not None:
-        rows = by_exact_name(rows, name)
     return rows.groupBy(*keys).agg(
         F.sum("gamesCNT").cast("bigint").alias("gamesCNT"),
         *[F.sum(m).cast("bigint").alias(m) for m in sums],

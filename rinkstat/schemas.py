@@ -42,9 +42,13 @@ GOALIE_MEASURES = [
 
 ALL_MEASURES = list(dict.fromkeys(SKATER_MEASURES + GOALIE_MEASURES))
 
-# Sums reported by the two aggregates, in output order (toi in seconds).
-SKATER_SUMS = SKATER_MEASURES[:-1] + ["toi", "pim"]
-GOALIE_SUMS = GOALIE_MEASURES[:-1] + ["toi", "pim"]
+# Fixed values of the table contract: the sums of the two aggregates in output
+# order (toi in seconds), their 14 keys and the card keys.
+SKATER_SUMS = [
+    "goals", "points", "plusMinus", "powerPlayGoals", "powerPlayPoints", "gameWinningGoals", "otGoals", "shots",
+    "shifts", "shorthandedGoals", "toi", "pim",
+]
+GOALIE_SUMS = ["goals", "points", "gamesStarted", "shotsAgainst", "goalsAgainst", "shutouts", "toi", "pim"]
 
 # Grain of both aggregates: player attributes, team played for, home/road.
 AGG_KEYS = [

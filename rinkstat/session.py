@@ -9,6 +9,7 @@ temporary folder when that setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,11 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    If none is set, a local one is made on a ``local`` master only (tests); any
+    other master raises, since its machines share no temporary folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -54,6 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set and the master is {master}: a folder of this machine would be "
+            "unseen by the others; name a shared one in spark.checkpoint.dir"
+        )
     local = tempfile.mkdtemp(prefix="rinkstat-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
@@ -70,19 +81,19 @@ def cluster_conf(
     total_cores: int,
     executor_memory_gb: float = 16.0,
     executor_cores: int = 4,
+    bytes_per_partition: int = 512 * 1024 * 1024,
 ) -> dict[str, str]:
     """Suggested settings for a cluster run over ``input_bytes`` of parquet.
 
-    Shuffle partitions start at roughly one per 512 MB of input (never fewer
-    than two per core, capped at 100k so the M x R shuffle-block count stays
-    manageable); AQE then coalesces them to ``advisoryPartitionSizeInBytes``
+    Shuffle partitions start at one per ``bytes_per_partition`` of input (never
+    fewer than two per core); AQE then coalesces them to ``advisoryPartitionSizeInBytes``
     and splits skewed ones.  The per-task memory budget bounds the advisory
     size so a partition fits in executor memory with room for spills.
     """
     mb = 1024 * 1024
     per_task_mb = max(64, int(executor_memory_gb * 1024 * 0.6 / max(1, executor_cores)))
     advisory_mb = min(256, per_task_mb // 2)
-    partitions = int(min(100_000, max(2 * total_cores, input_bytes // (512 * mb))))
+    partitions = int(max(2 * total_cores, input_bytes // bytes_per_partition))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",

@@ -9,8 +9,10 @@ order without funnelling the table through one task.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.merge import upsert
 
 DS_COLUMN = "ds"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -31,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path once its content has been merged."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def recover_snapshot(spark: SparkSession, path: str) -> None:
     """Finish an interrupted swap: if the table is missing but a copy was moved
     aside (the driver died between the two renames), move it back."""
@@ -47,9 +56,34 @@ def recover_snapshot(spark: SparkSession, path: str) -> None:
         fs.rename(latest, target)
 
 
+def recover_partitions(spark: SparkSession, path: str) -> None:
+    """Finish interrupted partition swaps of the table at ``path``.
+
+    A partition that was moved aside (hidden, ``.<name>.__retired-<token>``) and
+    has no live sibling is moved back; one whose successor is in place is
+    removed.  Called before any read of a partitioned table.
+    """
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return
+    found: dict[str, list] = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(".") and ".__retired-" in name:
+            found.setdefault(name[1:].split(".__retired-")[0], []).append(status)
+    for name, retired in found.items():
+        live = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, name)
+        retired.sort(key=lambda s: s.getModificationTime())
+        if not fs.exists(live) and not fs.rename(retired.pop().getPath(), live):
+            raise OSError(f"could not move {name} of {path} back")
+        for status in retired:
+            fs.delete(status.getPath(), True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A parquet table exists when its directory holds a commit marker or files."""
     recover_snapshot(spark, path)
+    recover_partitions(spark, path)
     fs, p = _fs(spark, path)
     return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
 
@@ -70,14 +104,12 @@ def write_dated_partition(
     num_files: int | None = None,
 ) -> None:
     """Write ``df`` as partition ``ds=<ds>`` of ``root``, replacing only that
-    partition (dynamic overwrite), so a rerun of one run date is idempotent."""
-    out = _layout(df.withColumn(DS_COLUMN, F.lit(ds)), num_files, None)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DS_COLUMN)
-        .parquet(root)
-    )
+    partition, so a rerun of one run date is idempotent.
+
+    The partition's own folder is overwritten: a rerun with no rows leaves the
+    date empty (a dynamic overwrite would keep the rows of the earlier run).
+    """
+    _layout(df.drop(DS_COLUMN), num_files, None).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{DS_COLUMN}={ds}")
 
 
 def read_dated_partition(spark: SparkSession, root: str, ds: str | None = None) -> DataFrame:
@@ -150,12 +182,11 @@ def upsert_partitioned(
     game id) so a key never moves between partitions.  Only touched
     partitions are read, merged, written to a staging directory and swapped
     in one partition at a time; untouched partitions are neither read nor
-    rewritten.  The touched partition values are collected to the driver:
-    they are partition metadata, bounded by the table's partition count (the
-    same listing a dynamic-overwrite commit does), and turn into a static
-    partition filter so the scan opens only those directories.  A rerun with
-    the same ``new`` gives the same table, so an interrupted run is repaired
-    by running it again.
+    rewritten.  The touched partition values reach the driver, where they turn
+    into a static partition filter, and partitions are renamed there: choose a
+    ``partition_col`` of fixed cardinality (a season, a number of buckets), not
+    one that grows with the rows.  An interrupted run is repaired by running it
+    again: partitions left aside by a dead driver come back before the read.
     """
     spark_keys = [keys] if isinstance(keys, str) else list(keys)
     if not table_exists(spark, path):
@@ -169,8 +200,7 @@ def upsert_partitioned(
 
 
 def touched_partition_values(df: DataFrame, partition_col: str) -> list:
-    """Distinct partition values of ``df`` — partition metadata, bounded by
-    the table's partition count, not by its rows."""
+    """Distinct partition values of ``df``: as many as the partition column has."""
     return [r[0] for r in df.select(partition_col).distinct().collect()]
 
 
@@ -182,14 +212,53 @@ def in_partitions(partition_col: str, values: Sequence) -> Column:
     return cond
 
 
+def partition_versions(spark: SparkSession, path: str) -> dict[str, str]:
+    """``{partition folder: digest of its file names}``; every rewrite of a partition changes its file names."""
+    recover_partitions(spark, path)
+    fs, root = _fs(spark, path)
+    out = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name and not name.startswith((".", "_")):
+            files = sorted(f.getPath().getName() for f in fs.listStatus(status.getPath()))
+            out[name] = hashlib.sha256("\n".join(files).encode()).hexdigest()
+    return out
+
+
+def write_versions(spark: SparkSession, versions: dict[str, str], path: str) -> None:
+    """Store what ``partition_versions`` gave, one small row per partition."""
+    write_snapshot(spark.createDataFrame(sorted(versions.items()), "partition string, version string").coalesce(1), path)
+
+
+def changed_partitions(spark: SparkSession, versions: dict[str, str], built: str) -> list[str]:
+    """The partition folders that differ from those stored at ``built`` (all, if nothing is stored)."""
+    known = {}
+    if table_exists(spark, built):
+        known = {r.partition: r.version for r in spark.read.parquet(built).collect()}
+    return [name for name, version in versions.items() if known.get(name) != version]
+
+
+def in_partition_folders(partition_col: str, names: Iterable[str]) -> Column:
+    """Static partition filter for partition folders (``season=2023``)."""
+    values = [unquote(n.split("=", 1)[1]) for n in names]
+    cond = F.col(partition_col).cast("string").isin([v for v in values if v != NULL_PARTITION])
+    return cond | F.col(partition_col).isNull() if NULL_PARTITION in values else cond
+
+
+def _write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Write by partition with the rows of a partition in few tasks (a large one is split), so in few files."""
+    df.hint("rebalance", partition_col).write.mode("errorifexists").partitionBy(partition_col).parquet(path)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace the partitions present in ``df`` (and only those) in the
     partitioned table at ``path``: staged write, then one rename swap per
     partition directory.  Rerunning with the same ``df`` is idempotent."""
     spark = df.sparkSession
+    recover_partitions(spark, path)
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
-    df.write.mode("errorifexists").partitionBy(partition_col).parquet(staging)
+    _write_partitions(df, staging, partition_col)
     fs, staged_root = _fs(spark, staging)
     _, target_root = _fs(spark, path)
     if not fs.exists(target_root):
@@ -218,7 +287,7 @@ def write_snapshot_partitioned(df: DataFrame, path: str, partition_col: str) ->
     recover_snapshot(spark, path)
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
-    df.write.mode("errorifexists").partitionBy(partition_col).parquet(staging)
+    _write_partitions(df, staging, partition_col)
     fs, target = _fs(spark, path)
     _, staged = _fs(spark, staging)
     if fs.exists(target):

@@ -70,9 +70,15 @@ def parse_payloads(df: DataFrame, text_column: str, schema: T.DataType) -> DataF
     return value.select(*keep, F.inline(F.array(row)))
 
 
-def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed documents, rejected documents); the run goes on with the first."""
+def split_malformed(parsed: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(well-formed documents, rejected documents); the run goes on with the first.
+
+    A document that parses but lacks a ``required`` field (an empty file, an
+    error body) is rejected too, so every skipped entity is counted.
+    """
     bad = F.col(CORRUPT_COLUMN).isNotNull()
+    for field in required:
+        bad = bad | F.col(field).isNull()
     return parsed.filter(~bad).drop(CORRUPT_COLUMN), parsed.filter(bad)
 
 

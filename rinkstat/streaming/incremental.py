@@ -3,10 +3,10 @@
 The daily batch "pick up what landed, merge it into the warehouse" becomes a
 file stream run with ``trigger(availableNow=True)``: each run processes every
 file not yet seen (tracked in the checkpoint) and stops.  Each micro-batch is
-parsed, malformed files are set aside, and the rows are upserted into the
-keyed parquet table through the staged swap.  Re-applying a batch after a
-failure gives the same table (the upsert is idempotent), so the sink is
-effectively exactly-once.
+parsed once into the shared scratch folder; malformed files and rows without
+a whole key are set aside under the batch's number, and the other rows are
+upserted into the keyed parquet table through the staged swap.  Re-applying a
+batch after a failure gives the same table and the same rejects.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.merge import split_null_keys
 from ..schemas import CORRUPT_COLUMN, GAME_LOG_PAYLOAD
-from ..sinks.parquet import upsert_partitioned, upsert_table
+from ..session import scratch_dir
+from ..sinks.parquet import delete_path, upsert_partitioned, upsert_table
 from ..sources import payloads as S
 
 GAME_KEYS = ["playerId", "gameId"]
@@ -25,7 +27,7 @@ GAME_KEYS = ["playerId", "gameId"]
 def game_log_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(games_info rows, rejected files) of one batch of whole-file texts."""
     parsed = S.parse_payloads(batch, "_json", GAME_LOG_PAYLOAD)
-    good, rejected = S.split_malformed(parsed)
+    good, rejected = S.split_malformed(parsed, ["gameLog"])
     records = S.flatten_keyed_array(
         good, "gameLog", {"playerId": F.col(S.ENTITY_COLUMN).try_cast("bigint")}
     )
@@ -63,18 +65,26 @@ def start_game_log_ingest(
     )
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
         rows, rejected = game_log_batch(batch)
+        rows, keyless = split_null_keys(rows, GAME_KEYS)
         if known_players is not None:
             rows = rows.join(known_players.select("playerId"), "playerId", "left_semi")
         if rejects_path is not None:
-            rejected.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(rejects_path)
+            keyless = keyless.select(
+                F.col("playerId").cast("string").alias(S.ENTITY_COLUMN),
+                F.to_json(F.struct("*")).alias(CORRUPT_COLUMN),
+            )
+            rejected.unionByName(keyless).write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/epoch={epoch_id}")
+        landed = scratch_dir(session, f"batch-{epoch_id}")
+        rows.write.parquet(landed)
+        rows = session.read.parquet(landed)
         if games_partition is None:
-            upsert_table(batch.sparkSession, rows, table_path, GAME_KEYS)
+            upsert_table(session, rows, table_path, GAME_KEYS)
         else:
             column, expr = games_partition
-            upsert_partitioned(
-                batch.sparkSession, rows.withColumn(column, F.expr(expr)), table_path, GAME_KEYS, column
-            )
+            upsert_partitioned(session, rows.withColumn(column, F.expr(expr)), table_path, GAME_KEYS, column)
+        delete_path(session, landed)
 
     return (
         texts.writeStream.foreachBatch(merge_batch)
