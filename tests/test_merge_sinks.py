@@ -171,3 +171,85 @@ def test_partition_scoped_upsert_prunes_the_old_scan(spark, tmp_path):
     plan = captured[0]._jdf.queryExecution().executedPlan().toString()
     part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "season" in part_filters and ("= 0)" in part_filters or "IN (0)" in part_filters), part_filters
+
+
+def test_dead_driver_between_partition_renames_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "dwh" / "games_info")
+    schema = "playerId bigint, gameId bigint, goals int, season int"
+    day1 = spark.createDataFrame([(1, 100, 1, 2023), (1, 200, 2, 2024), (3, 201, 1, 2024)], schema)
+    K.upsert_partitioned(spark, day1, path, ["playerId", "gameId"], "season")
+    day2 = spark.createDataFrame([(1, 200, 5, 2024)], schema)
+    os.rename(f"{path}/season=2024", f"{path}/.season=2024.__retired-deadbeef")  # moved aside, successor not in yet
+    cols = ["playerId", "gameId", "goals", "season"]
+    out = K.upsert_partitioned(spark, day2, path, ["playerId", "gameId"], "season")
+    want = [(1, 100, 1, 2023), (1, 200, 5, 2024), (3, 201, 1, 2024)]
+    assert sorted(map(tuple, out.select(*cols).collect())) == want
+    os.makedirs(f"{path}/.season=2024.__retired-old")  # the successor is in, the old one not yet removed
+    assert K.table_exists(spark, path)
+    assert [n for n in os.listdir(path) if "__retired" in n] == []
+    assert sorted(map(tuple, spark.read.parquet(path).select(*cols).collect())) == want
+
+
+def test_failing_renames_leave_a_repairable_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    schema = "playerId bigint, gameId bigint, goals int, season int"
+    K.upsert_partitioned(spark, spark.createDataFrame([(1, 1, 1, 1), (2, 2, 2, 2)], schema), path, ["gameId"], "season")
+    new = spark.createDataFrame([(9, 1, 9, 1), (9, 2, 9, 2)], schema)
+    real, calls = K._fs, []
+
+    class Dying:
+        """A file system whose driver dies at the second rename of a swap."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            calls.append(1)
+            if len(calls) == 2:
+                raise KeyboardInterrupt
+            return self.fs.rename(a, b)
+
+    monkeypatch.setattr(K, "_fs", lambda s, p: (Dying(real(s, p)[0]), real(s, p)[1]))
+    try:
+        K.upsert_partitioned(spark, new, path, ["gameId"], "season")
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.setattr(K, "_fs", real)
+    assert len(calls) == 2
+    out = K.upsert_partitioned(spark, spark.createDataFrame([(9, 1, 9, 1)], schema), path, ["gameId"], "season")
+    assert sorted((r.gameId, r.goals) for r in out.collect()) == [(1, 9), (2, 2)]
+
+
+def test_empty_rerun_of_a_date_empties_it(spark, tmp_path):
+    root = str(tmp_path / "raw" / "games_info")
+    K.write_dated_partition(_df(spark, [(i, "a", "X", "d1") for i in range(5)]), root, "2024-01-01")
+    K.write_dated_partition(_df(spark, [(7, "a", "X", "d2")]), root, "2024-01-02")
+    K.write_dated_partition(_df(spark, []), root, "2024-01-01")
+    assert K.read_dated_partition(spark, root, "2024-01-01").count() == 0
+    assert [r.playerId for r in K.read_dated_partition(spark, root).collect()] == [7]
+
+
+def test_partitions_are_written_in_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 4000, 1, 16).selectExpr("id", "CAST(id % 5 AS INT) AS season")
+    K.write_snapshot_partitioned(df, path, "season")
+    for p in range(5):
+        assert len([f for f in os.listdir(f"{path}/season={p}") if f.endswith(".parquet")]) == 1
+
+
+def test_dedupe_null_order_and_ties_do_not_depend_on_the_layout(spark):
+    rows = [(k, f"n{i}", f"T{(k * 7 + i) % 5}", None if i % 3 else "d1") for k in range(50) for i in range(4)]
+    rows += [(100, "only", "T", None), (101, None, None, None)]
+    seen = []
+    for n in (1, 2, 7):
+        df = _df(spark, rows).repartition(n, "team")
+        seen.append(sorted(map(str, dedupe_latest(df, "playerId", "updatedDt").collect())))
+    assert seen[0] == seen[1] == seen[2]
+    got = {r.playerId: r for r in dedupe_latest(_df(spark, rows), "playerId", "updatedDt").collect()}
+    assert tuple(got[100]) == (100, "only", "T", None)
+    for k in range(50):
+        own = [r for r in rows if r[0] == k and r[3] is not None]
+        assert tuple(got[k]) == max(own, key=lambda r: (r[3], r[1], r[2]))

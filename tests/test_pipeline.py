@@ -139,11 +139,11 @@ def test_incremental_aggregates_equal_full_rebuild(spark, tmp_path):
     _land(land, 1)
     PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
     PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=part)
-    PL.refresh_aggregates(spark, dwh, part, raw, "2024-01-01")
+    PL.refresh_aggregates(spark, dwh, part)
     _land(land, 2)
     PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=part)
     before = sorted(os.listdir(f"{dwh}/_game_partials/block=0"))
-    PL.refresh_aggregates(spark, dwh, part, raw, "2024-01-02")
+    PL.refresh_aggregates(spark, dwh, part)
     inc = {t: sorted(map(tuple, spark.read.parquet(f"{dwh}/{t}").collect())) for t in ("skaters_agg", "goalies_agg")}
     PL.mart_and_aggregates(spark, dwh)  # full rebuild from games_info
     full = {t: sorted(map(tuple, spark.read.parquet(f"{dwh}/{t}").collect())) for t in ("skaters_agg", "goalies_agg")}
@@ -162,12 +162,12 @@ def test_incremental_mart_equals_full_rebuild(spark, tmp_path):
         _game(4, "ALP", "R", "60:00", shotsAgainst=10, goalsAgainst=2, gamesStarted=1, shutouts=0)]})
     PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
     PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=part)
-    PL.refresh_mart(spark, dwh, part, raw, "2024-01-01")
+    PL.refresh_mart(spark, dwh, part)
     untouched = sorted(os.listdir(f"{dwh}/players_games_datamart/block=2"))
     _land(land, 2)  # player 11 moves to BET (blocks 0 and 1), games 2 and 3 (block 1) arrive
     PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=part)
-    PL.refresh_mart(spark, dwh, part, raw, "2024-01-02")
-    inc = spark.read.parquet(f"{dwh}/players_games_datamart")
+    PL.refresh_mart(spark, dwh, part)
+    inc = PL.read_mart(spark, dwh)
     cols = sorted(inc.columns)
     inc_rows = sorted(map(tuple, inc.select(*cols).collect()), key=str)
     from rinkstat.plans.mart import player_game_mart
@@ -179,3 +179,91 @@ def test_incremental_mart_equals_full_rebuild(spark, tmp_path):
     assert sorted(os.listdir(f"{dwh}/players_games_datamart/block=2")) == untouched
     moved = [r for r in inc.collect() if r.playerId == 11]
     assert {r.currentTeamFullName for r in moved} == {"Beta Club"}
+
+
+PART = ("block", "CAST(gameId DIV 2 AS INT)")
+
+
+def _rows(df):
+    cols = sorted(c for c in df.columns if c != "block")
+    return sorted(map(str, df.select(*cols).collect()))
+
+
+def _full(spark, dwh):
+    from rinkstat.plans.mart import player_game_mart
+
+    return player_game_mart(*(spark.read.parquet(f"{dwh}/{t}") for t in ("games_info", "players_info", "teams")))
+
+
+def test_missed_refresh_day_is_caught_up(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=PART)
+    PL.refresh_aggregates(spark, dwh, PART)
+    PL.refresh_mart(spark, dwh, PART)
+    _w(f"{land}/gamelog/11.json", {"gameLog": [_game(4, "ALP", "H", "09:00", goals=3)]})
+    PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=PART)  # no refresh on this day
+    _w(f"{land}/gamelog/11.json", {"gameLog": [_game(6, "ALP", "H", "08:00", goals=1)]})
+    PL.players_batch(spark, land, raw, dwh, "2024-01-03", games_partition=PART)
+    PL.refresh_aggregates(spark, dwh, PART)
+    PL.refresh_mart(spark, dwh, PART)
+    assert _rows(PL.read_mart(spark, dwh)) == _rows(_full(spark, dwh))
+    inc = {t: _rows(spark.read.parquet(f"{dwh}/{t}")) for t in ("skaters_agg", "goalies_agg")}
+    PL.mart_and_aggregates(spark, dwh)
+    assert inc == {t: _rows(spark.read.parquet(f"{dwh}/{t}")) for t in ("skaters_agg", "goalies_agg")}
+    assert spark.read.parquet(f"{dwh}/skaters_agg").agg(F.sum("gamesCNT")).first()[0] == 4
+
+
+def test_restamped_roster_rebuilds_nothing(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    PL.players_batch(spark, land, raw, dwh, "2024-01-01", games_partition=PART)
+    PL.refresh_mart(spark, dwh, PART)
+    files = lambda: {p: sorted(os.listdir(f"{dwh}/players_games_datamart/{p}")) for p in os.listdir(f"{dwh}/players_games_datamart") if "=" in p}
+    before = files()
+    games = spark.read.parquet(f"{dwh}/games_info")
+    for f in os.listdir(f"{land}/gamelog"):
+        os.remove(f"{land}/gamelog/{f}")
+    _w(f"{land}/gamelog/99.json", {"gameLog": []})
+    PL.players_batch(spark, land, raw, dwh, "2024-01-02", games_partition=PART)
+    PL.refresh_mart(spark, dwh, PART)
+    assert files() == before and games.count() == 4 - 1
+    assert {r.updatedDt for r in PL.read_mart(spark, dwh).collect()} == {"2024-01-02"}
+    assert _rows(PL.read_mart(spark, dwh)) == _rows(_full(spark, dwh))
+
+
+def test_truncated_scoreboard_keeps_the_table(spark, tmp_path):
+    import pytest
+
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    assert PL.schedule_batch(spark, land, raw, dwh, "2024-01-01").count() == 2
+    _w(f"{land}/scoreboard.json", '{"gamesByDate": [{"date": ')
+    with pytest.raises(ValueError, match="malformed"):
+        PL.schedule_batch(spark, land, raw, dwh, "2024-01-02")
+    assert spark.read.parquet(f"{dwh}/shedule").count() == 2
+    _w(f"{land}/scoreboard.json", '{"gamesByDate": []}')
+    assert PL.schedule_batch(spark, land, raw, dwh, "2024-01-03").count() == 0  # valid and empty
+
+
+def test_error_bodies_and_bad_ids_are_counted(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    _w(f"{land}/gamelog/13.json", '{"error": "not found"}')
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    _, rejected = PL.players_batch(spark, land, raw, dwh, "2024-01-01")
+    assert sorted((r.entity, r.kind) for r in rejected.collect()) == [
+        ("11", "null gameId"), ("13", "gamelog"), ("BET", "roster")
+    ]
+
+
+def test_player_on_two_rosters_is_kept_once(spark, tmp_path):
+    land, raw, dwh = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "dwh")
+    _land(land, 1)
+    os.remove(f"{land}/roster/BET.json")
+    _w(f"{land}/roster/BET.json", {"forwards": [_player(11, "Ann", "Lee", "C")]})
+    PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
+    info, _ = PL.players_batch(spark, land, raw, dwh, "2024-01-01", dedupe_by="updatedDt")
+    assert sorted(r.playerId for r in info.collect()) == [11, 13]

@@ -31,6 +31,29 @@ def test_available_now_ingest_is_incremental(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted((r.playerId, r.gameId, r.goals) for r in spark.read.parquet(table).collect())
     assert got == [(11, 1, 1), (11, 2, 0), (13, 7, 2)]
+    assert sorted(r.entity for r in spark.read.parquet(rejects).collect()) == ["11b", "12"]
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    """A batch applied twice (its offsets were not committed): same table, same rejects, no keyless rows."""
+    import shutil
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    table, ckpt, rejects = str(tmp_path / "games_info"), str(tmp_path / "ckpt"), str(tmp_path / "rejects")
+    _log(landing / "11.json", [_g(1, 1), _g(None, 4)])
+    _log(landing / "coach.json", [_g(2, 3)])
+    _log(landing / "12.json", "{\"error\": \"not found\"}")
+    seen = []
+    for _ in range(2):
+        start_game_log_ingest(spark, str(landing), table, ckpt, rejects).awaitTermination(120)
+        seen.append((
+            sorted(map(str, spark.read.parquet(table).collect())),
+            sorted(str((r.entity, r.epoch)) for r in spark.read.parquet(rejects).collect()),
+        ))
+        shutil.rmtree(f"{ckpt}/commits")
+    assert seen[0] == seen[1]
+    assert len(seen[0][0]) == 1 and len(seen[0][1]) == 3
 
 
 def test_stream_merges_into_partitioned_table(spark, tmp_path):
