@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from rinkstat.plans.catalog import QUERIES
+from rinkstat.plans.oracle_catalog import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -16,7 +18,20 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
+
+
+def test_entry_without_the_corpus_operators(monkeypatch):
+    import importlib
+    import sys
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)  # what an import finds when the file is gone
+    try:
+        assert set(importlib.reload(E).queries()) == set(QUERIES)
+    finally:
+        monkeypatch.undo()
+        importlib.reload(E)
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +55,7 @@ def _bag(rows):
     return Counter(tuple(norm(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
