@@ -21,6 +21,7 @@ from .common import stored, uniform
 
 #: Documents of a source per key bucket, on average.
 BUCKET_ROWS = 2000
+SEED = 20
 
 
 def source_targets(
@@ -76,7 +77,7 @@ def mix_plan(
     weight: Column,
     source: str = "source",
     keys: tuple[str, ...] = ("doc_id",),
-    seed: int = 20,
+    seed: int = SEED,
     bucket_rows: int = BUCKET_ROWS,
     **shares,
 ) -> DataFrame:
@@ -118,7 +119,7 @@ def mix_plan(
 
 def apply_mix(
     docs: DataFrame, plan: DataFrame, size: str, weight: Column,
-    source: str = "source", keys: tuple[str, ...] = ("doc_id",), seed: int = 20,
+    source: str = "source", keys: tuple[str, ...] = ("doc_id",), seed: int = SEED,
 ) -> DataFrame:
     """``docs`` with ``source_size``, ``target`` and ``taken`` (words taken, repeats counted).
 

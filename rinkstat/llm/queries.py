@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from . import decision_rules, mixing, near_dup, packing, secrets, shard, site_quality, substring, version_sketch, warc
 from .common import stored, table, word_count
+from .oracle import ORACLE_SQL  # noqa: F401  registered beside the queries
 
 SYMBOL_CHARS = "#*$%&|<>"
 
@@ -58,10 +59,10 @@ def op5_invertible_sketch(spark: SparkSession, sf: str) -> DataFrame:
     rows = version_sketch.edited_and_next(table(spark, sf, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256",
-        version_sketch.fingerprint(F.col("keys")).alias("fingerprint"),
-        version_sketch.fingerprint(F.col("edited_keys")).alias("edited_fingerprint"),
-        version_sketch.likeness(F.col("keys"), F.col("edited_keys")).alias("near_edited"),
-        version_sketch.likeness(F.col("keys"), F.col("next_keys")).alias("near_next"),
+        version_sketch.fingerprint(F.col("cells")).alias("fingerprint"),
+        version_sketch.fingerprint(F.col("edited_cells")).alias("edited_fingerprint"),
+        version_sketch.likeness(*map(F.col, ("keys", "edited_keys", "cells", "edited_cells"))).alias("near_edited"),
+        version_sketch.likeness(*map(F.col, ("keys", "next_keys", "cells", "next_cells"))).alias("near_next"),
     )
 
 
@@ -113,5 +114,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_feistel_shards, op7_site_quality, op8_multi_index_near_dup, op9_best_fit_packing, op10_trigram_secrets,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import decision_rules, mixing, near_dup, packing, secrets
@@ -21,10 +22,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, of rows that share an id one."""
+    """Keeps one document of each group of near-duplicates, and of rows that share an id one."""
     found = near_dup.near_duplicates(docs, threshold=80)
     gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "near-duplicates-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = stored(docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"), "repeated-ids")
+    rest = docs.join(gone, "doc_id", "left_anti")
+    order = W.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
+    once = rest.join(again, "doc_id", "left_semi").withColumn("_i", F.row_number().over(order)).filter("_i = 1")
+    return rest.join(again, "doc_id", "left_anti").unionByName(once.drop("_i")).select(docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

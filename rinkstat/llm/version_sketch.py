@@ -1,13 +1,14 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text's paragraphs (lines, long ones in pieces) become keys: the hash of the
-paragraph and of how often the text holds it.  Each key goes into one cell of
+A text's paragraphs (lines, long ones in pieces, short pieces at the text's
+head so that short texts have several) become keys: the hash of the paragraph
+and of how often the text holds it.  Each key goes into one cell of
 each of the three parts of a small table; a cell holds a count, the XOR of its
 keys and the XOR of their check hashes.  Two versions' tables are subtracted
 cell by cell, and peeling cells that hold one key recovers the keys that differ.
-A table that can't be peeled is retried larger: its keys are dealt to four
-tables of the same size by their next two bits, and only tables that fail again
-grow further.
+A table that can't be peeled is retried larger: the keys are dealt by their next
+bits to as many tables of the same size as would hold them all, and a table that
+fails again is dealt to four.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 #: Cells in each of the three parts of a table; two bits of a key name its cell in a part.
 PART_CELLS = 4
 PARTS = 3
-#: Code points in a paragraph piece at most.
-PIECE_CHARS = 96
+#: Code points of a text's head, and of a paragraph piece in it and after it at most.
+HEAD_CHARS, HEAD_PIECE, PIECE = 512, 64, 512
+#: Keys per table for which the first retry makes room.
+LOAD = 5
 #: Growths until the bits of a key are used up.
 LEVELS = (64 - 2 * PARTS) // 2
 LONGS = "array<bigint>"
@@ -35,10 +38,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def paragraph_keys(text: Column, piece_chars: int = PIECE_CHARS) -> Column:
+def paragraph_keys(text: Column) -> Column:
     """The keys of a text, one per different paragraph piece; none for NULL or empty text."""
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^\\n]{{1,{piece_chars}}}"), F.lit(0))
-    hashes = F.array_sort(F.transform(pieces, lambda p: F.xxhash64(p)))
+    text = F.coalesce(text, F.lit(""))
+    part = lambda t, n: F.regexp_extract_all(t, F.lit(f"[^\\n]{{1,{n}}}"), F.lit(0))
+    head = part(F.substring(text, 1, HEAD_CHARS), HEAD_PIECE)
+    rest = part(F.substring(text, HEAD_CHARS + 1, (1 << 31) - 1), PIECE)
+    hashes = F.array_sort(F.transform(F.concat(head, rest), lambda p: F.xxhash64(p)))
 
     def runs(h: Column) -> Column:
         first = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))
@@ -49,8 +55,8 @@ def paragraph_keys(text: Column, piece_chars: int = PIECE_CHARS) -> Column:
     return let(hashes, lambda h: F.when(F.size(h) > 0, runs(h)).otherwise(F.array().cast(LONGS)))
 
 
-def _bits(key: Column, shift: Column) -> Column:
-    return F.call_function("shiftrightunsigned", key, shift).bitwiseAND(F.lit(PART_CELLS - 1))
+def _bits(key: Column, shift: Column, mask: Column) -> Column:
+    return F.call_function("shiftrightunsigned", key, shift).bitwiseAND(mask)
 
 
 def _check(key: Column) -> Column:
@@ -61,18 +67,21 @@ def _cell(n: Column, k: Column, h: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), k.cast("long").alias("k"), h.cast("long").alias("h"))
 
 
+#: Of every cell: the mask of the two key bits it looks at, and their value.
+PLACES = [((PART_CELLS - 1) << (2 * part), value << (2 * part)) for part in range(PARTS) for value in range(PART_CELLS)]
+
+
 def _places() -> Column:
-    """``(shift, value)`` of every cell: which two bits of a key it looks at, and their value."""
+    """``(mask, value)`` of every cell."""
     return F.array(*[
-        F.struct(F.lit(2 * p).alias("shift"), F.lit(v).cast("long").alias("value"))
-        for p in range(PARTS) for v in range(PART_CELLS)
+        F.struct(F.lit(m).cast("long").alias("mask"), F.lit(v).cast("long").alias("value")) for m, v in PLACES
     ])
 
 
 def cells_of(keys: Column) -> Column:
     """The table of ``keys``: an array of cells ``(n, k, h)``."""
     def fill(place: Column) -> Column:
-        own = F.filter(keys, lambda k: _bits(k, place["shift"]) == place["value"])
+        own = F.filter(keys, lambda k: k.bitwiseAND(place["mask"]) == place["value"])
         zero = _cell(F.lit(0), F.lit(0), F.lit(0))
         return F.aggregate(own, zero, lambda a, k: _cell(a["n"] + 1, a["k"].bitwiseXOR(k), a["h"].bitwiseXOR(_check(k))))
 
@@ -96,7 +105,7 @@ def peel(cells: Column) -> Column:
 
     def without(state: Column, found: Column) -> Column:
         def clean(cell: Column, place: Column) -> Column:
-            own = F.filter(found, lambda p: _bits(p["k"], place["shift"]) == place["value"])
+            own = F.filter(found, lambda p: p["k"].bitwiseAND(place["mask"]) == place["value"])
             return F.aggregate(own, cell, lambda a, p: _cell(
                 a["n"] - p["s"], a["k"].bitwiseXOR(p["k"]), a["h"].bitwiseXOR(_check(p["k"]))
             ))
@@ -122,33 +131,62 @@ def peel(cells: Column) -> Column:
     return F.aggregate(rounds, start, step, finish)
 
 
-def differences(a: Column, b: Column) -> Column:
+def _table(a: Column, b: Column) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"))
+
+
+def _deal(a: Column, b: Column, bits: Column) -> Column:
+    """The keys of both sides dealt to tables by the first ``bits`` bits after those of the cells, in linear space."""
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    of = lambda keys, side: F.transform(keys, lambda k: F.struct(
+        _bits(k, F.lit(2 * PARTS), mask).alias("t"), F.lit(side).alias("s"), k.alias("k")
+    ))
+
+    def tables(r: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda i: (i == 0) | (F.get(r, i)["t"] != F.get(r, i - 1)["t"]))
+
+        def cut(begin: Column) -> Column:
+            def one(at: Column, i: Column) -> Column:
+                own = F.slice(r, at + 1, F.coalesce(F.get(begin, i + 1), F.size(r)) - at)
+                side = lambda x, s: F.transform(F.filter(x, lambda e: e["s"] == s), lambda e: e["k"])
+                return let(own, lambda x: _table(side(x, 1), side(x, -1)))
+
+            return F.transform(begin, one)
+
+        return let(first, cut)
+
+    return let(F.array_sort(F.concat(of(a, 1), of(b, -1))), tables)
+
+
+def differences(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
     """The keys that only ``a`` holds (``s`` = 1) or only ``b`` (``s`` = -1), recovered from their tables.
 
-    If a table still fails when all bits are used up, its keys are compared as sets.
+    ``cells_a`` and ``cells_b`` are the first tables where they are known.  If a table still fails when all bits are used up, its keys are compared as sets.
     """
-    pair = F.struct(a.alias("a"), b.alias("b"))
-
-    def grow(table: Column, level: Column) -> Column:
+    def four(table: Column, shift: Column) -> Column:
         def part(v: Column) -> Column:
-            shift = (level * 2 + 2 * PARTS).cast("int")
-            return F.struct(
-                F.filter(table["a"], lambda k: _bits(k, shift) == v).alias("a"),
-                F.filter(table["b"], lambda k: _bits(k, shift) == v).alias("b"),
-            )
+            own = lambda keys: F.filter(keys, lambda k: _bits(k, shift, F.lit(3)) == v)
+            return _table(own(table["a"]), own(table["b"]))
 
-        four = F.transform(F.array(*[F.lit(v).cast("long") for v in range(4)]), part)
-        return F.filter(four, lambda t: (F.size(t["a"]) > 0) | (F.size(t["b"]) > 0))
+        parts = F.transform(F.array(*[F.lit(v).cast("long") for v in range(4)]), part)
+        return F.filter(parts, lambda t: (F.size(t["a"]) > 0) | (F.size(t["b"]) > 0))
 
     def step(acc: Column, level: Column) -> Column:
-        tried = F.transform(
-            acc["open"], lambda t: F.struct(t.alias("t"), peel(subtract(cells_of(t["a"]), cells_of(t["b"]))).alias("got"))
-        )
-        next_ = let(tried, lambda r: F.struct(
-            F.flatten(F.transform(F.filter(r, lambda x: x["got"].isNull()), lambda x: grow(x["t"], level))).alias("open"),
-            F.concat(acc["keys"], F.flatten(F.transform(F.filter(r, lambda x: x["got"].isNotNull()), lambda x: x["got"]))).alias("keys"),
-        ))
-        return F.when(F.size(acc["open"]) > 0, next_).otherwise(acc)
+        def subtracted(t: Column) -> Column:
+            cells = subtract(cells_of(t["a"]), cells_of(t["b"]))
+            return cells if cells_a is None else F.when(level == 0, subtract(cells_a, cells_b)).otherwise(cells)
+
+        tried = F.transform(acc["open"], lambda t: F.struct(t.alias("t"), peel(subtracted(t)).alias("got")))
+
+        def go(r: Column) -> Column:
+            failed = F.filter(r, lambda x: x["got"].isNull())
+            larger = F.when((level == 0) & (F.size(failed) > 0), _deal(a, b, acc["shift"] - 2 * PARTS)).otherwise(
+                F.flatten(F.transform(failed, lambda x: four(x["t"], acc["shift"] - 2)))
+            )
+            got = F.flatten(F.transform(F.filter(r, lambda x: x["got"].isNotNull()), lambda x: x["got"]))
+            return F.struct(larger.alias("open"), F.concat(acc["keys"], got).alias("keys"), (acc["shift"] + 2).alias("shift"))
+
+        return F.when(F.size(acc["open"]) > 0, let(tried, go)).otherwise(acc)
 
     def finish(acc: Column) -> Column:
         def rest(t: Column) -> Column:
@@ -157,50 +195,54 @@ def differences(a: Column, b: Column) -> Column:
 
         return F.concat(acc["keys"], F.flatten(F.transform(acc["open"], rest)))
 
-    start = F.struct(F.array(pair).alias("open"), F.array().cast(SIGNED).alias("keys"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, finish)
+    bits = F.greatest(F.ceil(F.log2((F.size(a) + F.size(b)) / LOAD)), F.lit(1)).cast("int")
+    start = F.struct(
+        F.array(_table(a, b)).alias("open"), F.array().cast(SIGNED).alias("keys"), (bits + 2 * PARTS).alias("shift")
+    )
+    return F.when(F.size(a) + F.size(b) == 0, F.array().cast(SIGNED)).otherwise(
+        F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), start, step, finish)
+    )
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
     """1 minus the keys that differ over all keys; 1 for two empty texts."""
     every = F.size(a) + F.size(b)
-    return F.when(every == 0, F.lit(1.0)).otherwise(1 - F.size(differences(a, b)) / every)
+    return F.when(every == 0, F.lit(1.0)).otherwise(1 - F.size(differences(a, b, cells_a, cells_b)) / every)
 
 
-def fingerprint(keys: Column) -> Column:
-    """The smallest table of ``keys`` as text; equal texts have equal fingerprints."""
-    cells = F.transform(cells_of(keys), lambda c: F.concat_ws(":", c["n"].cast("string"), F.hex(c["k"]), F.hex(c["h"])))
-    return F.array_join(cells, ";")
+def fingerprint(cells: Column) -> Column:
+    """A text's first table as text; equal texts have equal fingerprints."""
+    return F.array_join(F.transform(cells, lambda c: F.concat_ws(":", c["n"].cast("string"), F.hex(c["k"]), F.hex(c["h"]))), ";")
 
 
-def _range_of(key: Column, bounds: list) -> Column:
+def _range_of(key: Column, bounds: list[int]) -> Column:
     """The number of the last of the sorted ``bounds`` that is not above ``key`` (NULL: the last range)."""
     if not bounds:
         return F.lit(0)
     step = isqrt(len(bounds) - 1) + 1
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    heads = F.array(*[F.lit(g[0]) for g in groups])
-    nested = F.array(*[F.array(*map(F.lit, g)) for g in groups])
-    at = F.greatest(F.size(F.filter(heads, lambda b: b <= key)), F.lit(1)) - 1
-    inner = let(at, lambda i: i * step + F.greatest(F.size(F.filter(F.get(nested, i), lambda b: b <= key)), F.lit(1)) - 1)
+    listed = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast(LONGS)  # noqa: E731  one constant
+    upto = lambda values: F.greatest(F.size(F.filter(values, lambda b: b <= key)), F.lit(1)) - 1
+    inner = let(upto(listed(bounds[::step])), lambda i: i * step + upto(F.slice(listed(bounds), i * step + 1, F.lit(step))))
     return F.when(key.isNull(), F.lit(len(bounds) - 1)).otherwise(inner)
 
 
-def in_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_per_range: int = 5000) -> DataFrame:
+def in_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` dealt to ranges of the key (``_range``), with a copy of each range's first row behind the range before.
 
     In ``W.partitionBy("_range").orderBy("_copy", key, text)`` every row that is
     not a copy (``_copy``) is then followed by the next row of the whole table;
-    the last by the first.  Only the ranges' first keys, one per
-    ``rows_per_range`` rows, reach the driver.  NULL keys come last.
+    the last by the first.  Only the ranges' first keys, four per shuffle
+    partition, reach the driver.  The key is an integer; NULL keys come last.
     """
+    spark = docs.sparkSession
     ids = docs.select(F.col(key).alias("_k")).filter("_k IS NOT NULL")
-    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, -(-ids.count() // rows_per_range))
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     firsts = ids.repartitionByRange(ranges, "_k").groupBy(F.spark_partition_id()).agg(F.min("_k").alias("k"))
     bounds = sorted(r["k"] for r in firsts.collect())
     own = _range_of(F.col(key), bounds)
     before = F.pmod(own - 1, F.lit(max(1, len(bounds))))
-    is_first = F.array_contains(F.array(*map(F.lit, bounds)), F.col(key)) if bounds else F.lit(True)
+    listed = F.split(F.lit(",".join(map(str, bounds))), ",").cast(LONGS) if bounds else None
+    is_first = F.get(listed, own) == F.col(key) if bounds else F.lit(True)
     place = F.struct(own.alias("_range"), F.lit(False).alias("_copy"))
     copy = F.struct(before.alias("_range"), F.lit(True).alias("_copy"))
     places = F.when(F.coalesce(is_first, F.lit(False)), F.array(place, copy)).otherwise(F.array(place))
@@ -208,7 +250,8 @@ def in_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_per
 
 
 def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_chars, edited_sha256, keys, edited_keys, next_keys)`` for every row of ``docs``.
+    """``(key, n_chars, edited_sha256, keys, cells)`` for every row of ``docs``, and the keys and cells of its
+    edited text (``edited_``) and of the next document (``next_``).
 
     The edited text has its last quarter replaced by as many first code points
     of the next document.  NULL text is empty.  Rows of one key follow each
@@ -227,4 +270,6 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         paragraph_keys(F.col(text)).alias("keys"), paragraph_keys(F.col("_edited")).alias("edited_keys"),
     )
-    return rows.withColumn("next_keys", F.lead("keys").over(keyed)).filter("NOT _copy").drop("_range", "_copy", "_at")
+    rows = rows.withColumns({"cells": cells_of(F.col("keys")), "edited_cells": cells_of(F.col("edited_keys"))})
+    after = {f"next_{c}": F.lead(c).over(keyed) for c in ("keys", "cells")}
+    return rows.withColumns(after).filter("NOT _copy").drop("_range", "_copy", "_at")

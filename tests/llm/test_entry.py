@@ -1,0 +1,38 @@
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from rinkstat.llm.oracle import ORACLE_SQL
+from rinkstat.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t + '.parquet')}')")
+    return con
+
+
+def _bag(rows):
+    norm = lambda v: float(f"{v:.9g}") if isinstance(v, float) else v
+    return sorted((tuple(norm(v) for v in r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF)
+    cols = sorted(df.columns)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert sorted(rel.columns) == cols
+    at = [rel.columns.index(c) for c in cols]
+    assert _bag(tuple(r) for r in df.select(*cols).collect()) == _bag(tuple(r[i] for i in at) for r in rel.fetchall())
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(E.queries())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

@@ -1,0 +1,89 @@
+"""The pipeline against the operators' brute-force versions, stage by stage, on a whole small table."""
+
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from rinkstat.llm import decision_rules as R
+from rinkstat.llm import stages
+
+from .data import frame, words
+from .test_mixing import brute_mix
+from .test_near_dup import brute as brute_near
+from .test_packing import TOKENIZER, best_fit
+from .test_quality_rules import brute as brute_statistics
+from .test_secrets import brute as brute_spans
+
+SF = "/root/testdata/sf0.001"
+
+
+def kept_by_rules(spark, rows):
+    """Rows that the base and the learned list accept; the list itself is learned as the stage learns it."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = R.fit_rules(docs, labels)
+    stats = R.with_statistics(docs).select("doc_id", *[F.expr(e).alias(f) for f, e in R.FEATURES.items()]).toPandas()
+    x = {f: stats[f].to_numpy(float) for f in R.FEATURES}
+    bad = np.any([np.zeros(len(stats), bool), *[r.holds(x) for r in rules]], axis=0)
+    gone = set(stats["doc_id"][bad])
+    out = []
+    for r in rows:
+        n, _, _, _, repeated = brute_statistics(r[1])
+        if n >= 10 and 100 * repeated <= 20 * n and r[0] not in gone:
+            out.append(r)
+    return out
+
+
+def masked(text):
+    out, end = "", 0
+    for start, _, stop in brute_spans(text):
+        if start >= end:
+            out += text[end:start] + "[secret]"
+        end = max(end, stop)
+    return out + text[end:]
+
+
+def noise(text):
+    n, s = len(words(text)), sum(c in "#*$%&|<>" for c in text)
+    return n / (n + s) if n else 1e-6
+
+
+def test_pipeline_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows = kept_by_rules(spark, rows)
+    rows = [r for r in rows if brute_near(rows, 80)[r[0]][2]]
+    rows = [(d, masked(t), lang, source, len(masked(t)) if masked(t) != t else n) for d, t, lang, source, n in rows]
+    weights = {r[0]: noise(r[1]) for r in rows}
+    mixed = brute_mix(rows, weights.__getitem__)
+    rows = [r for r in rows for _ in range(mixed[r[0]][4] // max(mixed[r[0]][1], 1))]
+    want = []
+    for d, text, *_ in rows:
+        ids = np.array([*TOKENIZER.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        want += [(d, p, s, len(ids[s : s + 2048]), zlib.crc32(ids[s : s + 2048].tobytes())) for p, s in enumerate(range(0, len(ids), 2048))]
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(by) == best_fit([w[3] for w in want], 2048)
+    for places in by.values():
+        assert sum(n for _, n in places) <= 2048
+        assert sorted(a for a, _ in places) == [0, *np.cumsum([n for _, n in sorted(places)])[:-1]]
+
+
+def test_stages_keep_columns_and_awkward_rows(spark):
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (None, "word " * 3, None, None, 15), (4, "a b c d e f g h i j k", "en", "a", 21),
+        (4, "a b c d e f g h i j k", "en", "a", 21), (5, "A b c d e f g h i j k", "en", "b", 21), (6, "my token = abcdefgh here", "en", "b", 24),
+    ]
+    docs = frame(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    near = stages.near_duplicates(spark, docs, SF).collect()
+    assert sorted((r.doc_id for r in near), key=repr) == [1, 2, 4, 6, None]
+    clean = {r.doc_id: (r.text, r.n_chars) for r in stages.secret_scans(spark, docs, SF).collect()}
+    assert clean[6] == ("my [secret] here", 16) and clean[5] == (rows[5][1], 21) and clean[1] == (None, None)
+    assert stages.best_fit_packing(spark, docs, SF).count() == len(rows)

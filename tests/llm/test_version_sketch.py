@@ -11,7 +11,8 @@ from .data import documents, frame
 
 
 def elements(text):
-    return set(Counter(re.findall(f"[^\n]{{1,{V.PIECE_CHARS}}}", text or "")).items())
+    head, rest = (text or "")[: V.HEAD_CHARS], (text or "")[V.HEAD_CHARS :]
+    return set(Counter(re.findall(f"[^\n]{{1,{V.HEAD_PIECE}}}", head) + re.findall(f"[^\n]{{1,{V.PIECE}}}", rest)).items())
 
 
 def alike(a, b):
