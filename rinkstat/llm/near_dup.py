@@ -4,15 +4,18 @@ A document's set of word shingles is signed with b-bit MinHash values.  The
 signature is split into chunks; by the pigeonhole principle two signatures that
 differ in at most ``chunks * (errors + 1) - 1`` places agree in some chunk but
 for ``errors`` places.  All ways to leave out that many places of each chunk
-are enumerated as keys, so an equi-join on keys meets every pair under that
-distance, and none is missed.  The number of chunks follows from the wanted
-similarity: a pair at the threshold stays under the distance but for a stated
-probability.  Pairs that meet are confirmed on their full sets.
+are enumerated as keys, so two documents under that distance share a key, and
+none is missed.  The number of chunks follows from the wanted similarity: a
+pair at the threshold stays under the distance but for a stated probability.
+Links are confirmed on full sets.
 
 Equal sets are one class from the start, and classes that are already connected
-are not compared again: in rounds, a few pivots of every key are compared with
-the key's other classes outside their component, so a large group of copies
-costs its size times the pivots, not its square.
+are never compared.  First the members of strict keys (two whole chunks) meet a
+few pivots each, which joins copies of copies at a cost linear in a key's size.
+Then the members of a key whose components still differ are compared inside
+tasks, a large key in pairs of blocks dealt to many tasks, on long one-bit
+signatures; only pairs that pass, each under the first key that both hold, are
+emitted and confirmed.
 """
 
 from __future__ import annotations
@@ -20,12 +23,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -34,19 +36,27 @@ from .words import Words, as_long, chunks, mix
 SHINGLE = 5
 CHUNK = 5
 ERRORS = 1
-#: Pivots of a key in the first round; each round has four times as many as the one before.
-PIVOTS = 16
+#: Pivots of a strict key in each of the first rounds.
+PIVOTS = (2, 8)
+#: Bits of the long signatures, and members of a key that are compared in one go.
+BITS, BLOCK = 1024, 512
 SETS = "doc_id long, n_shingles long, digest binary, signature array<short>"
 
 
+def tail(n: int, p: float, most: int) -> float:
+    """Probability that more than ``most`` of ``n`` places differ, each with probability ``p``."""
+    term = lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p))
+    return sum(term(i) for i in range(most + 1, n + 1))
+
+
 def chunks_for(threshold: float, chunk: int = CHUNK, errors: int = ERRORS, miss: float = 1e-6) -> int:
     """The fewest chunks for which a pair at the threshold exceeds the distance with probability below ``miss``."""
-    p = 1 - threshold
-    for m in range(1, 65):
-        k, most = m * chunk, m * (errors + 1) - 1
-        if sum(comb(k, i) * p**i * (1 - p) ** (k - i) for i in range(most + 1, k + 1)) < miss:
-            return m
-    raise ValueError("no signature of a reasonable length holds this threshold")
+    return next(m for m in range(1, 1000) if tail(m * chunk, 1 - threshold, m * (errors + 1) - 1) < miss)
+
+
+def bits_for(threshold: float, bits: int = BITS, miss: float = 1e-6) -> int:
+    """The distance of one-bit signatures that a pair at the threshold exceeds with probability below ``miss``."""
+    return next(d for d in range(bits) if tail(bits, (1 - threshold) / 2, d) < miss)
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -97,15 +107,40 @@ def signatures(docs: DataFrame, key: str, text: str, length: int, shingle: int)
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(measure, SETS)
 
 
-def chunk_keys(classes: DataFrame, n_chunks: int, chunk: int = CHUNK, errors: int = ERRORS) -> DataFrame:
-    """``(key, rep)``: for each chunk, a key for every way to leave ``errors`` places out."""
-    left = [tuple(c * chunk + i for i in keep) for c in range(n_chunks) for keep in combinations(range(chunk), chunk - errors)]
-    keys = F.array(*[F.xxhash64(F.lit(n), *[F.col("signature")[i] for i in places]) for n, places in enumerate(left)])
-    return classes.select(F.explode(keys).alias("key"), "rep")
+def long_signature(shingles: np.ndarray, seeds: np.ndarray) -> bytes:
+    """A bit of the smallest value under each of many permutations, packed."""
+    low = np.full(len(seeds), 0xFFFFFFFF, np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(short), 512):
+        x = (short[i : i + 512, None] ^ seeds) * np.uint32(0x85EBCA6B)
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0xC2B2AE35)
+        np.minimum(low, x.min(axis=0), out=low)
+    return np.packbits((low * np.uint32(0x9E3779B1)) >> np.uint32(31)).tobytes()
+
+
+def kept_places(n_chunks: int, chunk: int = CHUNK, errors: int = ERRORS) -> list[tuple[int, ...]]:
+    """The places of each key: for each chunk, all ways to leave ``errors`` places out."""
+    return [tuple(c * chunk + i for i in keep) for c in range(n_chunks) for keep in combinations(range(chunk), chunk - errors)]
+
 
+def keyed(classes: DataFrame, places: list[tuple[int, ...]]) -> DataFrame:
+    """``(n, key, rep)``: the key number ``n`` of every class, a hash of its signature at ``places[n]``."""
+    keys = F.array(*[F.xxhash64(F.lit(n), *[F.col("signature")[i] for i in p]) for n, p in enumerate(places)])
+    return classes.select(F.posexplode(keys).alias("n", "key"), "rep")
 
-def _shingle_table(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """``(rep, shingles)`` of the documents in ``wanted``."""
+
+def _shared(members: DataFrame, by: str = "rep") -> DataFrame:
+    """The keys of ``members`` that hold different values of ``by``, and how many members they have."""
+    return (
+        members.groupBy("key").agg(F.min(by).alias("_a"), F.max(by).alias("_b"), F.count(F.lit(1)).alias("size"))
+        .filter("_a < _b").select("key", "size")
+    )
+
+
+def _class_table(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """``(rep, shingles, bits)`` of the documents in ``wanted``."""
+    seeds = np.random.default_rng(13).integers(0, 1 << 32, BITS, dtype=np.uint32)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,32 +149,91 @@ def _shingle_table(docs: DataFrame, wanted: DataFrame, key: str, text: str, shin
             sets = list(shingle_sets(batch.column("text"), shingle))
             places = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.ListArray.from_arrays(pa.array(places), pa.array(as_long(np.concatenate(sets)), pa.int64()))],
-                names=["rep", "shingles"],
+                [batch.column("rep"), pa.ListArray.from_arrays(pa.array(places), pa.array(as_long(np.concatenate(sets)), pa.int64())),
+                 pa.array([long_signature(s, seeds) for s in sets], pa.binary())],
+                names=["rep", "shingles", "bits"],
             )
 
     rows = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).join(wanted, "rep", "left_semi")
-    return rows.mapInArrow(gather, "rep long, shingles array<long>")
+    return rows.mapInArrow(gather, "rep long, shingles array<long>, bits binary")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, threshold: int, distance: int) -> DataFrame:
-    """The pairs ``(a, b)`` under the signature distance with 100 * intersection >= threshold * union."""
-    signed = classes.select("rep", "signature")
-    near = (
-        pairs.join(signed.select(F.col("rep").alias("a"), F.col("signature").alias("_x")), "a")
-        .join(signed.select(F.col("rep").alias("b"), F.col("signature").alias("_y")), "b")
-        .filter(F.size(F.filter(F.arrays_zip("_x", "_y"), lambda z: z["_x"] != z["_y"])) <= distance)
-        .select("a", "b")
-    )
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs ``(a, b)`` with 100 * intersection >= threshold * union."""
     both = F.size(F.array_intersect("_x", "_y"))
     return (
-        near.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("_y")), "b")
+        pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("_y")), "b")
         .join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("_x")), "a")
         .filter(100 * both >= threshold * (F.size("_x") + F.size("_y") - both))
-        .select("a", "b").distinct()
+        .select("a", "b")
     )
 
 
+def pivot_pairs(members: DataFrame, labels: DataFrame, pivots: int) -> DataFrame:
+    """Each member of a key with the key's pivots (the smallest member of each of ``pivots`` salts), unless connected."""
+    placed = members.select("key", "rep").join(labels, "rep")
+    placed = stored(placed.join(_shared(placed, "comp").select("key"), "key", "left_semi"), "key-members")
+    lead = placed.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(pivots))).agg(F.min(F.struct("rep", "comp")).alias("_l"))
+    lead = lead.select("key", F.col("_l.rep").alias("_p"), F.col("_l.comp").alias("_c"))
+    return (
+        placed.join(lead, "key").filter("rep <> _p AND comp <> _c")
+        .select(F.least("rep", "_p").alias("a"), F.greatest("rep", "_p").alias("b")).distinct()
+    )
+
+
+def block_pairs(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, places: list[tuple[int, ...]], bits: int, block: int = BLOCK,
+) -> DataFrame:
+    """The pairs ``(a, b)`` that share a key, are not connected and differ in at most ``bits`` bits.
+
+    A key's members are dealt to blocks; every pair of blocks is one group of
+    rows, compared in one task.  A pair that shares several keys is emitted
+    under the first of them only.
+    """
+    placed = members.join(labels, "rep")
+    unsettled = _shared(placed, "comp").select("key", F.ceil(F.col("size") / block).cast("int").alias("_blocks"))
+    placed = placed.join(unsettled, "key").withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
+    others = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    dealt = placed.select("*", F.explode(others).alias("_other")).select(
+        "key", "n", "rep", "comp", "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j")
+    )
+    rows = dealt.join(classes, "rep").withColumn("_group", F.xxhash64("key", "_i", "_j"))
+
+    kept = np.array(places)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
+        if table is None:
+            return
+        group, n, rep, comp, own, i_, j_ = (
+            table.column(c).to_numpy() for c in ("_group", "n", "rep", "comp", "_own", "_i", "_j")
+        )
+        packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rep), -1)
+        signed = table.column("signature").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+        order = np.argsort(group, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
+        left, right = [], []
+        for begin, end in zip(starts, np.append(starts[1:], len(order)), strict=True):
+            rows = order[begin:end]
+            if (comp[rows] == comp[rows[0]]).all():
+                continue
+            same_block = i_[rows[0]] == j_[rows[0]]
+            first = rows if same_block else rows[own[rows] == i_[rows]]
+            second = rows if same_block else rows[own[rows] == j_[rows]]
+            for at, x in enumerate(first):
+                y = second[at + 1 :] if same_block else second
+                y = y[comp[y] != comp[x]]
+                y = y[np.bitwise_count(packed[y] ^ packed[x]).sum(axis=1) <= bits]
+                for z in y:
+                    agree = signed[x] == signed[z]
+                    if np.argmax(agree[kept].all(axis=1)) == n[x]:
+                        left.append(min(rep[x], rep[z]))
+                        right.append(max(rep[x], rep[z]))
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return rows.repartition("_group").mapInArrow(compare, "a long, b long").distinct()
+
+
 def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels (rep, comp)`` after joining the components that ``links (a, b)`` connect; a label is the smallest member.
 
@@ -170,49 +264,40 @@ def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, threshold: int = 85, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-    n_chunks: int | None = None, pivots: int = PIVOTS,
+    n_chunks: int | None = None, pivots: tuple[int, ...] = PIVOTS, block: int = BLOCK,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``.
 
     Documents with Jaccard similarity of at least ``threshold`` percent are
     linked; ``component_id`` is the smallest id reachable and ``kept`` marks it.
     NULL, empty and blank texts have no shingles and are linked with nothing.
-    Rows that share an id are judged by their own texts.  A row with a NULL id is linked with
-    nothing and kept; its component is NULL.  An empty table stays empty.
+    Rows that share an id are judged by their own texts.  A row with a NULL id
+    is linked with nothing and kept; its component is NULL.  An empty table
+    stays empty.
     """
     n_chunks = n_chunks or chunks_for(threshold / 100)
-    distance = n_chunks * (ERRORS + 1) - 1
+    places = kept_places(n_chunks)
+    strict = [tuple(range(c * CHUNK, (c + 2) * CHUNK)) for c in range(n_chunks - 1)]
     signed = stored(signatures(docs, key, text, n_chunks * CHUNK, shingle), "signatures")
     classes = stored(
         signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")),
         "equal-sets",
     )
-    keyed = chunk_keys(classes, n_chunks)
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("_a"), F.max("rep").alias("_b")).filter("_a < _b").select("key")
-    members = stored(keyed.join(shared, "key", "left_semi"), "key-members")
+    every = keyed(classes, places)
+    members = stored(every.join(_shared(every).select("key"), "key", "left_semi"), "key-members")
     involved = stored(members.select("rep").distinct(), "key-classes")
-    sets = stored(_shingle_table(docs, involved, key, text, shingle), "class-shingles")
-    signed_classes = stored(classes.join(involved, "rep", "left_semi").select("rep", "signature"), "class-signatures")
+    table = stored(_class_table(docs, involved, key, text, shingle), "class-table")
+    sets = table.select("rep", "shingles")
+    short = stored(classes.join(involved, "rep", "left_semi").select("rep", "signature"), "class-signatures")
     labels = stored(involved.withColumn("comp", F.col("rep")), "component-labels")
 
-    while not members.isEmpty():
-        placed = members.join(labels, "rep")
-        unsettled = placed.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a < _b").select("key")
-        placed = stored(placed.join(unsettled, "key", "left_semi"), "key-members")
-        order = W.partitionBy("key").orderBy(F.xxhash64("rep"), "rep")
-        # row_number below a limit is cut per task before the shuffle, so a common key sends few rows
-        lead = stored(placed.withColumn("_i", F.row_number().over(order)).filter(F.col("_i") <= pivots).select("key", "rep", "comp"), "key-pivots")
-        other = lead.select("key", F.col("rep").alias("_p"), F.col("comp").alias("_c"))
-        pairs = (
-            placed.join(other, "key").filter("rep <> _p AND comp <> _c")
-            .select(F.least("rep", "_p").alias("a"), F.greatest("rep", "_p").alias("b")).distinct()
-        )
-        links = confirmed(stored(pairs, "class-pairs"), signed_classes, sets, threshold, distance)
-        labels = connect(labels, links)
-        # A pivot has met all other classes of its key; the rest go on among themselves.
-        members = stored(placed.select("key", "rep").join(lead.select("key", "rep"), ["key", "rep"], "left_anti"), "key-members")
-        pivots *= 4
+    tight = stored(keyed(short, strict), "strict-members")
+    for many in pivots:
+        pairs = stored(pivot_pairs(tight, labels, many), "class-pairs")
+        labels = connect(labels, confirmed(pairs, sets, threshold))
+    rest = block_pairs(members, labels, short.join(table.select("rep", "bits"), "rep"), places, bits_for(threshold / 100), block)
+    labels = connect(labels, confirmed(stored(rest, "class-pairs"), sets, threshold))
 
     found = classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component_id"))
     result = signed.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")

@@ -60,11 +60,11 @@ def result(df):
     return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
 
 
-@pytest.mark.parametrize(("threshold", "pivots"), [(85, 16), (85, 1), (80, 16)])
-def test_components_equal_brute_force(spark, threshold, pivots):
+@pytest.mark.parametrize(("threshold", "pivots", "block"), [(85, (2, 8), 512), (85, (), 4), (80, (1,), 7)])
+def test_components_equal_brute_force(spark, threshold, pivots, block):
     rows = chains() + [(d + 5000, t, *r) for d, t, *r in documents()]
     df = frame(spark, rows).withColumn("component_id", F.lit("clash"))
-    assert result(near_dup.near_duplicates(df, threshold, pivots=pivots)) == brute(rows, threshold)
+    assert result(near_dup.near_duplicates(df, threshold, pivots=pivots, block=block)) == brute(rows, threshold)
 
 
 def test_ids_nulls_and_empty_table(spark):
@@ -79,6 +79,8 @@ def test_chunks_keep_the_promise():
         m = near_dup.chunks_for(threshold)
         k, most = m * near_dup.CHUNK, 2 * m - 1
         assert sum(comb(k, i) * (1 - threshold) ** i * threshold ** (k - i) for i in range(most + 1, k + 1)) < 1e-6
+        n, p, d = near_dup.BITS, (1 - threshold) / 2, near_dup.bits_for(threshold)
+        assert n * p < d < n * p + 6 * (n * p * (1 - p)) ** 0.5
 
 
 def test_every_pair_under_the_distance_shares_a_key(spark):
@@ -91,7 +93,7 @@ def test_every_pair_under_the_distance_shares_a_key(spark):
         at = rng.choice(len(v), 2 * m - 1, replace=False)
         v[at] = rng.integers(-30000, 30000, len(at))
         rows.append((i, [int(x) for x in v]))
-    keys = near_dup.chunk_keys(spark.createDataFrame(rows, "rep long, signature array<short>"), m)
+    keys = near_dup.keyed(spark.createDataFrame(rows, "rep long, signature array<short>"), near_dup.kept_places(m))
     own = {r.key for r in keys.filter("rep = 0").collect()}
     assert {r.rep for r in keys.collect() if r.key in own} == set(range(200))
 
@@ -103,6 +105,20 @@ def test_signatures_estimate_similarity():
     assert abs((near_dup.sign(a, factors) == near_dup.sign(b, factors)).mean() - 1500 / 2500) < 0.04
 
 
+def test_long_signatures_estimate_similarity():
+    seeds = np.random.default_rng(13).integers(0, 1 << 32, near_dup.BITS, dtype=np.uint32)
+    rng, off = np.random.default_rng(5), []
+    for n in (40, 150, 1500):
+        for _ in range(30):
+            pool = rng.integers(0, 1 << 63, n * 2).astype(np.uint64) * np.uint64(2)
+            cut = max(1, n // 12)
+            a, b = pool[:n], pool[cut : n + cut]
+            x, y = (np.frombuffer(near_dup.long_signature(s, seeds), np.uint8) for s in (a, b))
+            want = near_dup.BITS * (1 - (n - cut) / (n + cut)) / 2
+            off.append((np.bitwise_count(x ^ y).sum() - want) / (want * (1 - want / near_dup.BITS)) ** 0.5)
+    assert abs(np.mean(off)) < 0.4 and np.std(off) < 1.4 and np.abs(off).max() < 4.5
+
+
 def test_connect_long_chain(spark):
     n = 300
     rng = random.Random(4)
