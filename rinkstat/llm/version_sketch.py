@@ -1,14 +1,14 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text's paragraphs (lines, long ones in pieces, short pieces at the text's
-head so that short texts have several) become keys: the hash of the paragraph
-and of how often the text holds it.  Each key goes into one cell of
-each of the three parts of a small table; a cell holds a count, the XOR of its
-keys and the XOR of their check hashes.  Two versions' tables are subtracted
-cell by cell, and peeling cells that hold one key recovers the keys that differ.
-A table that can't be peeled is retried larger: the keys are dealt by their next
-bits to as many tables of the same size as would hold them all, and a table that
-fails again is dealt to four.
+A text's paragraphs (lines, long ones in pieces of one size throughout, so that
+every part of a text weighs the same) become keys: the hash of the paragraph and
+of how often the text holds it.  Each key goes into one cell of each of the three
+parts of a small table; a cell holds a count, the XOR of its keys and the XOR of
+their check hashes.  Two versions' tables are subtracted cell by cell, and peeling
+cells that hold one key recovers the keys that differ.  A table that can't be
+peeled is retried larger: the keys are dealt by their next bits to as many tables
+of the same size as would hold them all, and a table that fails again is dealt to
+four.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 #: Cells in each of the three parts of a table; two bits of a key name its cell in a part.
 PART_CELLS = 4
 PARTS = 3
-#: Code points of a text's head, and of a paragraph piece in it and after it at most.
-HEAD_CHARS, HEAD_PIECE, PIECE = 512, 64, 512
+#: Code points in a paragraph piece at most.
+PIECE = 96
+#: A text's head of no code points: no part has pieces of its own size.
+HEAD_CHARS, HEAD_PIECE = 0, PIECE
 #: Keys per table for which the first retry makes room.
 LOAD = 5
 #: Growths until the bits of a key are used up.
@@ -40,11 +42,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def paragraph_keys(text: Column) -> Column:
     """The keys of a text, one per different paragraph piece; none for NULL or empty text."""
-    text = F.coalesce(text, F.lit(""))
-    part = lambda t, n: F.regexp_extract_all(t, F.lit(f"[^\\n]{{1,{n}}}"), F.lit(0))
-    head = part(F.substring(text, 1, HEAD_CHARS), HEAD_PIECE)
-    rest = part(F.substring(text, HEAD_CHARS + 1, (1 << 31) - 1), PIECE)
-    hashes = F.array_sort(F.transform(F.concat(head, rest), lambda p: F.xxhash64(p)))
+    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^\\n]{{1,{PIECE}}}"), F.lit(0))
+    hashes = F.array_sort(F.transform(pieces, lambda p: F.xxhash64(p)))
 
     def runs(h: Column) -> Column:
         first = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))

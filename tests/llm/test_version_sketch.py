@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -73,6 +74,18 @@ def test_differences_are_recovered_at_any_size(spark):
         assert len(r.d) == len(want) and {(x.k, x.s) for x in r.d} == want
 
 
+def test_head_and_body_weigh_the_same(spark):
+    rng = random.Random(7)
+    piece = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    head, body = piece(512), piece(1536)
+    rows = [("head", head + piece(1536)), ("body", piece(512) + body)]
+    df = spark.createDataFrame([(n, head + body, t) for n, t in rows], "n string, a string, b string")
+    keys = df.select("n", V.paragraph_keys(F.col("a")).alias("a"), V.paragraph_keys(F.col("b")).alias("b"))
+    got = {r.n: r.v for r in keys.select("n", V.likeness(F.col("a"), F.col("b")).alias("v")).collect()}
+    # shared: a quarter and three quarters of the text, up to a piece
+    assert abs(got["head"] - 0.25) < 0.06 and abs(got["body"] - 0.75) < 0.06, got
+
+
 def test_small_table_fails_when_overfull(spark):
     df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.xxhash64(i)).alias("a"))
     assert df.select(V.peel(V.cells_of(F.col("a"))).alias("p")).first().p is None
