@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored
 from .words import Words, as_long, chunks, mix
@@ -95,7 +96,7 @@ def signatures(docs: DataFrame, key: str, text: str, length: int, shingle: int)
             counts, digests, signed = [], [], []
             for s in shingle_sets(batch.column("text"), shingle):
                 counts.append(len(s))
-                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                digests.append(digest_of(s))
                 signed.append(sign(s, factors))
             flat = pa.array(np.concatenate(signed), pa.int16())
             places = pa.array(np.arange(0, len(signed) * length + 1, length, dtype=np.int32))
@@ -138,24 +139,49 @@ def _shared(members: DataFrame, by: str = "rep") -> DataFrame:
     )
 
 
+def digest_of(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
+def with_digest(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with the ``digest`` of each text's shingles, NULL for a text without words."""
+    docs = docs.drop("digest")
+    schema = T.StructType([*docs.schema.fields, T.StructField("digest", T.BinaryType())])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                digests = pa.array([digest_of(s) for s in shingle_sets(batch.column(text), shingle)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*batch.schema.names, "digest"])
+
+    return docs.mapInArrow(measure, schema)
+
+
 def _class_table(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """``(rep, shingles, bits)`` of the documents in ``wanted``."""
+    """``(rep, shingles, bits)`` of the classes ``wanted (first_id, rep, digest)``, one row each.
+
+    Of the texts that share a class's first id only those of its digest count.
+    """
     seeds = np.random.default_rng(13).integers(0, 1 << 32, BITS, dtype=np.uint32)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sets = list(shingle_sets(batch.column("text"), shingle))
+            own = batch.column("digest").to_pylist()
+            found = [(i, s) for i, s in enumerate(shingle_sets(batch.column("text"), shingle)) if digest_of(s) == own[i]]
+            if not found:
+                continue
+            sets = [s for _, s in found]
             places = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.ListArray.from_arrays(pa.array(places), pa.array(as_long(np.concatenate(sets)), pa.int64())),
+                [batch.column("rep").take(pa.array([i for i, _ in found])), pa.ListArray.from_arrays(pa.array(places), pa.array(as_long(np.concatenate(sets)), pa.int64())),
                  pa.array([long_signature(s, seeds) for s in sets], pa.binary())],
                 names=["rep", "shingles", "bits"],
             )
 
-    rows = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).join(wanted, "rep", "left_semi")
-    return rows.mapInArrow(gather, "rep long, shingles array<long>, bits binary")
+    rows = docs.select(F.col(key).cast("long").alias("first_id"), F.col(text).alias("text")).join(wanted, "first_id")
+    return rows.mapInArrow(gather, "rep long, shingles array<long>, bits binary").dropDuplicates(["rep"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -271,9 +297,21 @@ def near_duplicates(
     Documents with Jaccard similarity of at least ``threshold`` percent are
     linked; ``component_id`` is the smallest id reachable and ``kept`` marks it.
     NULL, empty and blank texts have no shingles and are linked with nothing.
-    Rows that share an id are judged by their own texts.  A row with a NULL id
-    is linked with nothing and kept; its component is NULL.  An empty table
-    stays empty.
+    Rows that share an id are judged by their own texts, so they can lie in
+    different components.  A row with a NULL id is linked with nothing and kept;
+    its component is NULL.  An empty table stays empty.
+    """
+    return judged(docs, threshold, key, text, shingle, n_chunks, pivots, block).drop("digest", "comp")
+
+
+def judged(
+    docs: DataFrame, threshold: int = 85, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+    n_chunks: int | None = None, pivots: tuple[int, ...] = PIVOTS, block: int = BLOCK,
+) -> DataFrame:
+    """``near_duplicates`` with the ``digest`` of each row's shingles and the name ``comp`` of its component.
+
+    Classes of equal sets are named by a hash of their digest (``rep``), and a
+    component by the smallest name; its smallest id is taken at the end.
     """
     n_chunks = n_chunks or chunks_for(threshold / 100)
     places = kept_places(n_chunks)
@@ -281,13 +319,14 @@ def near_duplicates(
     signed = stored(signatures(docs, key, text, n_chunks * CHUNK, shingle), "signatures")
     classes = stored(
         signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")),
+        .agg(F.xxhash64("digest").alias("rep"), F.min("doc_id").alias("first_id"), F.min("signature").alias("signature")),
         "equal-sets",
     )
     every = keyed(classes, places)
     members = stored(every.join(_shared(every).select("key"), "key", "left_semi"), "key-members")
     involved = stored(members.select("rep").distinct(), "key-classes")
-    table = stored(_class_table(docs, involved, key, text, shingle), "class-table")
+    wanted = classes.join(involved, "rep", "left_semi").select("first_id", "rep", "digest")
+    table = stored(_class_table(docs, wanted, key, text, shingle), "class-table")
     sets = table.select("rep", "shingles")
     short = stored(classes.join(involved, "rep", "left_semi").select("rep", "signature"), "class-signatures")
     labels = stored(involved.withColumn("comp", F.col("rep")), "component-labels")
@@ -299,10 +338,14 @@ def near_duplicates(
     rest = block_pairs(members, labels, short.join(table.select("rep", "bits"), "rep"), places, bits_for(threshold / 100), block)
     labels = connect(labels, confirmed(stored(rest, "class-pairs"), sets, threshold))
 
-    found = classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component_id"))
+    ids = labels.join(classes.select("rep", "first_id"), "rep").groupBy("comp").agg(F.min("first_id").alias("component_id"))
+    named = labels.join(ids, "comp").select("rep", "comp", "component_id")
+    found = classes.join(named, "rep", "left").select(
+        "digest", F.coalesce("comp", "rep").alias("comp"), F.coalesce("component_id", "first_id").alias("component_id")
+    )
     result = signed.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
     component = F.coalesce("component_id", "doc_id")
     return result.select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "digest", "comp",
     )

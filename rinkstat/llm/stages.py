@@ -22,14 +22,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, and of rows that share an id one."""
-    found = near_dup.near_duplicates(docs, threshold=80)
-    gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "near-duplicates-gone")
+    """Keeps one document of each group of near-duplicates.
+
+    Rows that share an id are judged by their own texts; one row is kept of
+    those in one group, and of those without words.
+    """
+    found = stored(near_dup.judged(docs, threshold=80), "near-duplicates")
     again = stored(docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"), "repeated-ids")
-    rest = docs.join(gone, "doc_id", "left_anti")
-    order = W.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    once = rest.join(again, "doc_id", "left_semi").withColumn("_i", F.row_number().over(order)).filter("_i = 1")
-    return rest.join(again, "doc_id", "left_anti").unionByName(once.drop("_i")).select(docs.columns)
+    gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "near-duplicates-gone")
+    single = docs.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
+    left = found.filter("kept").join(again, "doc_id", "left_semi")
+    left = stored(left.select("doc_id", F.col("digest").alias("_digest"), F.col("comp").alias("_comp")).distinct(), "repeated-ids-left")
+    rows = near_dup.with_digest(docs.join(again, "doc_id", "left_semi"))
+    rows = rows.join(left.withColumnRenamed("doc_id", "_id"), (F.col("doc_id") == F.col("_id")) & F.col("digest").eqNullSafe(F.col("_digest")))
+    order = W.partitionBy("doc_id", "_comp").orderBy("text", "lang", "source", "n_chars")
+    once = rows.withColumn("_i", F.row_number().over(order)).filter("_i = 1").select(docs.columns)
+    return single.select(docs.columns).unionByName(once)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rinkstat.llm import near_dup, queries
+from rinkstat.llm import near_dup, queries, stages
 
 from .data import documents, frame, words
 
@@ -74,6 +74,19 @@ def test_ids_nulls_and_empty_table(spark):
     assert near_dup.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    texts = [(5, a), (5, b), (5, b), (3, b + " more"), (7, a + " more"), (7, "x y z"), (8, "B" + b[1:]), (9, a), (9, "")]
+    docs = frame(spark, [(d, t, None, None, len(t)) for d, t in texts])
+    got = sorted(tuple(r) for r in near_dup.near_duplicates(docs).select("doc_id", "component_id", "kept", "n_shingles").collect())
+    assert got == sorted([
+        (5, 5, True, 56), (5, 3, False, 56), (5, 3, False, 56), (3, 3, True, 57), (7, 5, False, 57), (7, 7, True, 1),
+        (8, 3, False, 56), (9, 5, False, 56), (9, 9, True, 0),
+    ])
+    left = sorted((r.doc_id, r.text) for r in stages.near_duplicates(spark, docs, "").collect())
+    assert left == sorted([(5, a), (3, b + " more"), (7, "x y z"), (9, "")])
+
+
 def test_chunks_keep_the_promise():
     for threshold in (0.8, 0.85, 0.95):
         m = near_dup.chunks_for(threshold)
