@@ -207,14 +207,33 @@ def pivot_pairs(members: DataFrame, labels: DataFrame, pivots: int) -> DataFrame
     )
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by ``_group``: at most a batch and the group begun before it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group = batch.column("_group").to_numpy()
+        if held and held[-1].column("_group")[-1].as_py() != group[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        last = int(np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))[-1])
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def block_pairs(
     members: DataFrame, labels: DataFrame, classes: DataFrame, places: list[tuple[int, ...]], bits: int, block: int = BLOCK,
 ) -> DataFrame:
     """The pairs ``(a, b)`` that share a key, are not connected and differ in at most ``bits`` bits.
 
     A key's members are dealt to blocks; every pair of blocks is one group of
-    rows, compared in one task.  A pair that shares several keys is emitted
-    under the first of them only.
+    rows, and a task holds about one group at a time.  A pair that shares
+    several keys is emitted under the first of them only.
     """
     placed = members.join(labels, "rep")
     unsettled = _shared(placed, "comp").select("key", F.ceil(F.col("size") / block).cast("int").alias("_blocks"))
@@ -227,10 +246,7 @@ def block_pairs(
 
     kept = np.array(places)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
-        if table is None:
-            return
+    def links(table: pa.Table) -> pa.RecordBatch:
         group, n, rep, comp, own, i_, j_ = (
             table.column(c).to_numpy() for c in ("_group", "n", "rep", "comp", "_own", "_i", "_j")
         )
@@ -255,9 +271,13 @@ def block_pairs(
                     if np.argmax(agree[kept].all(axis=1)) == n[x]:
                         left.append(min(rep[x], rep[z]))
                         right.append(max(rep[x], rep[z]))
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            yield links(table)
 
-    return rows.repartition("_group").mapInArrow(compare, "a long, b long").distinct()
+    return rows.repartition("_group").sortWithinPartitions("_group").mapInArrow(compare, "a long, b long").distinct()
 
 
 def connect(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,38 @@ def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
     assert left == sorted([(5, a), (3, b + " more"), (7, "x y z"), (9, "")])
 
 
+def test_groups_are_streamed_whole():
+    sizes = [1, 1, 7, 3, 30, 10, 10, 2, 1, 25]
+    flat = [g for g, n in enumerate(sizes) for _ in range(n)]
+    read = 0
+
+    def batches():
+        nonlocal read
+        for i in range(0, len(flat), 10):
+            part = flat[i : i + 10]
+            read += len(part)
+            yield pa.RecordBatch.from_pydict({"_group": pa.array(part, pa.int64()), "at": list(range(i, i + len(part)))})
+            yield pa.RecordBatch.from_pydict({"_group": pa.array([], pa.int64()), "at": pa.array([], pa.int64())})
+
+    seen, rows = [], []
+    for table in near_dup.whole_groups(batches()):
+        assert read - len(rows) <= max(sizes) + 2 * 10
+        here = table.column("_group").to_pylist()
+        assert not set(here) & set(seen)
+        seen += here
+        rows += table.column("at").to_pylist()
+    assert seen == flat and rows == list(range(len(flat)))
+
+
+def test_block_groups_reach_tasks_sorted(spark):
+    docs = spark.createDataFrame([(i, 0, i, i) for i in range(4)], "key long, n int, rep long, comp long")
+    classes = spark.createDataFrame([(i, [1] * 10, bytearray(128)) for i in range(4)], "rep long, signature array<short>, bits binary")
+    labels, members = docs.select("rep", "comp"), docs.select(F.lit(1).alias("key"), "n", "rep")
+    pairs = near_dup.block_pairs(members, labels, classes, [(0, 1, 2, 3)], 10, 2)
+    assert {(r.a, r.b) for r in pairs.collect()} == {(a, b) for a in range(4) for b in range(a + 1, 4)}
+    assert "sort [_group" in pairs._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_chunks_keep_the_promise():
     for threshold in (0.8, 0.85, 0.95):
         m = near_dup.chunks_for(threshold)
