@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -221,14 +222,13 @@ def learn_rules(
     return rules
 
 
-def fit_rules(
-    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
-    sample_rows: int = SAMPLE_ROWS, seed: int = 5, **options,
-) -> list[Rule]:
-    """Learns the list from at most ``sample_rows`` labelled rows, those of smallest hash.
+def training_rows(
+    docs: DataFrame, labels: DataFrame, inputs: dict[str, str], text: str, key: str, label: str, sample_rows: int, seed: int,
+) -> pd.DataFrame:
+    """``(_good, key, *inputs)`` of the documents of at most ``sample_rows`` labelled ids, those of smallest hash.
 
-    Only the sample's documents are measured; its statistics (a few numbers a
-    row) are what reaches the driver.  Rows with a NULL key or label don't count.
+    Repeated rows of an id and text count once.  Should ids have several texts,
+    at most ``4 * sample_rows`` rows are taken, by the hash of id and text.
     """
     picked = (
         labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -236,15 +236,29 @@ def fit_rules(
         .orderBy(uniform(seed, key), key).limit(sample_rows)
     )
     rows = docs.select(key, text).join(F.broadcast(picked), key, "inner")  # bounded by sample_rows
+    rows = rows.dropDuplicates([key, text]).withColumn("_at", uniform(seed, key, text))
     sample = (
         with_statistics(rows, text, drop_text=True)
-        .select((F.col("_good") <= 0).alias("_bad"), key, *[F.expr(e).alias(f) for f, e in FEATURES.items()])
-        .limit(4 * sample_rows).toPandas().sort_values([key, *FEATURES], ignore_index=True)
+        .select("_good", key, "_at", *[F.expr(e).alias(f) for f, e in inputs.items()])
+        .orderBy("_at", key, *inputs).limit(4 * sample_rows)
     )
+    return sample.drop("_at").toPandas().sort_values([key, *inputs], ignore_index=True)
+
+
+def fit_rules(
+    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
+    sample_rows: int = SAMPLE_ROWS, seed: int = 5, **options,
+) -> list[Rule]:
+    """Learns the list from at most ``sample_rows`` labelled rows, those of smallest hash.
+
+    Only the sample's documents are measured; its statistics (a few numbers a
+    row) are what reaches the driver.  Rows with a NULL key or label don't count.
+    """
+    sample = training_rows(docs, labels, FEATURES, text, key, label, sample_rows, seed)
     if not len(sample):
         return []
     x = {f: sample[f].to_numpy(float) for f in FEATURES}
-    return learn_rules(x, sample["_bad"].to_numpy(bool), seed=seed, **options)
+    return learn_rules(x, (sample["_good"] <= 0).to_numpy(bool), seed=seed, **options)
 
 
 def base_failed() -> Column:

@@ -15,8 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, uniform
-from .decision_rules import FEATURES, SAMPLE_ROWS, with_statistics
+from .common import stored
+from .decision_rules import FEATURES, SAMPLE_ROWS, training_rows, with_statistics
 
 #: Probabilities are summed as whole millionths, so sums don't depend on their order.
 UNIT = 1_000_000
@@ -51,18 +51,8 @@ def fit_classifier(
     sample_rows: int = SAMPLE_ROWS, seed: int = 7,
 ) -> tuple[np.ndarray, float]:
     """Trains on at most ``sample_rows`` labelled documents, those of smallest hash; without both labels it says 0.5."""
-    picked = (
-        labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
-        .groupBy(key).agg(F.max(label).alias("_good"))
-        .orderBy(uniform(seed, key), key).limit(sample_rows)
-    )
-    rows = docs.select(key, text).join(F.broadcast(picked), key, "inner")  # bounded by sample_rows
-    sample = (
-        with_statistics(rows, text, drop_text=True)
-        .select((F.col("_good") > 0).cast("double").alias("_good"), key, *[F.expr(e).alias(f) for f, e in _inputs().items()])
-        .limit(4 * sample_rows).toPandas().sort_values([key, *FEATURES], ignore_index=True)
-    )
-    good = sample["_good"].to_numpy(float)
+    sample = training_rows(docs, labels, _inputs(), text, key, label, sample_rows, seed)
+    good = (sample["_good"] > 0).to_numpy(float)
     if not len(sample) or good.min() == good.max():
         return np.zeros(len(FEATURES)), 0.0
     return fit_logistic(sample[list(FEATURES)].to_numpy(float), good)

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from rinkstat.llm import decision_rules as R
+from rinkstat.llm import site_quality as S
 
 from .data import documents, frame, words
 
@@ -77,3 +78,18 @@ def test_empty_tables_and_labels(spark):
     assert all(r.kept == (not r.base_failed) for r in got)
     nulls = spark.createDataFrame([(None, 0, 0), (3, None, 0), (6, 0, None), (6, 0, None)], "doc_id long, quality int, toxic int")
     assert R.quality_rules(frame(spark), nulls).count() == len(documents())
+
+
+def test_copies_of_a_labelled_document_train_once(spark, monkeypatch):
+    rows = documents()
+    labels = spark.createDataFrame([(r[0], i % 2, 0) for i, r in enumerate(rows)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(R, "learn_rules", lambda x, bad, **_: seen.append((x, bad)) or [])
+    fits = []
+    for table in (rows, rows + [rows[20]] * 500):
+        docs = frame(spark, table)
+        R.fit_rules(docs, labels, sample_rows=len(rows))
+        fits.append(S.fit_classifier(docs, labels, sample_rows=len(rows)))
+    (x, bad), (y, worse) = seen
+    assert len(bad) == len(rows) and (bad == worse).all() and all((x[f] == y[f]).all() for f in R.FEATURES)
+    assert (fits[0][0] == fits[1][0]).all() and fits[0][1] == fits[1][1]
