@@ -41,7 +41,7 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op3_chunked_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     manifest = warc.write_archives(warc.with_revisits(table(spark, sf, "pages").select("page_id", "url", "html")), folder)
-    back = warc.records_of(warc.read_chunks(manifest, folder, with_data=False))
+    back = warc.records_of(warc.verified(warc.read_chunks(manifest, folder)))
     is_response = F.col("record_type") == "response"
     return back.select(
         F.col("record_id").cast("long").alias("page_id"),

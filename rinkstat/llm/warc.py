@@ -257,6 +257,15 @@ def read_chunks(manifest: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
     return manifest.repartition("path", "begin").mapInArrow(read, CHUNKS)
 
 
+def verified(chunks: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``chunks`` read with data; a row whose data isn't as long as its place in the payload says fails the query."""
+    size = F.octet_length("data")
+    whole = F.col("is_last") | (size == chunk_bytes)
+    right = (F.col("bytes_so_far") == F.col("chunk_no") * chunk_bytes + size) & whole
+    said = F.concat(F.lit("payload bytes missing in "), F.col("record"), F.lit(" chunk "), F.col("chunk_no").cast("string"))
+    return chunks.filter(F.when(F.coalesce(right, F.lit(False)), F.lit(True)).otherwise(F.raise_error(said).cast("boolean")))
+
+
 def records_of(chunks: DataFrame) -> DataFrame:
     """One row per record: its headers, and size and digest of the payload it holds, from its last chunk."""
     return chunks.filter("is_last").select(

@@ -6,7 +6,7 @@ import pytest
 from pyarrow import fs as pafs
 from pyspark.sql import functions as F
 
-from rinkstat.llm import warc
+from rinkstat.llm import queries, warc
 from rinkstat.session import scratch_dir
 
 SCHEMA = "page_id long, url string, html string"
@@ -89,3 +89,14 @@ def test_repeated_rows_and_empty_table(spark):
     assert [r[3:] for r in summary(chunks)] == [("revisit", 1), ("response", None), ("response", None)]
     _, chunks = round_trip(spark, [])
     assert chunks.count() == 0
+
+
+def test_query_checks_the_data_of_every_chunk(spark, tmp_path, monkeypatch):
+    pages_of = spark.createDataFrame([(i, f"u{i}", "big " * 700_000 + str(i)) for i in range(3)], SCHEMA)
+    pages_of.write.parquet(f"{tmp_path}/pages.parquet")
+    query, read = queries.QUERIES["op3_chunked_warc"], warc.read_chunks
+    assert {r.payload_bytes for r in query(spark, str(tmp_path)).collect()} == {2_800_001}
+    short = F.when((F.col("chunk_no") == 1) & (F.col("record_id") == "2"), F.expr("substring(data, 2)")).otherwise(F.col("data"))
+    monkeypatch.setattr(warc, "read_chunks", lambda *args, **named: read(*args, **named).withColumn("data", short))
+    with pytest.raises(Exception, match="payload bytes missing in .* chunk 1"):
+        query(spark, str(tmp_path)).collect()
