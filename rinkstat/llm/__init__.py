@@ -9,5 +9,5 @@ import importlib
 
 from pyspark import cloudpickle
 
-for _name in ("words", "decision_rules", "warc", "substring", "shard", "near_dup", "packing"):
+for _name in ("words", "decision_rules", "warc", "substring", "shard", "near_dup", "packing", "prefix_free", "prefix_trie"):
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))

@@ -6,7 +6,7 @@ tokenizers) are tested against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import mixing, near_dup, secrets, substring
+from . import mixing, near_dup, prefix_free, secrets, substring
 from .common import WORD
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed: RFC 4648
@@ -129,10 +129,127 @@ SELECT d.doc_id, {counts},
 FROM documents d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id"""
 
 
+def op11() -> str:
+    n = prefix_free.WINDOW
+    return f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+win AS (
+  SELECT doc_id, i, substr(x, 2 * i - 1, {2 * n}) AS s
+  FROM (SELECT doc_id, x, unnest(range(1, len(x) // 2 - {n - 2})) AS i FROM d)),
+lowest AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, p
+  FROM (SELECT win.doc_id, unnest(range(i, i + {n})) AS p FROM win JOIN lowest USING (s) WHERE m < win.doc_id)),
+runs AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (begins) AS spans
+  FROM (SELECT doc_id, coalesce(p <> 1 + lag(p) OVER (PARTITION BY doc_id ORDER BY p), true) AS begins FROM gone) GROUP BY doc_id),
+placed AS (
+  SELECT doc_id, p, substr(x, 2 * p - 1, 2) AS b
+  FROM (SELECT doc_id, x, unnest(range(1, len(x) // 2 + 1)) AS p FROM d SEMI JOIN runs USING (doc_id))),
+kept AS (SELECT doc_id, string_agg(b, '' ORDER BY p) AS t FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(runs.n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN runs.n IS NULL THEN x ELSE coalesce(t, '') END)) AS kept_sha256
+FROM d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: eight shifts a byte."""
+    shifts = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: {shifts}), 4294967295)"
+
+
+def op12(levels: int = 10) -> str:
+    """The trees level by level, as many as ``8 ** levels`` leaves need."""
+    said = lambda c: f"coalesce(CAST(strlen({c}) AS VARCHAR) || ':' || {c}, '-')"
+    values = lambda text: " || ".join(said(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars", text))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    ctes = [f"""
+d AS (SELECT doc_id, lang, sha256({values("text")}) AS leaf,
+             CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN sha256({values(f"translate(text, '{upper}', '{upper.lower()}')")}) END AS other
+      FROM documents),
+g AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp FROM (SELECT DISTINCT lang FROM documents)),
+l AS (SELECT doc_id, leaf, coalesce(other, leaf) AS start, grp,
+             row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+      FROM d JOIN g ON d.lang IS NOT DISTINCT FROM g.lang),
+a0 AS (SELECT grp, place, leaf AS h, count(*) OVER (PARTITION BY grp) AS many FROM l)"""]
+
+    def tree(name: str) -> None:
+        for k in range(levels):
+            ctes.append(f"""
+{name}{k + 1} AS (
+  SELECT grp, place // 8 AS place, sha256(string_agg(h, '' ORDER BY place)) AS h, (any_value(many) + 7) // 8 AS many
+  FROM {name}{k} WHERE many > 1 GROUP BY grp, place // 8)""")
+
+    tree("a")
+    subroots = " UNION ALL ".join(f"SELECT grp, h FROM a{k} WHERE many = 1" for k in range(levels + 1))
+    ctes.append(f"sub AS ({subroots})")
+    ctes.append("b0 AS (SELECT 0 AS grp, grp AS place, h, count(*) OVER () AS many FROM sub)")
+    tree("b")
+    root = " UNION ALL ".join(f"SELECT h FROM b{k} WHERE many = 1" for k in range(levels + 1))
+    ctes.append(f"root AS ({root})")
+    ctes.append("f0 AS (SELECT doc_id, leaf, grp, place, start AS h, '' AS proof FROM l)")
+    step, steps = 0, [("a", k) for k in range(levels)] + [("b", k) for k in range(levels)]
+    for name, k in steps:
+        if (name, k) == ("b", 0):  # a subroot's place in the top tree is its group's number
+            ctes.append(f"f{step + 1} AS (SELECT doc_id, leaf, grp, grp AS place, h, proof FROM f{step})")
+            step += 1
+        same = "n.grp = f.grp" if name == "a" else "true"
+        ctes.append(f"""
+s{step} AS (
+  SELECT f.doc_id, f.leaf, f.grp, f.place, string_agg(n.h, '' ORDER BY n.place) FILTER (n.place < f.place) AS lefts,
+         string_agg(n.h, '' ORDER BY n.place) FILTER (n.place > f.place) AS rights, any_value(f.h) AS h, any_value(f.proof) AS proof,
+         any_value(n.many) AS many
+  FROM f{step} f LEFT JOIN {name}{k} n ON {same} AND n.place // 8 = f.place // 8 AND n.many > 1 GROUP BY ALL),
+f{step + 1} AS (
+  SELECT doc_id, leaf, grp, CASE WHEN many IS NULL THEN place ELSE place // 8 END AS place,
+         CASE WHEN many IS NULL THEN h ELSE sha256(coalesce(lefts, '') || h || coalesce(rights, '')) END AS h,
+         proof || coalesce(lefts, '') || coalesce(rights, '') AS proof FROM s{step})""")
+        step += 1
+    return "WITH " + ",".join(ctes) + f"""
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM f{step} f JOIN sub USING (grp) CROSS JOIN root"""
+
+
+def op13() -> str:
+    return f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+         {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY pos) AS turns, CAST({crc32("CAST(conv_id AS VARCHAR)")} % 9 AS BIGINT) AS h FROM t GROUP BY conv_id),
+c AS (
+  SELECT own.conv_id, list_concat(coalesce(f.turns[1:own.h], []), own.turns[own.h + 1:]) AS s
+  FROM own LEFT JOIN own f ON f.conv_id = own.conv_id - ((own.conv_id % 5) + 5) % 5),
+p AS (SELECT conv_id, len(s) AS n, s, unnest(range(0, len(s) + 1)) AS depth FROM c),
+k AS (SELECT conv_id, n, depth, CASE WHEN depth = 0 THEN 0 ELSE strlen(s[depth].t) END AS bytes, md5(CAST(s[1:depth] AS JSON)) AS key FROM p),
+g AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes, max(n) = depth AS leaf,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM k GROUP BY depth, key),
+path AS (  -- every node with each of its ancestors and itself
+  SELECT g.depth AS below, g.conv_id AS own, g.n_convs, g.bytes, g.leaf, k.depth, k.key
+  FROM g JOIN k ON k.conv_id = g.conv_id AND k.depth <= g.depth),
+sums AS (
+  SELECT depth, key, count(*) FILTER (below = depth + 1) AS n_children, count(*) FILTER (leaf) AS n_leaves,
+         sum((n_convs - 1) * bytes) AS saved_tokens FROM path GROUP BY depth, key)
+SELECT g.conv_id, CAST(g.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(g.n_convs AS BIGINT) AS n_convs,
+       CAST(n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       g.ends_sha256
+FROM g JOIN sums USING (depth, key)
+LEFT JOIN k ON k.conv_id = g.conv_id AND k.depth = g.depth - 1
+LEFT JOIN g up ON up.depth = k.depth AND up.key = k.key"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": op1(),
     "op3_chunked_warc": op3(),
     "op4_seed_and_extend": op4(),
     "op8_multi_index_near_dup": op8(),
     "op10_trigram_secrets": op10(),
+    "op11_prefix_free_dedup": op11(),
+    "op12_merkle_manifest": op12(),
+    "op13_conversation_trie": op13(),
 }

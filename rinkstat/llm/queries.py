@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decision_rules, mixing, near_dup, packing, secrets, shard, site_quality, substring, version_sketch, warc
+from . import decision_rules, merkle, mixing, near_dup, packing, prefix_free, prefix_trie, secrets, shard, site_quality, substring, version_sketch, warc
 from .common import stored, table, word_count
 from .oracle import ORACLE_SQL  # noqa: F401  registered beside the queries
 
@@ -107,10 +108,34 @@ def op10_trigram_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_prefix_free_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_free.dedup_bytes(table(spark, sf, "documents").select("doc_id", "text"), with_parts=False)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = docs.select(
+        "doc_id", "lang", merkle.leaf(*fields, F.col("text")).alias("leaf"),
+        F.when(hit, merkle.leaf(*fields, lowered)).alias("tampered"),
+    )
+    proofs = merkle.manifest(leaves, F.col("leaf"), F.col("tampered"))
+    return proofs.withColumn("proof_sha256", merkle.proof_sha256(F.col("path"))).drop("path")
+
+
+def op13_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    convs = stored(prefix_trie.conversations(rows), "conversations")
+    return prefix_trie.trie_nodes(prefix_trie.grafted(convs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_quality_rules, op3_chunked_warc, op4_seed_and_extend, op5_invertible_sketch,
         op6_feistel_shards, op7_site_quality, op8_multi_index_near_dup, op9_best_fit_packing, op10_trigram_secrets,
+        op11_prefix_free_dedup, op12_merkle_manifest, op13_conversation_trie,
     )
 }
