@@ -39,7 +39,7 @@ from .common import stored
 from .words import as_long, chunks, mix, powers
 
 WINDOW = 50
-TRIGGER = 16
+TRIGGER = 24
 #: Bytes of text parsed at once; a longer text is parsed in slices that overlap by a window.
 SLICE = 1 << 18
 #: Bytes of text whose rows are reduced together before they are sent on.
