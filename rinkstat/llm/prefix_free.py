@@ -311,7 +311,9 @@ def dedup_bytes(
     """
     if not 0 < trigger <= window:
         raise ValueError("the trigger must fit in the window")
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(key, text)
+    if rows.dtypes != [("doc_id", "bigint"), ("text", "string")]:  # else taken as they are: only so do both joins share an exchange
+        rows = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     known = rows.filter("doc_id IS NOT NULL")
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
