@@ -18,17 +18,19 @@ from pyspark.sql import types as T
 from ..functions import scalar as X
 from ..functions.sql import register_toi_seconds
 from ..operators import aggregates as A
+from ..operators import changes as CH
 from ..operators import columns as P
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import ordered as O
 from ..schemas import (
-    AGG_KEYS, GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
-    SKATER_MEASURES, TEAMS_PAYLOAD, game_log_payload,
+    AGG_KEYS, ALL_MEASURES, GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
+    SKATER_MEASURES, TEAM_RECORD, TEAMS_PAYLOAD, game_log_payload,
 )
 from ..session import scratch_dir
 from ..sinks import parquet as K
+from ..sources import discovery as SD
 from ..sources import payloads as S
 from ..sources.tables import scan_parquet
 from . import cards as C
@@ -94,8 +96,14 @@ def q_filter_equal(spark, sf):
 
 # -- joins -----------------------------------------------------------------
 
+def _rosters(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Day-1 and day-2 rosters of all parts (merges need no dimension misses)."""
+    old = V.players(spark, sf, V.OLD_PLAYERS_WHERE, everyone=True)
+    return old, V.players(spark, sf, V.NEW_PLAYERS_WHERE, V.NEW_PLAYERS_OVERRIDES, everyone=True)
+
+
 def q_anti_join_single_key(spark, sf):
-    return J.anti_join(V.old_players(spark, sf), V.new_players(spark, sf), "playerId")
+    return J.anti_join(*_rosters(spark, sf), "playerId")
 
 
 def q_anti_join_composite_key(spark, sf):
@@ -120,13 +128,42 @@ def q_player_game_mart(spark, sf):
 # -- merge -----------------------------------------------------------------
 
 def q_upsert_single_key(spark, sf):
-    return M.upsert(V.new_players(spark, sf), V.old_players(spark, sf), "playerId")
+    old, new = _rosters(spark, sf)
+    return M.upsert(new, old, "playerId")
 
 
 def q_upsert_composite_key(spark, sf):
     return M.upsert(V.new_games(spark, sf), V.old_games(spark, sf), ["playerId", "gameId"])
 
 
+GAME_KEYS = ["playerId", "gameId"]
+
+
+def q_upsert_changes(spark, sf):
+    """What a day's upsert changes: one row per key, several lines of a key compared as a bag."""
+    return CH.change_feed(V.resent_games(spark, sf), V.old_games(spark, sf), GAME_KEYS)
+
+
+def _by_deltas(spark, sf, kind: str) -> DataFrame:
+    """Aggregate from day-1's stored state and the changed games of day 2 only."""
+    measures = [*ALL_MEASURES, "toi"]
+    seconds = lambda games: games.withColumn("toi", X.toi_seconds("toi"))
+    path = scratch_dir(spark, "game-state")
+    K.write_snapshot(CH.aggregate_state(seconds(V.old_games(spark, sf)), PS.PLAYER_GRAIN, measures, "gameId"), path)
+    retracted, added = CH.split_changes(V.new_games(spark, sf), V.old_games(spark, sf), GAME_KEYS)
+    state = CH.apply_deltas(spark.read.parquet(path), seconds(retracted), seconds(added), PS.PLAYER_GRAIN, measures, "gameId")
+    partials = CH.aggregate_of(state, PS.PLAYER_GRAIN, measures, "gameId", "gamesCNT")
+    return PS.player_aggregate(partials, V.players(spark, sf), V.teams(spark, sf), kind, pre_aggregated=True)
+
+
+def q_skater_aggregate_by_deltas(spark, sf):
+    return _by_deltas(spark, sf, "skater")
+
+
+def q_goalie_aggregate_by_deltas(spark, sf):
+    return _by_deltas(spark, sf, "goalie")
+
+
 def q_upsert_first_load(spark, sf):
     return M.upsert(V.games(spark, sf), None, ["playerId", "gameId"])
 
@@ -232,7 +269,7 @@ UNKNOWN_NAME = "no one"
 def _card_lookup(spark, sf, kind: str) -> DataFrame:
     """Cards of one name and of an unknown one (no card), from the stored aggregate."""
     path = scratch_dir(spark, f"{kind}s-agg")
-    K.write_snapshot(PS.player_aggregate(*_base(spark, sf), kind), path, num_files=2, sort_by=["playersFIO"])
+    K.write_snapshot(PS.player_aggregate(*_base(spark, sf), kind), path, sort_by=["playersFIO"])
     stored = spark.read.parquet(path)
     return M.union_by_name(*[C.cards_from_aggregate(stored, kind, V.AS_OF, n) for n in (LOOKUP_NAME, UNKNOWN_NAME)])
 
@@ -256,6 +293,21 @@ def q_flatten_record_array(spark, sf):
     return S.flatten_record_array(_good(PV.teams_docs(spark, sf), TEAMS_PAYLOAD), "data")
 
 
+def _team_records(spark, sf):
+    return SD.records(PV.shaped_team_docs(spark, sf), "json", "data")
+
+
+def q_discover_payload_fields(spark, sf):
+    """Fields met in payloads of three shapes, declared or not."""
+    return SD.discovered_fields(_team_records(spark, sf), TEAM_RECORD)
+
+
+def q_keep_payload_extras(spark, sf):
+    """Typed records; what the schema doesn't declare stays in one VARIANT column, shown as JSON."""
+    rows = SD.typed_with_extras(_team_records(spark, sf), TEAM_RECORD)
+    return rows.withColumn(SD.EXTRAS, F.to_json(SD.EXTRAS))
+
+
 def _roster_players(spark, sf):
     docs = _good(PV.roster_docs(spark, sf), ROSTER_PAYLOAD)
     records = S.flatten_map_of_arrays(docs, "value", carry=["team"])
@@ -369,6 +421,14 @@ def q_write_dated_partition(spark, sf):
     return K.read_dated_partition(spark, root)
 
 
+def q_write_file_count(spark, sf):
+    """The league's teams, a table of fixed size, written as two files."""
+    path = scratch_dir(spark, "teams")
+    K.write_snapshot(V.teams(spark, sf), path, num_files=2)
+    files = spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().count()
+    return spark.read.parquet(path).withColumn("n_files", F.lit(files).cast("int"))
+
+
 def q_write_snapshot(spark, sf):
     """Day-1 load, day-2 merge and a day-2 rerun through the staged swap."""
     path = scratch_dir(spark, "dwh-games")
@@ -450,6 +510,12 @@ QUERIES: dict[str, Query] = {
     "upsert_single_key": q_upsert_single_key,
     "upsert_composite_key": q_upsert_composite_key,
     "upsert_first_load": q_upsert_first_load,
+    "upsert_changes": q_upsert_changes,
+    "skater_aggregate_by_deltas": q_skater_aggregate_by_deltas,
+    "goalie_aggregate_by_deltas": q_goalie_aggregate_by_deltas,
+    "discover_payload_fields": q_discover_payload_fields,
+    "keep_payload_extras": q_keep_payload_extras,
+    "write_file_count": q_write_file_count,
     "skater_aggregate": q_skater_aggregate,
     "goalie_aggregate": q_goalie_aggregate,
     "skater_aggregate_over_mart": q_skater_aggregate_over_mart,

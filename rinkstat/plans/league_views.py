@@ -159,6 +159,10 @@ NEW_GAMES_WHERE = f"l_shipdate >= '{NEW_GAMES_FROM}'"
 NEW_GAMES_OVERRIDES = {"goals": "l_linenumber"}
 
 
+#: Day-2 game logs that resend history: only goals of returned lines are corrected.
+RESENT_GAMES_OVERRIDES = {"goals": "CASE WHEN l_returnflag = 'A' THEN l_linenumber ELSE l_linenumber - 1 END"}
+
+
 def old_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day-1 roster."""
     return players(spark, sf_dir, OLD_PLAYERS_WHERE)
@@ -177,3 +181,8 @@ def old_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day-2 game logs: overlapping dates and corrected goal counts."""
     return games(spark, sf_dir, NEW_GAMES_WHERE, NEW_GAMES_OVERRIDES)
+
+
+def resent_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day-2 game logs of which many equal the stored ones."""
+    return games(spark, sf_dir, NEW_GAMES_WHERE, RESENT_GAMES_OVERRIDES)

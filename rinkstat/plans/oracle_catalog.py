@@ -16,6 +16,10 @@ _OLD_NEW_PLAYERS = with_views(
     players_cte("old", V.OLD_PLAYERS_WHERE),
     players_cte("new", V.NEW_PLAYERS_WHERE, V.NEW_PLAYERS_OVERRIDES),
 )
+_OLD_NEW_EVERYONE = with_views(
+    players_cte("old", V.OLD_PLAYERS_WHERE, everyone=True),
+    players_cte("new", V.NEW_PLAYERS_WHERE, V.NEW_PLAYERS_OVERRIDES, everyone=True),
+)
 _OLD_NEW_GAMES = with_views(
     games_cte("old", V.OLD_GAMES_WHERE),
     games_cte("new", V.NEW_GAMES_WHERE, V.NEW_GAMES_OVERRIDES),
@@ -41,7 +45,7 @@ ORACLE_SQL: dict[str, str] = {
     "full_name": _EVERYONE + "SELECT playerId, concat_ws(' ', firstName, lastName) AS playersFIO FROM players",
     "filter_not_equal_3vl": _EVERYONE + "SELECT * FROM players WHERE positionCode <> 'G'",
     "filter_equal": _EVERYONE + "SELECT * FROM players WHERE positionCode = 'G'",
-    "anti_join_single_key": _OLD_NEW_PLAYERS + "SELECT * FROM old ANTI JOIN new USING (playerId)",
+    "anti_join_single_key": _OLD_NEW_EVERYONE + "SELECT * FROM old ANTI JOIN new USING (playerId)",
     "anti_join_composite_key": _OLD_NEW_GAMES + "SELECT * FROM old ANTI JOIN new USING (playerId, gameId)",
     "left_join_dimension": with_views(games_cte(), players_cte())
     + "SELECT * FROM games LEFT JOIN players USING (playerId)",
@@ -53,10 +57,32 @@ ORACLE_SQL: dict[str, str] = {
         "LEFT JOIN teams t3 ON p.triCodeCurrent = t3.triCode"
     ),
     "player_game_mart": _W + "SELECT * FROM mart",
-    "upsert_single_key": _OLD_NEW_PLAYERS
+    "upsert_single_key": _OLD_NEW_EVERYONE
     + "SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (playerId)",
     "upsert_composite_key": _OLD_NEW_GAMES
     + "SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (playerId, gameId)",
+    "upsert_changes": with_views(
+        games_cte("old", V.OLD_GAMES_WHERE), games_cte("new", V.NEW_GAMES_WHERE, V.RESENT_GAMES_OVERRIDES),
+        "o AS (SELECT playerId, gameId, count(*) AS n, list_sort(list(t)) AS r FROM old t GROUP BY playerId, gameId)",
+        "n AS (SELECT playerId, gameId, count(*) AS n, list_sort(list(t)) AS r FROM new t GROUP BY playerId, gameId)",
+    ) + (
+        "SELECT playerId, gameId, CASE WHEN o.n IS NULL THEN 'inserted' WHEN n.n IS NULL THEN 'kept' "
+        "WHEN o.r = n.r THEN 'unchanged' ELSE 'updated' END AS change, "
+        "CAST(coalesce(n.n, 0) AS BIGINT) AS n_new, CAST(coalesce(o.n, 0) AS BIGINT) AS n_old "
+        "FROM o FULL JOIN n USING (playerId, gameId)"
+    ),
+    "discover_payload_fields": """
+SELECT 'id' AS field, count(*) AS n_records, 'BIGINT' AS types, 'BIGINT' AS merged_type, true AS declared FROM customer
+UNION ALL SELECT 'fullName', count(*), 'STRING', 'STRING', true FROM customer
+UNION ALL SELECT 'triCode', count(*), 'STRING', 'STRING', true FROM customer
+UNION ALL SELECT 'venue', count(*), 'BIGINT,STRING', 'VARIANT', false FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT 'division', count(*), 'OBJECT', 'OBJECT<name: STRING>', false FROM customer WHERE c_custkey % 3 = 2""",
+    "keep_payload_extras": """
+SELECT c_custkey AS id, c_name AS fullName, c_mktsegment AS triCode,
+       CASE c_custkey % 3 WHEN 1 THEN '{"venue":' || c_nationkey || '}'
+         WHEN 2 THEN '{"division":{"name":"' || c_mktsegment || '"},"venue":"N' || c_nationkey || '"}' END AS extras
+FROM customer""",
+    "write_file_count": with_views(teams_cte()) + "SELECT *, 2 AS n_files FROM teams",
     "upsert_first_load": _GAMES + "SELECT * FROM games",
     "skater_aggregate": _W + aggregate_sql("skater"),
     "goalie_aggregate": _W + aggregate_sql("goalie"),
@@ -248,6 +274,12 @@ ORACLE_SQL.update({
         _UPSERTED_GAMES, MART_CTE,
     ) + aggregate_sql("skater"),
 })
+for _kind in ("skater", "goalie"):
+    ORACLE_SQL[f"{_kind}_aggregate_by_deltas"] = with_views(
+        teams_cte(), players_cte(),
+        games_cte("old", V.OLD_GAMES_WHERE), games_cte("new", V.NEW_GAMES_WHERE, V.NEW_GAMES_OVERRIDES),
+        _UPSERTED_GAMES, MART_CTE,
+    ) + aggregate_sql(_kind)
 
 ORACLE_SQL["incremental_mart"] = with_views(
     teams_cte(),

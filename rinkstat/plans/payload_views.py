@@ -82,6 +82,21 @@ def teams_docs(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc", F.to_json(F.struct("data")).alias("json"))
 
 
+# Team records as a source that grows sends them: declared fields only, one more
+# field, and two more of which one changes its type.
+SHAPED_TEAM_JSON = (
+    "'{\"id\":' || CAST(c_custkey AS STRING) || ',\"fullName\":\"' || c_name || '\",\"triCode\":\"' || c_mktsegment || '\"'"
+    " || CASE CAST(c_custkey % 3 AS INT) WHEN 0 THEN '' WHEN 1 THEN ',\"venue\":' || CAST(c_nationkey AS STRING)"
+    " ELSE ',\"venue\":\"N' || CAST(c_nationkey AS STRING) || '\",\"division\":{\"name\":\"' || c_mktsegment || '\"}' END || '}'"
+)
+
+
+def shaped_team_docs(spark: SparkSession, sf: str) -> DataFrame:
+    c = V.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    docs = c.groupBy(F.expr("c_custkey div 64").alias("doc")).agg(F.concat_ws(",", F.collect_list(F.expr(SHAPED_TEAM_JSON))).alias("body"))
+    return docs.select("doc", F.concat(F.lit('{"data":['), F.col("body"), F.lit("]}")).alias("json"))
+
+
 def roster_docs(spark: SparkSession, sf: str) -> DataFrame:
     ev = V.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props")
     # One shuffle on the document key serves both grouping levels.

@@ -17,7 +17,10 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.changes import changed_keys
+from ..operators.joins import semi_join
 from ..operators.merge import upsert
+from ..session import scratch_dir
 
 DS_COLUMN = "ds"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -167,6 +170,36 @@ def upsert_table(
     return spark.read.parquet(path)
 
 
+def upsert_table_changes(spark: SparkSession, new: DataFrame, path: str, keys: str | Sequence[str]) -> DataFrame:
+    """As ``upsert_table``, but an upsert that changes nothing writes nothing."""
+    if table_exists(spark, path):
+        old = spark.read.parquet(path)
+        if changed_keys(new, old, keys).isEmpty():
+            return old
+    return upsert_table(spark, new, path, keys)
+
+
+def upsert_partitioned_changes(
+    spark: SparkSession, new: DataFrame, path: str, keys: str | Sequence[str], partition_col: str,
+) -> DataFrame:
+    """As ``upsert_partitioned``, but only partitions with an inserted or updated key are rewritten.
+
+    A source that sends its whole history again every day then costs a read of
+    it and a write of what differs.
+    """
+    if not table_exists(spark, path):
+        return upsert_partitioned(spark, new, path, keys, partition_col)
+    k = [keys] if isinstance(keys, str) else list(keys)
+    old = spark.read.parquet(path)
+    touched = old.filter(in_partitions(partition_col, touched_partition_values(new, partition_col)))
+    found = scratch_dir(spark, "changed-keys")
+    changed_keys(new.select(*old.columns), touched, k).write.parquet(found)
+    changed = spark.read.parquet(found)
+    if changed.isEmpty():
+        return old
+    return upsert_partitioned(spark, semi_join(new, changed, k), path, k, partition_col)
+
+
 def upsert_partitioned(
     spark: SparkSession,
     new: DataFrame,
