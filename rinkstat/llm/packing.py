@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored
-from .words import chunks
+from .words import Words, chunks
 
+#: Bytes of text whose words are told apart at once.
+CHUNK_BYTES = 1 << 21
 #: Words whose ids a worker keeps before it starts over.
 CACHE_WORDS = 1_000_000
 PIECES_SCHEMA = T.StructType([
@@ -109,13 +110,27 @@ class WordIds:
         return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and the n + 1 offsets of the texts."""
-        split = [t.split() for t in texts]
-        at = self.places(list(chain.from_iterable(split)))
+        ends = np.cumsum([0, *map(len, texts)])
+        return self.encode_bytes(np.frombuffer(b"".join(texts), np.uint8), ends)
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and the n + 1 offsets of the texts.
+
+        Words are dictionary-encoded in Arrow, so only the distinct ones become Python objects.
+        """
+        words = Words(data, offsets)
+        if not len(words.starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        edges = np.stack([words.starts, words.ends], axis=1).ravel().astype(np.int32)  # words and gaps in turn
+        spans = pa.Array.from_buffers(
+            pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
+        )
+        coded = spans.take(pa.array(np.arange(0, len(edges) - 1, 2))).dictionary_encode()
+        at = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         sizes = self.size[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(self.begin[at] - ends[:-1], sizes) + np.arange(ends[-1])]
-        return ids, ends[np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)]
+        return ids, ends[words.first]
 
 
 def word_ids(path: str) -> WordIds:
@@ -145,8 +160,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
             if not batch.num_rows:
                 continue
             rows, pieces, starts, lengths, sums = [], [], [], [], []
-            for first, end, data, offsets in chunks(batch.column(text)):
-                ids, places = known.encode([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(end - first)])
+            for first, end, data, offsets in chunks(batch.column(text), CHUNK_BYTES):
+                ids, places = known.encode_bytes(data, offsets)
                 ids = np.insert(ids, places[1:], np.uint32(end_id)).astype("<u4")
                 places = places + np.arange(len(places))
                 raw = memoryview(ids.tobytes())
