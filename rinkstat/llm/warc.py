@@ -30,6 +30,8 @@ from .common import stored
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 24
 FILE_BYTES = 1 << 28
+#: Blocks that one task reads, on average, where there are more than cores.
+BLOCKS_PER_TASK = 8
 MANIFEST = "path string, begin long, end long, n_records long"
 CHUNKS = (
     "record string, record_id string, target_uri string, record_type string, refers_to string, declared_digest string,"
@@ -254,7 +256,10 @@ def read_chunks(manifest: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    return manifest.repartition("path", "begin").mapInArrow(read, CHUNKS)
+    # The manifest is small, so the number of tasks has to be named: AQE would merge them into one.
+    parallel = manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = max(parallel, -(-manifest.count() // BLOCKS_PER_TASK))
+    return manifest.repartition(tasks, "path", "begin").mapInArrow(read, CHUNKS)
 
 
 def verified(chunks: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

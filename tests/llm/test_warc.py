@@ -100,3 +100,13 @@ def test_query_checks_the_data_of_every_chunk(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "read_chunks", lambda *args, **named: read(*args, **named).withColumn("data", short))
     with pytest.raises(Exception, match="payload bytes missing in .* chunk 1"):
         query(spark, str(tmp_path)).collect()
+
+
+def test_archives_are_read_in_several_tasks(spark, tmp_path, monkeypatch):
+    """AQE doesn't merge the blocks of a small manifest into one task."""
+    monkeypatch.setattr(warc, "BLOCK_BYTES", 1)
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(40)], "page_id long, url string, html string")
+    manifest = warc.write_archives(warc.with_revisits(pages), str(tmp_path / "warc"))
+    chunks = warc.read_chunks(manifest, str(tmp_path / "warc"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert chunks.select(F.spark_partition_id().alias("p")).distinct().count() > 1
