@@ -27,6 +27,8 @@ STATISTICS = (
 )
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
+#: Bytes of text whose rows a worker hands back at once.
+BATCH_BYTES = 1 << 22
 #: Labelled rows that training reads at most (the documented bound of the sample).
 SAMPLE_ROWS = 20_000
 
@@ -112,9 +114,15 @@ def with_statistics(docs: DataFrame, text: str = "text", drop_text: bool = False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts = [text_statistics(data, offsets) for _, _, data, offsets in chunks(batch.column(text))]
-            columns = [pa.array(np.concatenate([p[i] for p in parts]), pa.int64()) for i in range(len(STATISTICS))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *columns], names=[*names, *STATISTICS])
+            begin, held, parts = 0, 0, []
+            for _, end, data, offsets in chunks(batch.column(text)):
+                parts.append(text_statistics(data, offsets))
+                held += len(data)
+                if held >= BATCH_BYTES or end == batch.num_rows:
+                    columns = [pa.array(np.concatenate([p[i] for p in parts]), pa.int64()) for i in range(len(STATISTICS))]
+                    rows = batch.slice(begin, end - begin)
+                    yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], *columns], names=[*names, *STATISTICS])
+                    begin, held, parts = end, 0, []
 
     return docs.mapInArrow(measure, schema)
 

@@ -181,10 +181,11 @@ def _listed(column: pa.Array, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(np.arange(rows), sizes)
 
 
-def _marked(values: np.ndarray, rows: np.ndarray, listed: np.ndarray, listed_rows: np.ndarray) -> np.ndarray:
-    """Whether each (row, value) is among the listed ones."""
+def _marked(values: np.ndarray, rows: np.ndarray, listed: np.ndarray, listed_rows: np.ndarray, first: int, end: int) -> np.ndarray:
+    """Whether each (row, value) is among the listed ones; all rows lie in ``first .. end - 1``."""
     salt = lambda v, r: mix(v + mix(r.astype(np.uint64) + np.uint64(1)))
-    return np.isin(salt(values, rows), salt(listed, listed_rows))
+    own = slice(*np.searchsorted(listed_rows, (first, end)))  # they are in row order
+    return np.isin(salt(values, rows), salt(listed[own], listed_rows[own]))
 
 
 def window_rows(docs: DataFrame, window: int, seed: int) -> DataFrame:
@@ -196,9 +197,9 @@ def window_rows(docs: DataFrame, window: int, seed: int) -> DataFrame:
                 continue
             ids, found = _ids(batch), []
             listed, listed_rows = _listed(batch.column("open"), batch.num_rows)
-            for first, _, data, offsets in chunks(batch.column("text")):
+            for first, end, data, offsets in chunks(batch.column("text")):
                 a = Anchors(Words(data, offsets), window, seed)
-                which = np.flatnonzero(_marked(a.extent, first + a.doc, listed, listed_rows))
+                which = np.flatnonzero(_marked(a.extent, first + a.doc, listed, listed_rows, first, end))
                 anchor, _, hashes = a.windows(which)
                 found.append((a.seed[anchor], hashes, ids[first + a.doc[anchor]]))
             yield _send(*[np.concatenate(c) for c in zip(*found, strict=True)], by_seed=False)
@@ -219,9 +220,9 @@ def removed(docs: DataFrame, window: int, seed: int) -> DataFrame:
             for first, end, data, offsets in chunks(batch.column("text")):
                 words = Words(data, offsets)
                 a = Anchors(words, window, seed)
-                whole = _marked(a.extent, first + a.doc, *extents)
+                whole = _marked(a.extent, first + a.doc, *extents, first, end)
                 anchor, start, hashes = a.windows(np.flatnonzero(~whole))
-                start = start[_marked(hashes, first + a.doc[anchor], *windows)]
+                start = start[_marked(hashes, first + a.doc[anchor], *windows, first, end)]
                 cover = np.zeros(len(words.doc) + 1, np.int64)
                 np.add.at(cover, a.begin[whole], 1)
                 np.add.at(cover, a.end[whole] + window - 1, -1)

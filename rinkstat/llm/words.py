@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once inside a worker (one longer document is handled alone).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
