@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -87,3 +88,19 @@ def test_stages_keep_columns_and_awkward_rows(spark):
     clean = {r.doc_id: (r.text, r.n_chars) for r in stages.secret_scans(spark, docs, SF).collect()}
     assert clean[6] == ("my [secret] here", 16) and clean[5] == (rows[5][1], 21) and clean[1] == (None, None)
     assert stages.best_fit_packing(spark, docs, SF).count() == len(rows)
+
+
+CLASHES = ("_key", "_rules", "_source", "_range", "_last", "_salt", "_row", "size", "weight", "kept", "n_words", "digest", "secret_spans", "taken")
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]], ids=lambda s: s.__name__)
+def test_extra_columns_survive(spark, stage):
+    """Columns with the names that the operators use inside come back with their own values, once per kept row."""
+    docs = frame(spark).unionByName(frame(spark).limit(3)).withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in CLASHES})
+    got = stage(spark, docs, "/root/testdata/sf0.001")
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows
+    for r in rows:
+        assert all(r[c] == f"{c}:{r.doc_id}" for c in CLASHES)
+    assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
