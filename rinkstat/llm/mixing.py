@@ -5,10 +5,12 @@ rest of its budget is filled in Efraimidis-Spirakis order: each document draws
 the key ``-ln(u) / weight`` and the smallest keys are taken until the budget is
 used.
 
-No source is sorted in one task.  Keys fall into buckets by a fixed function of
-the key; one sum per source and bucket tells in which bucket the budget ends,
-and only that bucket is sorted, which gives the source's last key that is
-taken.  The plan is one small row per source; applying it is a join with it.
+No source is sorted in one task.  Keys fall into narrow buckets of equal ratio,
+whatever the weights; one sum per source and bucket tells in which bucket the
+budget ends.  That bucket is cut evenly into parts of some thousand rows, whose
+sums tell the part, and only this part is sorted, which gives the source's last
+key that is taken and how many rows equal to it.  The plan is one small row per
+source; applying it is a join with it.
 """
 
 from __future__ import annotations
@@ -18,9 +20,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stored, uniform
+from .merkle import numbered
 
-#: Documents of a source per key bucket, on average.
+#: Documents of a part of a bucket, on average.
 BUCKET_ROWS = 2000
+#: Buckets to each doubling of the key.
+BINS = 64
 SEED = 20
 
 
@@ -63,11 +68,31 @@ def source_targets(
 
 
 def _keyed(docs: DataFrame, totals: DataFrame, weight: Column, source: str, keys: tuple[str, ...], seed: int) -> DataFrame:
+    """``docs`` with their key and its bucket: ``BINS`` to each doubling of the key, so a bucket is narrow for any weight."""
     weight = F.greatest(F.coalesce(weight.cast("double"), F.lit(1e-6)), F.lit(1e-6))
     return (
         docs.withColumn("_key", -F.log(uniform(seed, *keys)) / weight)
         .join(totals, F.col(source).eqNullSafe(F.col("_source")), "inner")
-        .withColumn("_bucket", F.floor(F.col("_buckets") * (1 - F.exp(-F.col("_key")))))
+        .withColumn("_bucket", F.floor(BINS * F.log2("_key")))
+    )
+
+
+def _fine(parts: Column) -> Column:
+    """Which of ``parts`` equal parts of its bucket a key lies in; within a bucket keys are spread nearly evenly."""
+    low, high = F.pow(F.lit(2.0), F.col("_bucket") / BINS), F.pow(F.lit(2.0), (F.col("_bucket") + 1) / BINS)
+    at = F.floor(parts * (F.col("_key") - low) / (high - low))
+    return F.least(F.greatest(at, F.lit(0)), parts - 1)
+
+
+def _end_of(rows: DataFrame, number: str, size: str, start: Column, name: str) -> DataFrame:
+    """Per source the bucket where the budget ends, the words before it and its rows."""
+    before = W.partitionBy("_source").orderBy(number).rowsBetween(W.unboundedPreceding, -1)
+    sums = rows.groupBy("_source", "_rest", number, start.alias("_start")).agg(F.sum(size).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    return stored(
+        sums.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+        .filter((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_sum") > F.col("_rest")))
+        .select(F.col("_source").alias(f"{name}_source"), F.col(number).alias(name), F.col("_before").alias(f"{name}_before"), F.col("_n").alias(f"{name}_n")),
+        "mix-ends",
     )
 
 
@@ -81,38 +106,34 @@ def mix_plan(
     bucket_rows: int = BUCKET_ROWS,
     **shares,
 ) -> DataFrame:
-    """One row per source: its target, whole epochs, and the last key taken beyond them (``_cut``)."""
+    """One row per source: its target, whole epochs, the last key taken beyond them (``_cut``) and how many rows equal to it (``_fit``)."""
     totals = stored(
         source_targets(docs, size, source, **shares).select(
             F.col("source").alias("_source"), "source_size", "target",
             F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).alias("_epochs"),
-            F.greatest(F.lit(1), F.ceil(F.col("n_docs") / bucket_rows)).cast("long").alias("_buckets"),
         ).withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size")),
         "mix-totals",
     )
     keyed = _keyed(docs.select(source, size, *keys, weight.alias("_weight")), totals, F.col("_weight"), source, keys, seed)
-    before = W.partitionBy("_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    ends = stored(
-        keyed.groupBy("_source", "_bucket", "_rest").agg(F.sum(size).alias("_sum"))
-        .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-        .filter((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_sum") > F.col("_rest")))
-        .select(F.col("_source").alias("_end_source"), F.col("_bucket").alias("_end"), "_before"),
-        "mix-ends",
-    )
-    same = F.col("_source").eqNullSafe(F.col("_end_source"))
+    ends = _end_of(keyed, "_bucket", size, F.lit(0), "_end")
+    ends = ends.withColumn("_parts", F.greatest(F.lit(1), F.ceil(F.col("_end_n") / bucket_rows)).cast("long"))
+    inside = keyed.join(ends, F.col("_source").eqNullSafe(F.col("_end_source")) & (F.col("_bucket") == F.col("_end")), "inner")
+    inside = inside.withColumn("_part", _fine(F.col("_parts")))
+    parts = _end_of(inside, "_part", size, F.col("_end_before"), "_last")
     order = W.partitionBy("_source").orderBy("_key", *keys, size).rowsBetween(W.unboundedPreceding, 0)
-    middle = F.col("_before") + F.sum(size).over(order) - F.col(size) / 2  # nearer to the budget with it than without
+    middle = F.col("_last_before") + F.sum(size).over(order) - F.col(size) / 2  # nearer to the budget with it than without
     cuts = (
-        keyed.join(ends, same & (F.col("_bucket") == F.col("_end")), "inner")
+        inside.join(parts, F.col("_source").eqNullSafe(F.col("_last_source")) & (F.col("_part") == F.col("_last")), "inner")
         .withColumn("_middle", middle)
         .filter(F.col("_middle") <= F.col("_rest"))
-        .groupBy(F.col("_source").alias("_cut_source"))
-        .agg(F.max(F.struct("_key", *keys, size)).alias("_cut"))
+        .groupBy(F.col("_source").alias("_cut_source"), F.struct("_key", *keys, size).alias("_cut")).agg(F.count(F.lit(1)).alias("_fit"))
+        .groupBy("_cut_source").agg(F.max(F.struct("_cut", "_fit")).alias("_taken"))
+        .select("_cut_source", "_taken.*")
     )
+    same = lambda name: F.col("_source").eqNullSafe(F.col(name))
     return stored(
-        totals.join(ends, same, "left")
-        .join(cuts, F.col("_source").eqNullSafe(F.col("_cut_source")), "left")
-        .drop("_end_source", "_cut_source", "_before"),
+        totals.join(ends, same("_end_source"), "left").join(parts, same("_last_source"), "left").join(cuts, same("_cut_source"), "left")
+        .drop("_end_source", "_last_source", "_cut_source", "_end_before", "_last_before", "_end_n", "_last_n"),
         "mix-plan",
     )
 
@@ -126,14 +147,24 @@ def apply_mix(
     ``taken`` is a whole multiple of the document's size.  The last document of
     a budget is taken when that brings its source nearer to its target.  Empty
     documents take 0.  A weight that is NULL or not above 0 counts as 1e-6.
-    Ties of the key go by the key columns, then size; rows equal in all of
-    these are taken alike.  NULL is a source of its own.  An empty table gives
-    an empty result; columns of these three names in ``docs`` are replaced.
+    Ties of the key go by the key columns, then size; of rows equal in all of
+    these as many are taken as fit, in the order of a hash of the whole row.
+    NULL is a source of its own.  An empty table gives an empty result; columns
+    of these three names in ``docs`` are replaced.
     """
-    keyed = _keyed(docs.drop("source_size", "target", "taken"), plan, weight, source, keys, seed)
-    more = (F.col("_rest") > 0) & F.when(F.col("_end").isNull(), F.lit(True)).otherwise(
-        (F.col("_bucket") < F.col("_end"))
-        | ((F.col("_bucket") == F.col("_end")) & F.coalesce(F.struct("_key", *keys, size) <= F.col("_cut"), F.lit(False)))
+    docs = docs.drop("source_size", "target", "taken")
+    keyed = _keyed(docs, plan, weight, source, keys, seed).withColumn("_part", _fine(F.col("_parts")))
+    place = F.struct("_key", *keys, size)
+    at_end, at_last = F.col("_bucket") == F.col("_end"), F.col("_part") == F.col("_last")
+    equal = F.coalesce(at_end & at_last & (place == F.col("_cut")), F.lit(False))
+    below = (F.col("_bucket") < F.col("_end")) | (
+        at_end & ((F.col("_part") < F.col("_last")) | (at_last & F.coalesce(place < F.col("_cut"), F.lit(False))))
     )
-    taken = F.col(size) * (F.col("_epochs") + F.when(more, 1).otherwise(0))
-    return keyed.withColumn("taken", taken.cast("long")).drop(*[c for c in keyed.columns if c.startswith("_") and c not in docs.columns])
+    below = (F.col("_rest") > 0) & F.when(F.col("_end").isNull(), F.lit(True)).otherwise(F.coalesce(below, F.lit(False)))
+    keep = [*docs.columns, "source_size", "target"]
+    times = lambda more: (F.col(size) * (F.col("_epochs") + F.when(more, 1).otherwise(0))).cast("long").alias("taken")
+    # Copies of the last document taken are numbered by ranges, so a hot row isn't numbered in one task.
+    last = keyed.filter(equal).withColumn("_hash", F.xxhash64(*docs.columns))
+    last = numbered(last.select(*keep, "_source", "_epochs", "_rest", "_fit", "_hash"), "_source", "_hash")
+    fits = (F.col("_rest") > 0) & (F.col("_place") < F.col("_fit"))
+    return keyed.filter(~equal).select(*keep, times(below)).unionByName(last.select(*keep, times(fits)))

@@ -77,3 +77,29 @@ def test_empty_table_and_no_words(spark):
     assert run(spark, []).count() == 0
     got = run(spark, [(1, None, None, None, 0), (2, "", None, "a", 0)]).collect()
     assert [r.taken for r in got] == [0, 0]
+
+
+def test_copies_are_split_at_the_cut(spark):
+    """Repeated rows, a hot one and one without an id: each source comes within half a document of its target."""
+    rows = [(1, "w " * 100, "en", "a", 200)] * 100 + [(2, "w " * 100, "en", "b", 200)] * 7 + [(3, "w " * 10, "en", "b", 20)] * 40
+    rows += [(None, "w " * 30, "en", "c", 60)] * 9 + [(i, "w " * 25, "en", "c", 50) for i in range(10, 30)]
+    got = run(spark, rows).collect()
+    assert len(got) == len(rows)
+    for s in "abc":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r["size"] for r in own) / 2
+        assert all(r.taken % r["size"] == 0 and r.taken <= 2 * r["size"] for r in own)
+
+
+def test_small_and_mixed_weights(spark):
+    rows = [(i, "w " * (1 + i % 9), "en", "ab"[i % 2], 0) for i in range(600)]
+    of = lambda d: (1.0, 0.1, 0.01)[d % 3]
+    docs = frame(spark, rows).withColumn("size", word_count("text"))
+    weight = F.element_at(F.array(F.lit(1.0), F.lit(0.1), F.lit(0.01)), (F.col("doc_id") % 3 + 1).cast("int"))
+    plan = mixing.mix_plan(docs, "size", weight, bucket_rows=5)
+    got = {r.doc_id: r.taken for r in mixing.apply_mix(docs, plan, "size", weight).collect()}
+    assert got == {d: v[4] for d, v in brute_mix(rows, of).items()}
+    # No bucket holds much of a source, whatever the weights.
+    totals = docs.select(F.col("source").alias("_source")).distinct()
+    buckets = mixing._keyed(docs, totals, F.lit(0.01), "source", ("doc_id",), 20).groupBy("source", "_bucket").count()
+    assert buckets.agg(F.max("count")).first()[0] < 300 / 20
