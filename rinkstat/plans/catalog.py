@@ -24,11 +24,13 @@ from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import ordered as O
+from ..operators import segments as SG
 from ..schemas import (
     AGG_KEYS, ALL_MEASURES, GAME_LOG_PAYLOAD, GOALIE_MEASURES, ROSTER_PAYLOAD, SCOREBOARD_PAYLOAD,
     SKATER_MEASURES, TEAM_RECORD, TEAMS_PAYLOAD, game_log_payload,
 )
 from ..session import scratch_dir
+from ..sinks import bucketed as B
 from ..sinks import parquet as K
 from ..sources import discovery as SD
 from ..sources import payloads as S
@@ -164,6 +166,30 @@ def q_goalie_aggregate_by_deltas(spark, sf):
     return _by_deltas(spark, sf, "goalie")
 
 
+# Buckets of the games history.  On a cluster: history bytes over the wanted file size, kept for the table's life.
+GAME_BUCKETS = 16
+
+
+def _bucketed_games(spark, sf) -> str:
+    name = f"games_{uuid.uuid4().hex}"
+    B.write_bucketed(V.old_games(spark, sf), name, scratch_dir(spark, "games-buckets"), GAME_KEYS, GAME_BUCKETS)
+    return name
+
+
+def q_anti_join_bucketed_history(spark, sf):
+    return B.anti_join_bucketed(_bucketed_games(spark, sf), V.new_games(spark, sf), GAME_KEYS)
+
+
+def q_upsert_bucketed_history(spark, sf):
+    """Day-1 games in buckets, the day-2 merge and its rerun: the history is shuffled in none of them."""
+    history = _bucketed_games(spark, sf)
+    for _ in range(2):
+        merged = f"games_{uuid.uuid4().hex}"
+        result = B.merge_bucketed(V.new_games(spark, sf), history, merged, scratch_dir(spark, "games-buckets"), GAME_KEYS)
+        history = merged
+    return result
+
+
 def q_upsert_first_load(spark, sf):
     return M.upsert(V.games(spark, sf), None, ["playerId", "gameId"])
 
@@ -391,6 +417,25 @@ def q_date_change_marks(spark, sf):
     return D.date_marks(spark.read.parquet(path), "board").select("board", "date_pos", "game_pos", "date_play", "new_date")
 
 
+def _flat_games(spark, sf) -> DataFrame:
+    """The scoreboard as one flat table without a board: game, date, teams and results."""
+    o = V.table(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("gameId"), F.expr(PV.BOARD_DATE).alias("date_play"), F.expr(PV.AWAY_NAME).alias("away_teams"),
+        F.expr(PV.AWAY_SCORE).alias("away_result"), F.expr(PV.HOME_SCORE).alias("home_result"),
+    )
+
+
+def q_take_while_ordered(spark, sf):
+    """Each date's games up to the first unscored one, over one table in date order."""
+    return SG.take_while_ordered(_flat_games(spark, sf), ["date_play", "gameId"], ["date_play"], F.col("away_result").isNotNull())
+
+
+def q_date_change_marks_ordered(spark, sf):
+    """Marks where the date differs from the previous game's, in game order, in which dates come again."""
+    return SG.change_marks_ordered(_flat_games(spark, sf), ["gameId"], ["date_play"], "new_date")
+
+
 def q_results_digest(spark, sf):
     return D.digest_lines(_board_rows(spark, sf, take_while=True), "board")
 
@@ -510,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "upsert_single_key": q_upsert_single_key,
     "upsert_composite_key": q_upsert_composite_key,
     "upsert_first_load": q_upsert_first_load,
+    "anti_join_bucketed_history": q_anti_join_bucketed_history,
+    "upsert_bucketed_history": q_upsert_bucketed_history,
     "upsert_changes": q_upsert_changes,
     "skater_aggregate_by_deltas": q_skater_aggregate_by_deltas,
     "goalie_aggregate_by_deltas": q_goalie_aggregate_by_deltas,
@@ -547,6 +594,8 @@ QUERIES: dict[str, Query] = {
     "take_while_scored": q_take_while_scored,
     "result_lines": q_result_lines,
     "date_change_marks": q_date_change_marks,
+    "take_while_ordered": q_take_while_ordered,
+    "date_change_marks_ordered": q_date_change_marks_ordered,
     "results_digest": q_results_digest,
     "results_digest_text": q_results_digest_text,
     "player_card_text_skater": q_player_card_text_skater,

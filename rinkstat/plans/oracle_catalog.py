@@ -290,3 +290,16 @@ ORACLE_SQL["incremental_mart"] = with_views(
     games_cte("new", V.NEW_GAMES_WHERE, V.NEW_GAMES_OVERRIDES),
     _UPSERTED_GAMES, MART_CTE,
 ) + f"SELECT *, {_BLOCK} AS block FROM mart"
+
+_FLAT_GAMES = with_views(
+    f"flat AS (SELECT o_orderkey AS gameId, {PV.BOARD_DATE} AS date_play, {PV.AWAY_NAME} AS away_teams, "
+    f"{PV.AWAY_SCORE} AS away_result, {PV.HOME_SCORE} AS home_result FROM orders)"
+)
+ORACLE_SQL.update({
+    "anti_join_bucketed_history": ORACLE_SQL["anti_join_composite_key"],
+    "upsert_bucketed_history": ORACLE_SQL["upsert_composite_key"],
+    "take_while_ordered": _FLAT_GAMES
+    + "SELECT * FROM flat QUALIFY count(*) FILTER (away_result IS NULL) OVER (PARTITION BY date_play ORDER BY gameId) = 0",
+    "date_change_marks_ordered": _FLAT_GAMES
+    + "SELECT *, coalesce(date_play <> lag(date_play) OVER (ORDER BY gameId), false) AS new_date FROM flat",
+})
