@@ -31,6 +31,7 @@ from ..schemas import (
 )
 from ..session import scratch_dir
 from ..sinks import bucketed as B
+from ..sinks import layout as LY
 from ..sinks import parquet as K
 from ..sources import discovery as SD
 from ..sources import payloads as S
@@ -300,6 +301,22 @@ def _card_lookup(spark, sf, kind: str) -> DataFrame:
     return M.union_by_name(*[C.cards_from_aggregate(stored, kind, V.AS_OF, n) for n in (LOOKUP_NAME, UNKNOWN_NAME)])
 
 
+def q_lookup_name_unsorted(spark, sf):
+    """One player's games from the stored mart, whose rows lie in no order of names."""
+    path = scratch_dir(spark, "mart-names")
+    LY.write_for_lookup(_mart(spark, sf), path, ["playersFIO"])
+    return FL.by_exact_name(spark.read.parquet(path), V.SOUGHT_NAME)
+
+
+def q_lookup_clustered_keys(spark, sf):
+    """Games clustered on both keys: those of one player and those of one game."""
+    path = scratch_dir(spark, "games-clustered")
+    LY.write_clustered(V.games(spark, sf), path, GAME_KEYS)
+    games = spark.read.parquet(path)
+    of_player = games.filter(F.col("playerId") == V.SOUGHT_PLAYER).withColumn("sought", F.lit("player"))
+    return of_player.union(games.filter(F.col("gameId") == V.SOUGHT_GAME).withColumn("sought", F.lit("game")))
+
+
 def q_player_card_lookup_skater(spark, sf):
     return _card_lookup(spark, sf, "skater")
 
@@ -579,6 +596,8 @@ QUERIES: dict[str, Query] = {
     "name_link_parts": q_name_link_parts,
     "player_card_skater": q_player_card_skater,
     "player_card_goalie": q_player_card_goalie,
+    "lookup_name_unsorted": q_lookup_name_unsorted,
+    "lookup_clustered_keys": q_lookup_clustered_keys,
     "player_card_lookup_skater": q_player_card_lookup_skater,
     "player_card_lookup_goalie": q_player_card_lookup_goalie,
     "flatten_record_array": q_flatten_record_array,

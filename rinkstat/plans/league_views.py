@@ -31,6 +31,7 @@ OLD_ROSTER_MAX_SIZE = 35  # day-1 roster: p_size <= 35
 NEW_ROSTER_MIN_SIZE = 20  # day-2 roster: p_size >= 20
 OLD_GAMES_BEFORE = "2000-01-01"  # day-1 game logs: shipped before
 NEW_GAMES_FROM = "1998-01-01"  # day-2 game logs: shipped on or after
+SOUGHT_NAME, SOUGHT_PLAYER, SOUGHT_GAME = "cold anvil", 77, 1000  # what the lookups ask for
 BOARD_SIZE = 64  # orders per scoreboard document (o_orderkey div 64)
 
 

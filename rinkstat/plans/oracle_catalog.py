@@ -303,3 +303,9 @@ ORACLE_SQL.update({
     "date_change_marks_ordered": _FLAT_GAMES
     + "SELECT *, coalesce(date_play <> lag(date_play) OVER (ORDER BY gameId), false) AS new_date FROM flat",
 })
+ORACLE_SQL.update({
+    "lookup_name_unsorted": _W + f"SELECT * FROM mart WHERE playersFIO = '{V.SOUGHT_NAME}'",
+    "lookup_clustered_keys": _GAMES
+    + f"SELECT *, 'player' AS sought FROM games WHERE playerId = {V.SOUGHT_PLAYER} "
+    + f"UNION ALL SELECT *, 'game' AS sought FROM games WHERE gameId = {V.SOUGHT_GAME}",
+})

@@ -105,6 +105,11 @@ def cluster_conf(
         "spark.sql.files.maxPartitionBytes": f"{min(256, 2 * advisory_mb)}m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        # A join's filtered side of up to 64 MB becomes a Bloom filter over scans from 1 GB, so that
+        # payloads of unknown keys are dropped before they are shuffled or parsed.
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
     }

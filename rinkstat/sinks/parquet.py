@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,8 +125,9 @@ def write_snapshot(
     path: str,
     num_files: int | None = None,
     sort_by: Sequence[str] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace the table at ``path`` with ``df`` safely.
+    """Replace the table at ``path`` with ``df`` safely; ``options`` go to the Parquet writer.
 
     The new snapshot is written completely to a staging directory first and
     swapped in by two renames afterwards, so ``df`` may itself read ``path``
@@ -136,7 +137,7 @@ def write_snapshot(
     recover_snapshot(spark, path)
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
-    _layout(df, num_files, sort_by).write.mode("errorifexists").parquet(staging)
+    _layout(df, num_files, sort_by).write.options(**(options or {})).mode("errorifexists").parquet(staging)
     fs, target = _fs(spark, path)
     _, staged = _fs(spark, staging)
     if fs.exists(target):
