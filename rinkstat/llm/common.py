@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(df: DataFrame, **extra: Column) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` for an operator whose own columns begin with ``_``, and the way back to the caller's names.
+
+    Columns of ``df`` that begin so get other names meanwhile.  ``extra`` are
+    computed from ``df`` and named with a ``_`` before them.
+    """
+    prefix = "kept"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    renamed = {c: f"{prefix}{i}{c}" for i, c in enumerate(df.columns) if c.startswith("_")}
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    inside = df.select(*[quoted(c).alias(renamed.get(c, c)) for c in df.columns], *[v.alias(f"_{k}") for k, v in extra.items()])
+    back = {v: k for k, v in renamed.items()}
+    return inside, lambda out: out.withColumnsRenamed(back)
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words; NULL text has none."""
     col = F.col(text) if isinstance(text, str) else text

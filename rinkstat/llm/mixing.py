@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, uniform
+from .common import shielded, stored, uniform
 from .merkle import numbered
 
 #: Documents of a part of a bucket, on average.
@@ -150,10 +150,12 @@ def apply_mix(
     Ties of the key go by the key columns, then size; of rows equal in all of
     these as many are taken as fit, in the order of a hash of the whole row.
     NULL is a source of its own.  An empty table gives an empty result; columns
-    of these three names in ``docs`` are replaced.
+    of these three names in ``docs`` are replaced, any others kept (``source``,
+    ``size`` and ``keys`` don't begin with ``_``).
     """
-    docs = docs.drop("source_size", "target", "taken")
-    keyed = _keyed(docs, plan, weight, source, keys, seed).withColumn("_part", _fine(F.col("_parts")))
+    docs, back = shielded(docs.drop("source_size", "target", "taken"), weight=weight)
+    own = [c for c in docs.columns if c != "_weight"]
+    keyed = _keyed(docs, plan, F.col("_weight"), source, keys, seed).withColumn("_part", _fine(F.col("_parts")))
     place = F.struct("_key", *keys, size)
     at_end, at_last = F.col("_bucket") == F.col("_end"), F.col("_part") == F.col("_last")
     equal = F.coalesce(at_end & at_last & (place == F.col("_cut")), F.lit(False))
@@ -161,10 +163,10 @@ def apply_mix(
         at_end & ((F.col("_part") < F.col("_last")) | (at_last & F.coalesce(place < F.col("_cut"), F.lit(False))))
     )
     below = (F.col("_rest") > 0) & F.when(F.col("_end").isNull(), F.lit(True)).otherwise(F.coalesce(below, F.lit(False)))
-    keep = [*docs.columns, "source_size", "target"]
+    keep = [*own, "source_size", "target"]
     times = lambda more: (F.col(size) * (F.col("_epochs") + F.when(more, 1).otherwise(0))).cast("long").alias("taken")
     # Copies of the last document taken are numbered by ranges, so a hot row isn't numbered in one task.
-    last = keyed.filter(equal).withColumn("_hash", F.xxhash64(*docs.columns))
+    last = keyed.filter(equal).withColumn("_hash", F.xxhash64(*own))
     last = numbered(last.select(*keep, "_source", "_epochs", "_rest", "_fit", "_hash"), "_source", "_hash")
     fits = (F.col("_rest") > 0) & (F.col("_place") < F.col("_fit"))
-    return keyed.filter(~equal).select(*keep, times(below)).unionByName(last.select(*keep, times(fits)))
+    return back(keyed.filter(~equal).select(*keep, times(below)).unionByName(last.select(*keep, times(fits))))

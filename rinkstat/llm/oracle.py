@@ -1,12 +1,11 @@
 """DuckDB SQL for the corpus queries that SQL can express.
 
-The others (learned rules and classifiers, sketches over xxHash64, CRC-32,
-tokenizers) are tested against brute force in ``tests/llm``.
+The others (learned rules and classifiers, sketches over xxHash64, tokenizers) are tested against brute force in ``tests/llm``.
 """
 
 from __future__ import annotations
 
-from . import mixing, near_dup, prefix_free, secrets, substring
+from . import mixing, near_dup, prefix_free, secrets, shard, substring
 from .common import WORD
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed: RFC 4648
@@ -160,6 +159,33 @@ def crc32(text: str) -> str:
     return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: {shifts}), 4294967295)"
 
 
+def op6(shards: int = 8, seed: int = 0) -> str:
+    """Row numbers in the order of ids, walked through the Feistel network until below the number of rows."""
+    left, right = "l", "r"
+    for factor, addend in shard.ROUND_KEYS:
+        left, right = right, f"(({left} + (({right} % {shard.PRIME}) * {factor} + {addend + seed}) % {shard.PRIME}) % side)"
+    codes = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    table = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {codes} AS codes, {table} AS crcs,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM documents),
+rows AS (
+  SELECT doc_id, CAST(size AS BIGINT) AS size, place, n, CAST(ceil(sqrt(n)) AS BIGINT) AS side,
+         CAST(xor(list_reduce(list_concat([4294967295], codes), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32
+  FROM d),
+walk AS (
+  SELECT doc_id, n, side, place AS v, 0 AS step FROM rows
+  UNION ALL
+  SELECT doc_id, n, side, a * side + b, step + 1
+  FROM (SELECT doc_id, n, side, step, {left} AS a, {right} AS b
+        FROM (SELECT doc_id, n, side, step, v // side AS l, v % side AS r FROM walk WHERE step = 0 OR v >= n)))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(v % {shards} AS INTEGER) AS shard, CAST(v // {shards} AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM rows JOIN walk USING (doc_id) WHERE step > 0 AND v < walk.n"""
+
+
 def op12(levels: int = 10) -> str:
     """The trees level by level, as many as ``8 ** levels`` leaves need."""
     said = lambda c: f"coalesce(CAST(strlen({c}) AS VARCHAR) || ':' || {c}, '-')"
@@ -247,6 +273,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": op1(),
     "op3_chunked_warc": op3(),
     "op4_seed_and_extend": op4(),
+    "op6_feistel_shards": op6(),
     "op8_multi_index_near_dup": op8(),
     "op10_trigram_secrets": op10(),
     "op11_prefix_free_dedup": op11(),

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shielded, stored
 
 #: Documents in a block of the index, on average: the bound of a postings list.
 BLOCK_ROWS = 8192
@@ -221,9 +221,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     """``docs`` with ``secret_spans``: all spans by start, then rule; places are code points, the end exclusive.
 
     NULL and empty texts have none.  Columns of this name in ``docs`` are
-    replaced; rows with NULL or repeated keys are scanned like any other.
+    replaced, any others kept (``key`` and ``text`` don't begin with ``_``);
+    rows with NULL or repeated keys are scanned like any other.
     """
-    docs = docs.drop("secret_spans")
+    docs, back = shielded(docs.drop("secret_spans"))
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = tuple(r for r in rules if queries[r.kind] is not True)
     grams = sorted(set().union(*[trigrams(queries[r.kind]) for r in indexed]))
@@ -239,7 +240,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
         if rule in indexed:
             every = F.when(F.array_contains("_rules", rule.kind), every).otherwise(F.array().cast(SPAN))
         spans.append(every)
-    return joined.withColumn("secret_spans", F.array_sort(F.concat(*spans))).drop("_posting", "_rules")
+    return back(joined.withColumn("secret_spans", F.array_sort(F.concat(*spans))).drop("_posting", "_rules"))
 
 
 def spans_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:

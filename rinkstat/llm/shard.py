@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import shielded, stored
 
 #: Multiplier, addend of each Feistel round; values modulo 2**31 - 1 keep products within 63 bits.
 ROUND_KEYS = (
@@ -47,13 +47,15 @@ def permute(x: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     return out
 
 
-def numbered(df: DataFrame, order: list[str], rows_per_range: int = 100_000) -> tuple[DataFrame, int]:
+def numbered(df: DataFrame, order: list[str], rows_per_range: int = 10_000_000) -> tuple[DataFrame, int]:
     """``df`` with ``row_number`` (0 .. n - 1 in the order of ``order``, NULLs first) and the number of rows.
 
     The rows are dealt into ranges of the order, stored with their range's
-    number, and counted per range; only one count per range is summed up.
+    number, and counted per range; only one count per range is summed up.  Give
+    the numbering columns and what is small beside them: a range of rows is sorted in a task.
     Rows equal in all of ``order`` are interchangeable.
     """
+    df, back = shielded(df)
     total = df.count()
     ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // rows_per_range))
     dealt = stored(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "row-ranges")
@@ -62,9 +64,11 @@ def numbered(df: DataFrame, order: list[str], rows_per_range: int = 100_000) ->
     starts = stored(counts.select("_range", before.alias("_start")), "range-starts")
     local = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
     return (
-        dealt.withColumn("_local", local).join(starts, "_range")
-        .withColumn("row_number", (F.col("_start") + F.col("_local")).cast("long"))
-        .drop("_range", "_start", "_local"),
+        back(
+            dealt.withColumn("_local", local).join(starts, "_range")
+            .withColumn("row_number", (F.col("_start") + F.col("_local")).cast("long"))
+            .drop("_range", "_start", "_local")
+        ),
         total,
     )
 
@@ -74,7 +78,8 @@ def feistel_shards(df: DataFrame, order: list[str], shards: int = 8, seed: int =
 
     ``order`` must tell rows apart; rows equal in all of it are interchangeable
     and get different slots.  NULLs order first.  An empty table stays empty.
-    Existing columns of these names are replaced.
+    Existing columns of these names are replaced, any others kept; those of
+    ``order`` don't begin with ``_``.
     """
     rows, n = numbered(df.drop("row_number", "shard", "slot"), order)
     schema = T.StructType([*rows.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])

@@ -25,7 +25,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shielded, stored
 
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 24
@@ -47,7 +47,10 @@ def with_revisits(pages: DataFrame, key: str = "page_id", payload: str = "html",
     the largest key are responses and the others revisit it (repeated rows of
     that key are all responses; a NULL key is below all others).  Only groups of
     two or more are joined back; a common payload is summed up per task first.
+    An empty table stays empty; columns of these four names are replaced, any
+    others kept.  ``key`` and ``payload`` don't begin with ``_``.
     """
+    pages, back = shielded(pages)
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     known = pages.drop("payload_sha1", "payload_bytes", "refers_to", "record_type").withColumns(
         {"payload_sha1": F.sha1(body), "payload_bytes": F.octet_length(body).cast("long")}
@@ -59,9 +62,11 @@ def with_revisits(pages: DataFrame, key: str = "page_id", payload: str = "html",
         "equal-payloads",
     )
     refers = F.when(~F.col(key).eqNullSafe(F.col("_last")), F.col("_last"))
-    return known.join(groups, F.col("payload_sha1") == F.col("_sha1"), "left").select(
-        *known.columns, refers.alias("refers_to"),
-        F.when(refers.isNull(), "response").otherwise("revisit").alias("record_type"),
+    return back(
+        known.join(groups, F.col("payload_sha1") == F.col("_sha1"), "left").select(
+            *known.columns, refers.alias("refers_to"),
+            F.when(refers.isNull(), "response").otherwise("revisit").alias("record_type"),
+        )
     )
 
 
@@ -73,11 +78,20 @@ def _key(urn: str | None) -> str | None:
     return urn.removeprefix("<urn:page:").removesuffix(">") or None if urn else None
 
 
+def opened(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a URI and the path in it; Hadoop's names of S3 are Arrow's ``s3``."""
+    scheme, rest = folder.split("://", 1) if "://" in folder else ("", folder)
+    try:
+        return pafs.FileSystem.from_uri(f"s3://{rest}" if scheme in ("s3a", "s3n") else folder)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"archives can't be written to {folder}: pyarrow knows no file system for {scheme or 'it'}") from e
+
+
 class _Writer:
     """Streams records into rolled files; ``blocks`` are the manifest rows."""
 
     def __init__(self, folder: str, level: int):
-        self.store, self.folder = pafs.FileSystem.from_uri(folder)
+        self.store, self.folder = opened(folder)
         self.level, self.out, self.blocks = level, None, []
 
     def _open(self) -> None:
@@ -138,7 +152,7 @@ def write_archives(
     NULL payloads are empty, a NULL key has an empty id, a NULL uri no header.
     ``folder`` is any URI that pyarrow's file systems know, shared by all machines.
     """
-    store, path = pafs.FileSystem.from_uri(folder)
+    store, path = opened(folder)
     store.create_dir(path, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +250,7 @@ def read_chunks(manifest: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
     names = [c.split()[0] for c in CHUNKS.split(",")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(folder)
+        store, _ = opened(folder)
         schema = pa.schema(list(zip(names, [
             *[pa.string()] * 6, pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.string()], strict=True)))
         for batch in batches:

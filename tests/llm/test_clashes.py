@@ -1,0 +1,63 @@
+"""Callers' columns of any name come back from the operators that return their input's columns."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rinkstat.llm import decision_rules, mixing, secrets, shard, warc
+from rinkstat.llm.common import shielded, word_count
+
+from .data import documents, frame
+
+NAMES = [
+    "_key", "_rules", "_posting", "_source", "_range", "_start", "_local", "_n", "_last", "_sha1", "_salt", "_bucket", "_part", "_weight",
+    "_rest", "_cut", "_hash", "_row", "kept0", "digest", "weight", "shingles", "secret",
+]
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def clashing(spark):
+    docs = frame(spark, [*documents(n=20), (None, None, None, None, None), (9, "", "en", "a", 0), (9, "", "en", "a", 0)])
+    for n in NAMES:
+        docs = docs.withColumn(n, F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    return docs
+
+
+def mixed(docs):
+    sized = docs.withColumn("size", word_count("text"))
+    weight = F.length("_key") / 10  # a caller's column with a name of the operator's
+    plan = mixing.mix_plan(sized, "size", weight)
+    return mixing.apply_mix(sized, plan, "size", weight)
+
+
+OPERATORS = {
+    "secrets": lambda s, d: secrets.scan(d),
+    "shards": lambda s, d: shard.feistel_shards(d, ["doc_id", "text"]),
+    "mix": lambda s, d: mixed(d),
+    "revisits": lambda s, d: warc.with_revisits(d, "doc_id", "text"),
+    "rules": lambda s, d: decision_rules.quality_rules(d, s.createDataFrame([(3, 0, 0), (6, 1, 0)], LABELS)),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_columns_come_back(spark, name):
+    docs = clashing(spark)
+    got = OPERATORS[name](spark, docs)
+    assert [c for c in got.columns if c in docs.columns] == docs.columns
+    quoted = [f"`{c}`" for c in docs.columns]
+    assert sorted(map(repr, got.select(*quoted).collect())) == sorted(map(repr, docs.select(*quoted).collect()))
+    assert OPERATORS[name](spark, docs.limit(0)).count() == 0
+
+
+def test_shielded(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "_a int, kept0_a int, b int")
+    inside, back = shielded(df, b=F.col("_a") + 1)
+    assert not {"_a"} & set(inside.columns) and inside.first()["_b"] == 2
+    assert back(inside.drop("_b")).columns == df.columns
+
+
+def test_schemes():
+    from pyarrow import fs
+
+    assert isinstance(warc.opened("file:///tmp")[0], fs.LocalFileSystem)
+    with pytest.raises(ValueError, match="nowhere"):
+        warc.opened("nowhere://cluster/folder")

@@ -16,6 +16,25 @@ def test_permutation(n):
     assert (shard.permute(np.arange(n), n, 7) == got).all()
 
 
+def walk(x, n, seed):
+    """The Feistel network over plain integers, one number at a time."""
+    side = 1
+    while side * side < n:
+        side += 1
+    while True:
+        left, right = divmod(x, side)
+        for factor, addend in shard.ROUND_KEYS:
+            left, right = right, (left + (right * factor + addend + seed) % (2**31 - 1)) % side
+        x = left * side + right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize(("n", "seed"), [(1, 0), (2, 0), (5, 3), (97, 0), (1000, 11), (10_007, 0)])
+def test_equal_to_plain_integers(n, seed):
+    assert [int(v) for v in shard.permute(np.arange(n), n, seed)] == [walk(x, n, seed) for x in range(n)]
+
+
 def test_permutation_shuffles():
     got = shard.permute(np.arange(10_000), 10_000)
     assert abs(np.corrcoef(np.arange(10_000), got)[0, 1]) < 0.05
@@ -41,6 +60,13 @@ def test_shards_are_even_and_gapless(spark):
     assert all((r.shard, r.slot) == (places[r.row_number] % 8, places[r.row_number] // 8) for r in got)
 
 
+def test_many_ranges_number_alike(spark):
+    df = spark.range(1000).select(F.pmod(F.xxhash64("id"), F.lit(90)).alias("a"), "id")
+    few, n = shard.numbered(df, ["a", "id"])
+    many, _ = shard.numbered(df, ["a", "id"], rows_per_range=40)
+    assert n == 1000 and sorted(few.collect()) == sorted(many.collect())
+
+
 def test_empty_table(spark):
     assert shard.feistel_shards(frame(spark, []), ["doc_id"]).count() == 0
 
@@ -52,4 +78,5 @@ def test_query(spark):
     assert {r.doc_id: (r["size"], r.text_crc32) for r in got} == {
         d: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in want.items()
     }
-    assert {(r.shard, r.slot) for r in got} == {(i % 8, i // 8) for i in range(len(want))}
+    places = {d: walk(i, len(want), 0) for i, d in enumerate(sorted(want))}
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == {d: (p % 8, p // 8) for d, p in places.items()}
