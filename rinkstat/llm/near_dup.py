@@ -21,13 +21,13 @@ emitted and confirmed.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Callable, Iterator
+from itertools import combinations, count
 from math import exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,6 +157,21 @@ def with_digest(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) ->
     return docs.mapInArrow(measure, schema)
 
 
+def uniquely_named(classes: DataFrame, name: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """``classes`` stored with a ``rep`` that no two digests share.
+
+    ``name`` hashes the digest.  Digests that got the same name are hashed again
+    with the number of the round until all names differ.
+    """
+    classes = stored(classes.withColumn("rep", name("digest")), "equal-sets")
+    for again in count(1):
+        twice = stored(classes.groupBy("rep").count().filter("count > 1").select("rep", F.lit(True).alias("_twice")), "equal-names")
+        if twice.isEmpty():
+            return classes
+        anew = F.when(F.col("_twice"), name("digest", F.lit(again))).otherwise(F.col("rep"))
+        classes = stored(classes.join(twice, "rep", "left").withColumn("rep", anew).drop("_twice"), "equal-sets")
+
+
 def _class_table(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     """``(rep, shingles, bits)`` of the classes ``wanted (first_id, rep, digest)``, one row each.
 
@@ -330,17 +345,16 @@ def judged(
 ) -> DataFrame:
     """``near_duplicates`` with the ``digest`` of each row's shingles and the name ``comp`` of its component.
 
-    Classes of equal sets are named by a hash of their digest (``rep``), and a
-    component by the smallest name; its smallest id is taken at the end.
+    Classes of equal sets have names of 64 bits (``rep``) that no two share, and
+    a component the smallest name; its smallest id is taken at the end.
     """
     n_chunks = n_chunks or chunks_for(threshold / 100)
     places = kept_places(n_chunks)
     strict = [tuple(range(c * CHUNK, (c + 2) * CHUNK)) for c in range(n_chunks - 1)]
     signed = stored(signatures(docs, key, text, n_chunks * CHUNK, shingle), "signatures")
-    classes = stored(
+    classes = uniquely_named(
         signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.xxhash64("digest").alias("rep"), F.min("doc_id").alias("first_id"), F.min("signature").alias("signature")),
-        "equal-sets",
+        .agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature"))
     )
     every = keyed(classes, places)
     members = stored(every.join(_shared(every).select("key"), "key", "left_semi"), "key-members")

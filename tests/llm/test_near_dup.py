@@ -88,6 +88,35 @@ def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
     assert left == sorted([(5, a), (3, b + " more"), (7, "x y z"), (9, "")])
 
 
+def test_no_two_classes_share_a_name(spark):
+    few = lambda *c: F.pmod(F.xxhash64(*c), F.lit(400))  # noqa: E731  60 digests in 400 names collide
+    classes = spark.range(60).select(F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("digest"), F.col("id").alias("first_id"))
+    assert classes.select(few("digest").alias("rep")).distinct().count() < 60
+    got = near_dup.uniquely_named(classes, few).collect()
+    assert len({r.rep for r in got}) == 60 and {r.first_id for r in got} == set(range(60))
+    assert near_dup.uniquely_named(classes.limit(0)).count() == 0
+
+
+def test_pairs_at_the_threshold_are_met():
+    """Recall as measured: pairs of sets at exactly 80 and 85 percent share a key and stay under the long distance."""
+    rng = np.random.default_rng(3)
+    for percent in (80, 85):
+        m = near_dup.chunks_for(percent / 100)
+        factors = np.random.default_rng(11).integers(0, 1 << 31, m * near_dup.CHUNK, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        seeds = np.random.default_rng(13).integers(0, 1 << 32, near_dup.BITS, dtype=np.uint32)
+        kept, most = np.array(near_dup.kept_places(m)), near_dup.bits_for(percent / 100)
+        for trial in range(600):
+            both, alone = percent * (1 + trial % 4), (100 - percent) * (1 + trial % 4)
+            pool = np.unique(rng.integers(0, 1 << 63, both + alone).astype(np.uint64) * np.uint64(2))
+            rng.shuffle(pool)
+            own = int(rng.integers(0, alone + 1))
+            a, b = pool[: both + own], np.concatenate([pool[:both], pool[both + own :]])
+            agree = near_dup.sign(a, factors) == near_dup.sign(b, factors)
+            assert agree[kept].all(axis=1).any(), (percent, trial)
+            x, y = (np.frombuffer(near_dup.long_signature(s, seeds), np.uint8) for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= most, (percent, trial)
+
+
 def test_groups_are_streamed_whole():
     sizes = [1, 1, 7, 3, 30, 10, 10, 2, 1, 25]
     flat = [g for g, n in enumerate(sizes) for _ in range(n)]
