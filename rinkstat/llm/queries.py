@@ -60,10 +60,10 @@ def op5_invertible_sketch(spark: SparkSession, sf: str) -> DataFrame:
     rows = version_sketch.edited_and_next(table(spark, sf, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256",
-        version_sketch.fingerprint(F.col("cells")).alias("fingerprint"),
-        version_sketch.fingerprint(F.col("edited_cells")).alias("edited_fingerprint"),
-        version_sketch.likeness(*map(F.col, ("keys", "edited_keys", "cells", "edited_cells"))).alias("near_edited"),
-        version_sketch.likeness(*map(F.col, ("keys", "next_keys", "cells", "next_cells"))).alias("near_next"),
+        version_sketch.fingerprint(F.col("sketch")).alias("fingerprint"),
+        version_sketch.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        version_sketch.likeness(*map(F.col, ("keys", "edited_keys", "edited_first"))).alias("near_edited"),
+        version_sketch.likeness(*map(F.col, ("keys", "next_keys", "next_first"))).alias("near_next"),
     )
 
 

@@ -2,13 +2,15 @@
 
 A text's paragraphs (lines, long ones in pieces of one size throughout, so that
 every part of a text weighs the same) become keys: the hash of the paragraph and
-of how often the text holds it.  Each key goes into one cell of each of the three
-parts of a small table; a cell holds a count, the XOR of its keys and the XOR of
-their check hashes.  Two versions' tables are subtracted cell by cell, and peeling
-cells that hold one key recovers the keys that differ.  A table that can't be
-peeled is retried larger: the keys are dealt by their next bits to as many tables
-of the same size as would hold them all, and a table that fails again is dealt to
-four.
+of how often the text holds it.  A text's sketch is sized to its keys: they are
+dealt by some of their bits to as many small tables as hold them, and each key goes
+into one cell of each of the three parts of its table; a cell holds a count, the
+XOR of its keys and the XOR of their check hashes.  Sketches of two sizes are
+compared after adding up the larger one's tables to the number of the smaller.  Two
+versions' tables are subtracted cell by cell, and peeling cells that hold one key
+recovers the keys that differ.  A table that can't be peeled is retried larger:
+its keys are dealt by more bits to as many tables as would hold all keys, and a
+table that fails again is dealt to four.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ PART_CELLS = 4
 PARTS = 3
 #: Code points in a paragraph piece at most.
 PIECE = 96
-#: A text's head of no code points: no part has pieces of its own size.
-HEAD_CHARS, HEAD_PIECE = 0, PIECE
-#: Keys per table for which the first retry makes room.
+#: Keys per table of a text's sketch at most, on average; a sketch has a power of two of tables.
+KEYS = 8
+#: Keys of both texts per table for which the first retry makes room.
 LOAD = 5
 #: Growths until the bits of a key are used up.
 LEVELS = (64 - 2 * PARTS) // 2
@@ -130,15 +132,60 @@ def peel(cells: Column) -> Column:
     return F.aggregate(rounds, start, step, finish)
 
 
+def _number(key: Column, bits: Column) -> Column:
+    """The table of ``key`` among ``2 ** bits``: the bits after those that name its cells."""
+    return _bits(key, F.lit(2 * PARTS), F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+
+
+def _log2_tables(n_keys: Column, load: int) -> Column:
+    """The logarithm of the fewest tables that hold at most ``load`` keys each on average."""
+    return F.ceil(F.log2(F.greatest(n_keys / load, F.lit(1.0)))).cast("int")
+
+
+def sketch_of(keys: Column) -> Column:
+    """The sketch of ``keys``: ``2 ** b`` tables, as many as hold at most ``KEYS`` keys each on average, in linear space."""
+    bits = _log2_tables(F.size(keys), KEYS)
+    last = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    marks = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda t: F.struct(t.alias("t"), F.lit(False).alias("own"), F.lit(0).cast("long").alias("k")))
+    own = F.transform(keys, lambda k: F.struct(_number(k, bits).alias("t"), F.lit(True).alias("own"), k.alias("k")))
+
+    def tables(r: Column) -> Column:
+        def cut(begin: Column) -> Column:
+            def one(at: Column, i: Column) -> Column:
+                mine = F.slice(r, at + 2, F.coalesce(F.get(begin, i + 1), F.size(r)) - at - 1)
+                return let(F.transform(mine, lambda e: e["k"]), cells_of)
+
+            return F.transform(begin, one)
+
+        return let(F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda i: ~F.get(r, i)["own"]), cut)
+
+    return let(F.array_sort(F.concat(marks, own)), tables)
+
+
+def folded(sketch: Column, tables: Column) -> Column:
+    """``sketch`` with fewer tables (a power of two): the sum of those whose numbers agree in the last bits."""
+    def one(t: Column) -> Column:
+        rest = F.filter(F.sequence(t, F.size(sketch) - 1, tables), lambda i: i != t)
+        add = lambda x, y: F.zip_with(x, y, lambda c, d: _cell(c["n"] + d["n"], c["k"].bitwiseXOR(d["k"]), c["h"].bitwiseXOR(d["h"])))
+        return F.aggregate(rest, F.get(sketch, t), lambda acc, i: add(acc, F.get(sketch, i)))
+
+    return F.when(F.size(sketch) == tables, sketch).otherwise(F.transform(F.sequence(F.lit(0), tables - 1), one))
+
+
+def first_tables(sketch_a: Column, sketch_b: Column) -> Column:
+    """The signed keys of each table of the smaller sketch, NULL where a subtracted table can't be peeled."""
+    tables = F.least(F.size(sketch_a), F.size(sketch_b))
+    return F.transform(F.zip_with(folded(sketch_a, tables), folded(sketch_b, tables), subtract), peel)
+
+
 def _table(a: Column, b: Column) -> Column:
     return F.struct(a.alias("a"), b.alias("b"))
 
 
 def _deal(a: Column, b: Column, bits: Column) -> Column:
-    """The keys of both sides dealt to tables by the first ``bits`` bits after those of the cells, in linear space."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    """The keys of both sides dealt to ``2 ** bits`` tables, without the empty ones, in linear space."""
     of = lambda keys, side: F.transform(keys, lambda k: F.struct(
-        _bits(k, F.lit(2 * PARTS), mask).alias("t"), F.lit(side).alias("s"), k.alias("k")
+        _number(k, bits).alias("t"), F.lit(side).alias("s"), k.alias("k")
     ))
 
     def tables(r: Column) -> Column:
@@ -157,10 +204,13 @@ def _deal(a: Column, b: Column, bits: Column) -> Column:
     return let(F.array_sort(F.concat(of(a, 1), of(b, -1))), tables)
 
 
-def differences(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
-    """The keys that only ``a`` holds (``s`` = 1) or only ``b`` (``s`` = -1), recovered from their tables.
+def differences(a: Column, b: Column, first: Column) -> Column:
+    """The keys that only ``a`` holds (``s`` = 1) or only ``b`` (``s`` = -1), recovered from their sketches.
 
-    ``cells_a`` and ``cells_b`` are the first tables where they are known.  If a table still fails when all bits are used up, its keys are compared as sets.
+    ``first`` is a column of a DataFrame that holds their ``first_tables`` (it is
+    used several times).  The keys of the tables that fail are dealt to more
+    tables; if one still fails when all bits are used up, its keys are compared
+    as sets.
     """
     def four(table: Column, shift: Column) -> Column:
         def part(v: Column) -> Column:
@@ -170,20 +220,16 @@ def differences(a: Column, b: Column, cells_a: Column | None = None, cells_b: Co
         parts = F.transform(F.array(*[F.lit(v).cast("long") for v in range(4)]), part)
         return F.filter(parts, lambda t: (F.size(t["a"]) > 0) | (F.size(t["b"]) > 0))
 
-    def step(acc: Column, level: Column) -> Column:
-        def subtracted(t: Column) -> Column:
-            cells = subtract(cells_of(t["a"]), cells_of(t["b"]))
-            return cells if cells_a is None else F.when(level == 0, subtract(cells_a, cells_b)).otherwise(cells)
-
-        tried = F.transform(acc["open"], lambda t: F.struct(t.alias("t"), peel(subtracted(t)).alias("got")))
+    def step(acc: Column, _: Column) -> Column:
+        tried = F.transform(acc["open"], lambda t: F.struct(t.alias("t"), peel(subtract(cells_of(t["a"]), cells_of(t["b"]))).alias("got")))
 
         def go(r: Column) -> Column:
             failed = F.filter(r, lambda x: x["got"].isNull())
-            larger = F.when((level == 0) & (F.size(failed) > 0), _deal(a, b, acc["shift"] - 2 * PARTS)).otherwise(
-                F.flatten(F.transform(failed, lambda x: four(x["t"], acc["shift"] - 2)))
-            )
             got = F.flatten(F.transform(F.filter(r, lambda x: x["got"].isNotNull()), lambda x: x["got"]))
-            return F.struct(larger.alias("open"), F.concat(acc["keys"], got).alias("keys"), (acc["shift"] + 2).alias("shift"))
+            return F.struct(
+                F.flatten(F.transform(failed, lambda x: four(x["t"], acc["shift"]))).alias("open"),
+                F.concat(acc["keys"], got).alias("keys"), (acc["shift"] + 2).alias("shift"),
+            )
 
         return F.when(F.size(acc["open"]) > 0, let(tried, go)).otherwise(acc)
 
@@ -194,24 +240,25 @@ def differences(a: Column, b: Column, cells_a: Column | None = None, cells_b: Co
 
         return F.concat(acc["keys"], F.flatten(F.transform(acc["open"], rest)))
 
-    bits = F.greatest(F.ceil(F.log2((F.size(a) + F.size(b)) / LOAD)), F.lit(1)).cast("int")
-    start = F.struct(
-        F.array(_table(a, b)).alias("open"), F.array().cast(SIGNED).alias("keys"), (bits + 2 * PARTS).alias("shift")
-    )
-    return F.when(F.size(a) + F.size(b) == 0, F.array().cast(SIGNED)).otherwise(
-        F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), start, step, finish)
-    )
+    had = _log2_tables(F.size(first), 1)
+    bits = F.greatest(had + 1, _log2_tables(F.size(a) + F.size(b), LOAD))
+    failed = lambda keys: F.filter(keys, lambda k: F.get(first, _number(k, had).cast("int")).isNull())
+    got = F.flatten(F.filter(first, lambda x: x.isNotNull()))
+    start = F.struct(_deal(failed(a), failed(b), bits).alias("open"), got.alias("keys"), (bits + 2 * PARTS).alias("shift"))
+    tries = F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), start, step, finish)
+    return F.when(F.exists(first, lambda x: x.isNull()), tries).otherwise(got)
 
 
-def likeness(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
+def likeness(a: Column, b: Column, first: Column) -> Column:
     """1 minus the keys that differ over all keys; 1 for two empty texts."""
     every = F.size(a) + F.size(b)
-    return F.when(every == 0, F.lit(1.0)).otherwise(1 - F.size(differences(a, b, cells_a, cells_b)) / every)
+    return F.when(every == 0, F.lit(1.0)).otherwise(1 - F.size(differences(a, b, first)) / every)
 
 
-def fingerprint(cells: Column) -> Column:
-    """A text's first table as text; equal texts have equal fingerprints."""
-    return F.array_join(F.transform(cells, lambda c: F.concat_ws(":", c["n"].cast("string"), F.hex(c["k"]), F.hex(c["h"]))), ";")
+def fingerprint(sketch: Column) -> Column:
+    """A text's sketch as text: tables divided by ``|``, cells by ``;``; equal texts have equal fingerprints."""
+    cell = lambda c: F.concat_ws(":", c["n"].cast("string"), F.hex(c["k"]), F.hex(c["h"]))
+    return F.array_join(F.transform(sketch, lambda t: F.array_join(F.transform(t, cell), ";")), "|")
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
@@ -249,8 +296,9 @@ def in_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_chars, edited_sha256, keys, cells)`` for every row of ``docs``, and the keys and cells of its
-    edited text (``edited_``) and of the next document (``next_``).
+    """``(key, n_chars, edited_sha256, keys, sketch)`` for every row of ``docs``, the keys and sketch of its
+    edited text (``edited_``) and of the next document (``next_``), and the first tables of either comparison
+    (``edited_first``, ``next_first``).
 
     The edited text has its last quarter replaced by as many first code points
     of the next document.  NULL text is empty.  Rows of one key follow each
@@ -269,6 +317,7 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         paragraph_keys(F.col(text)).alias("keys"), paragraph_keys(F.col("_edited")).alias("edited_keys"),
     )
-    rows = rows.withColumns({"cells": cells_of(F.col("keys")), "edited_cells": cells_of(F.col("edited_keys"))})
-    after = {f"next_{c}": F.lead(c).over(keyed) for c in ("keys", "cells")}
-    return rows.withColumns(after).filter("NOT _copy").drop("_range", "_copy", "_at")
+    rows = rows.withColumns({"sketch": sketch_of(F.col("keys")), "edited_sketch": sketch_of(F.col("edited_keys"))})
+    after = {f"next_{c}": F.lead(c).over(keyed) for c in ("keys", "sketch")}
+    rows = rows.withColumns(after).filter("NOT _copy").drop("_range", "_copy", "_at")
+    return rows.withColumns({f"{o}_first": first_tables(F.col("sketch"), F.col(f"{o}_sketch")) for o in ("edited", "next")})

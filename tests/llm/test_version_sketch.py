@@ -12,8 +12,7 @@ from .data import documents, frame
 
 
 def elements(text):
-    head, rest = (text or "")[: V.HEAD_CHARS], (text or "")[V.HEAD_CHARS :]
-    return set(Counter(re.findall(f"[^\n]{{1,{V.HEAD_PIECE}}}", head) + re.findall(f"[^\n]{{1,{V.PIECE}}}", rest)).items())
+    return set(Counter(re.findall(f"[^\n]{{1,{V.PIECE}}}", text or "")).items())
 
 
 def alike(a, b):
@@ -34,12 +33,19 @@ def brute(rows):
 
 def result(df):
     rows = df.select(
-        "doc_id", "n_chars", "edited_sha256", V.likeness(F.col("keys"), F.col("edited_keys")).alias("a"),
-        V.likeness(F.col("keys"), F.col("next_keys")).alias("b"),
+        "doc_id", "n_chars", "edited_sha256", V.likeness(F.col("keys"), F.col("edited_keys"), F.col("edited_first")).alias("a"),
+        V.likeness(F.col("keys"), F.col("next_keys"), F.col("next_first")).alias("b"),
     ).collect()
     return sorted((tuple(r) for r in rows), key=repr)
 
 
+def differing(df):
+    """``df (a, b)`` with the sketches ``x``, ``y``, their first tables and the differences ``d``."""
+    df = df.withColumns({"x": V.sketch_of(F.col("a")), "y": V.sketch_of(F.col("b"))})
+    df = df.withColumn("first", V.first_tables(F.col("x"), F.col("y")))
+    return df.withColumn("d", V.differences(F.col("a"), F.col("b"), F.col("first")))
+
+
 def same(got, want):
     assert len(got) == len(want)
     for g, w in zip(got, want, strict=True):
@@ -69,7 +75,7 @@ def test_differences_are_recovered_at_any_size(spark):
         a = "\n".join(f"line {i}" for i in range(n))
         b = "\n".join(f"line {i}" for i in range(0, n, 3)) + "\nmore\nmore"
         df = spark.createDataFrame([(a, b)], "a string, b string").select(V.paragraph_keys(F.col("a")).alias("a"), V.paragraph_keys(F.col("b")).alias("b"))
-        r = df.select("a", "b", V.differences(F.col("a"), F.col("b")).alias("d")).first()
+        r = differing(df).first()
         want = {(k, 1) for k in set(r.a) - set(r.b)} | {(k, -1) for k in set(r.b) - set(r.a)}
         assert len(r.d) == len(want) and {(x.k, x.s) for x in r.d} == want
 
@@ -80,8 +86,8 @@ def test_head_and_body_weigh_the_same(spark):
     head, body = piece(512), piece(1536)
     rows = [("head", head + piece(1536)), ("body", piece(512) + body)]
     df = spark.createDataFrame([(n, head + body, t) for n, t in rows], "n string, a string, b string")
-    keys = df.select("n", V.paragraph_keys(F.col("a")).alias("a"), V.paragraph_keys(F.col("b")).alias("b"))
-    got = {r.n: r.v for r in keys.select("n", V.likeness(F.col("a"), F.col("b")).alias("v")).collect()}
+    keys = differing(df.select("n", V.paragraph_keys(F.col("a")).alias("a"), V.paragraph_keys(F.col("b")).alias("b")))
+    got = {r.n: r.v for r in keys.select("n", V.likeness(F.col("a"), F.col("b"), F.col("first")).alias("v")).collect()}
     # shared: a quarter and three quarters of the text, up to a piece
     assert abs(got["head"] - 0.25) < 0.06 and abs(got["body"] - 0.75) < 0.06, got
 
@@ -93,6 +99,27 @@ def test_small_table_fails_when_overfull(spark):
     assert four.p is None or {x.k for x in four.p} == set(four.a)
 
 
+def test_sketches_of_any_two_sizes_meet(spark):
+    for n, m in ((0, 3), (5, 40), (300, 7), (300, 290)):
+        df = spark.range(1).select(
+            F.transform(F.expr(f"sequence(1, {max(n, 1)})"), lambda i: F.xxhash64(i)).alias("a"),
+            F.transform(F.expr(f"sequence(5, {m + 4})"), lambda i: F.xxhash64(i)).alias("b"),
+        ).withColumn("a", F.slice("a", 1, n))
+        r = differing(df).withColumn("one", V.folded(F.col("x"), F.lit(1))).first()
+        assert {(e.k, e.s) for e in r.d} == {(k, 1) for k in set(r.a) - set(r.b)} | {(k, -1) for k in set(r.b) - set(r.a)}
+        assert len(r.d) == len(set(r.a) ^ set(r.b)) and sum(c.n for c in r.one[0]) == V.PARTS * n
+        assert len(r.x) & (len(r.x) - 1) == 0 and n <= V.KEYS * len(r.x) and sum(c.n for t in r.x for c in t) == V.PARTS * n
+
+
+def test_most_edited_texts_peel_at_the_first_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    tried = V.edited_and_next(docs).select(F.monotonically_increasing_id().alias("row"), "edited_first")
+    tried = tried.select("row", F.explode("edited_first").alias("t"))
+    r = tried.groupBy("row").agg(F.count("t").alias("got"), F.count(F.lit(1)).alias("n"))
+    r = r.agg((F.sum("got") / F.sum("n")).alias("tables"), F.avg((F.col("got") == F.col("n")).cast("int")).alias("texts")).first()
+    assert r.tables > 0.8 and r.texts > 0.5, r
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
