@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shuffles_freed, stored
 from .words import as_long, chunks, mix, powers
 
 WINDOW = 50
@@ -322,13 +322,12 @@ def dedup_bytes(
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sent(batches, window, trigger, False)
 
-    listed = stored(
-        neighbours(known.mapInArrow(entries, ROWS)).groupBy("doc_id").agg(
-            F.collect_list(F.when(F.col("settled"), F.col("entry"))).alias("settled"),
-            F.collect_list(F.when(~F.col("settled"), F.col("entry"))).alias("open"),
-        ),
-        "phrase-lists",
+    lists = neighbours(known.mapInArrow(entries, ROWS)).groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("settled"), F.col("entry"))).alias("settled"),
+        F.collect_list(F.when(~F.col("settled"), F.col("entry"))).alias("open"),
     )
+    with shuffles_freed(docs.sparkSession):  # the entries' shuffle is as large as all that follows
+        listed = stored(lists, "phrase-lists")
     edges = known.join(listed.filter(F.size("open") > 0).select("doc_id", "open"), "doc_id")
     found = (
         neighbours(edges.mapInArrow(windows, ROWS)).filter("settled")

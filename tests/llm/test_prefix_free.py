@@ -1,11 +1,13 @@
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rinkstat.llm import prefix_free
+from rinkstat.llm import common, prefix_free
 from rinkstat.llm.prefix_free import Parse, sliding_min
 
 from .data import documents, frame
@@ -103,3 +105,20 @@ def test_sliding_min():
     v = np.random.default_rng(0).integers(0, 1000, 200).astype(np.uint64)
     for size in (1, 2, 3, 7, 35, 64):
         assert sliding_min(v, size).tolist() == [min(v[i : i + size]) for i in range(len(v) - size + 1)]
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in dirs for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_shuffles_of_the_lists_are_freed(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(common.FREE_SHUFFLES, None)
+    df = prefix_free.dedup_bytes(frame(spark, repetitive(7, "abcdef")))  # stores the lists
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(common.FREE_SHUFFLES, None) == setting
+    assert result(df) == brute(repetitive(7, "abcdef"))
