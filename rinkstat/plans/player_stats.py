@@ -7,12 +7,14 @@ fact table is then shuffled once, map-side combined, and only the small
 partial aggregate is joined and re-aggregated:
 
   games --partial agg--> (player, team, flag) partials
-        --join players, teams--> --filter position--> --sum partials by keys-->
-
-The final step sums partial sums and partial counts, so the result equals
-aggregating the joined mart row by row, even when the dimension holds a key
-twice (each copy receives the same partial, as each copy would receive the
-same game rows).
+        --join distinct players of the position, teams--> --times their copies-->
+
+Equal dimension rows are folded into one and counted before the join, and a
+partial's sums are multiplied by that count, so the result equals aggregating
+the joined mart row by row, even when the dimension holds a key twice (each
+copy receives the same partial, as each copy would receive the same game
+rows).  The wide joined rows are aggregated no more: a task holds narrow
+partials only.
 """
 
 from __future__ import annotations
@@ -40,13 +42,23 @@ def game_partials(games: DataFrame, grain: Sequence[str] = PLAYER_GRAIN) -> Data
     )
 
 
-def _dimensioned(partials: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
-    out = left_join_dimension(partials, players, "playerId")
-    out = role_playing_join(
-        out, teams, "triCode", "fullName",
-        {"teamAbbrev": "teamFullName", "triCodeCurrent": "currentTeamFullName"},
-    )
-    return out.withColumn("playersFIO", full_name("firstName", "lastName"))
+def _dimensioned(partials: DataFrame, players: DataFrame, teams: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
+    """One row per partial and distinct dimension attributes; ``_times`` is how often the joined rows would hold it.
+
+    Equal dimension rows are folded before the join, so that the wide rows
+    after it need no aggregate: they are unique already.
+    """
+    named = by_kind(players.withColumn("playersFIO", full_name("firstName", "lastName")), kind)
+    attributes = [c for c in named.columns if c in keys]
+    roster = named.groupBy(*attributes).agg(F.count(F.lit(1)).alias("_players"))
+    names = teams.groupBy("triCode", "fullName").agg(F.count(F.lit(1)).alias("_n"))
+    names = names.select("triCode", F.struct("fullName", "_n").alias("_team"))
+    out = left_join_dimension(partials, roster, "playerId").filter(F.col("_players").isNotNull())
+    out = role_playing_join(out, names, "triCode", "_team", {"teamAbbrev": "_played", "triCodeCurrent": "_current"})
+    times = F.col("_players") * F.coalesce(F.col("_played._n"), F.lit(1)) * F.coalesce(F.col("_current._n"), F.lit(1))
+    return out.withColumns({
+        "teamFullName": F.col("_played.fullName"), "currentTeamFullName": F.col("_current.fullName"), "_times": times,
+    })
 
 
 def player_aggregate(
@@ -69,12 +81,12 @@ def player_aggregate(
         games = games.join(players.select("playerId").distinct(), "playerId", "left_semi")
     grain = PLAYER_GRAIN if "homeRoadFlag" in keys else CARD_GRAIN
     sums = SKATER_SUMS if kind == "skater" else GOALIE_SUMS
-    partials = games if pre_aggregated else game_partials(games, grain)
-    rows = by_kind(_dimensioned(partials, players, teams), kind)
-    return rows.groupBy(*keys).agg(
-        F.sum("gamesCNT").cast("bigint").alias("gamesCNT"),
-        *[F.sum(m).cast("bigint").alias(m) for m in sums],
-    )
+    if pre_aggregated:  # dealt by player, as the join needs them
+        partials = games.repartition("playerId").groupBy(*grain).agg(*[F.sum(m).alias(m) for m in ("gamesCNT", *sums)])
+    else:
+        partials = game_partials(games, grain)
+    rows = _dimensioned(partials, players, teams, kind, keys)
+    return rows.select(*keys, *[(F.col(m) * F.col("_times")).cast("bigint").alias(m) for m in ("gamesCNT", *sums)])
 
 
 def skater_aggregate_from_tables(games, players, teams):

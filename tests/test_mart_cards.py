@@ -149,3 +149,31 @@ def test_eager_aggregation_equals_mart_aggregation_with_fanout(spark):
         assert sorted(map(tuple, direct.select(*cols).collect()), key=str) == sorted(
             map(tuple, rolled.select(*cols).collect()), key=str
         )
+
+
+def test_wide_rows_are_not_aggregated_and_copies_count(spark):
+    """Dimension rows that come twice count twice; no aggregate has the team names among its keys."""
+    from rinkstat.operators.aggregates import goalie_aggregate, skater_aggregate
+    from rinkstat.plans.mart import player_game_mart
+    from rinkstat.plans.player_stats import PLAYER_GRAIN, game_partials, player_aggregate
+    from rinkstat.schemas import GAMES_INFO_TABLE, PLAYERS_INFO_TABLE, TEAMS_TABLE
+
+    player = lambda p, pos, first="F", last="L", team="T1": (p, f"h{p}", first, last, pos, "L", None, "c", "x", None, team, "d")
+    roster = [
+        player(1, "C"), player(1, "C"), player(2, "G"), player(3, "C", "a b", "c"), player(3, "C", "a", "b c"), player(3, "C", "z"),
+        player(4, None), player(5, "C", team=None), player(None, "C"), player(6, "C", team="T3"), player(6, "G", team="T3"),
+    ]
+    teams = [(1, "One", "T1"), (2, "One", "T1"), (3, "Two", "T2"), (4, None, "T2"), (5, None, "T3"), (6, "No code", None)]
+    empty = {f.name: None for f in GAMES_INFO_TABLE.fields}
+    games = [
+        tuple((empty | {"playerId": p, "gameId": g, "teamAbbrev": t, "homeRoadFlag": f, "goals": g, "toi": "1:30"}).values())
+        for p in (1, 2, 3, 4, 5, 6, 7, None) for g in (1, 2, None) for t in ("T1", "T2", "T3", "T9", None) for f in ("H", "R", None)
+    ]
+    g, p, t = spark.createDataFrame(games, GAMES_INFO_TABLE), spark.createDataFrame(roster, PLAYERS_INFO_TABLE), spark.createDataFrame(teams, TEAMS_TABLE)
+    for kind, over_mart in (("skater", skater_aggregate), ("goalie", goalie_aggregate)):
+        want = over_mart(player_game_mart(g, p, t))
+        partials = game_partials(g.withColumn("half", F.expr("gameId % 2")), [*PLAYER_GRAIN, "half"])
+        for got in (player_aggregate(g, p, t, kind), player_aggregate(partials, p, t, kind, pre_aggregated=True)):
+            assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert not [x for x in plan.splitlines() if "Aggregate [" in x and "teamFullName" in x]
