@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import semi_join
@@ -164,9 +164,9 @@ def refresh_aggregates(
         changed = K.changed_partitions(spark, versions, _p(dwh_root, PARTIALS_BUILT))
         if changed:
             subset = games.filter(K.in_partition_folders(column, changed))
-            K.replace_partitions(game_partials(subset, grain), partials_path, column)
+            K.replace_partitions(game_partials(subset, grain), partials_path, column, gather=False)
     else:
-        K.write_snapshot_partitioned(game_partials(games, grain), partials_path, column)
+        K.write_snapshot_partitioned(game_partials(games, grain), partials_path, column, gather=False)
     K.write_versions(spark, versions, _p(dwh_root, PARTIALS_BUILT))
     partials = spark.read.parquet(partials_path)
     for kind, table in (("skater", "skaters_agg"), ("goalie", "goalies_agg")):
@@ -178,6 +178,8 @@ MART_TABLE = "players_games_datamart"
 MART_BUILT = "_mart_built"
 MART_PLAYERS = "_mart_players"
 MART_TEAMS = "_mart_teams"
+#: By which roster each partition of the mart was stamped.
+MART_STAMPED = "_mart_stamped"
 STAMP = "updatedDt"
 
 
@@ -200,11 +202,13 @@ def refresh_mart(spark: SparkSession, dwh_root: str, games_partition: tuple[str,
     built from, a dimension-sized comparison; a teams change (yearly) or a
     first run rebuilds everything.  The daily stamp ``updatedDt`` doesn't count
     as a change: the stored one is that of the partition's last rebuild, and
-    :func:`read_mart` puts in the current one.
+    :func:`read_mart` puts in the current one.  Which roster a partition was
+    stamped by is stored too, so that those of the current one are read as they are.
     """
     column = games_partition[0]
     games_path, mart_path = _p(dwh_root, "games_info"), _p(dwh_root, MART_TABLE)
-    snap_players, snap_teams, built = (_p(dwh_root, t) for t in (MART_PLAYERS, MART_TEAMS, MART_BUILT))
+    snap_players, snap_teams, built, stamped = (_p(dwh_root, t) for t in (MART_PLAYERS, MART_TEAMS, MART_BUILT, MART_STAMPED))
+    roster = K.table_version(spark, _p(dwh_root, "players_info"))
     versions = K.partition_versions(spark, games_path)
     games = spark.read.parquet(games_path)
     players = spark.read.parquet(_p(dwh_root, "players_info"))
@@ -212,28 +216,47 @@ def refresh_mart(spark: SparkSession, dwh_root: str, games_partition: tuple[str,
     full = not all(K.table_exists(spark, p) for p in (mart_path, snap_players, snap_teams))
     if not full:
         full = not _changed_keys(teams, spark.read.parquet(snap_teams), "triCode").isEmpty()
+    before = K.partition_versions(spark, mart_path) if K.table_exists(spark, mart_path) else {}
+    latest = players.filter("playerId IS NOT NULL").withColumn(STAMP, F.max(STAMP).over(Window.partitionBy("playerId")))
+    # The join has dealt the rows: gathering them by partition would shuffle the wide rows a second time.
     if full:
-        K.write_snapshot_partitioned(player_game_mart(games, players, teams), mart_path, column)
+        K.write_snapshot_partitioned(player_game_mart(games, latest, teams), mart_path, column, gather=False)
     else:
         moved = _changed_keys(players, spark.read.parquet(snap_players), "playerId", (STAMP,))
         by_players = games.select("playerId", column).join(moved, "playerId", "left_semi")
         touched = K.in_partitions(column, K.touched_partition_values(by_players, column))
         changed = K.in_partition_folders(column, K.changed_partitions(spark, versions, built))
         subset = games.filter(touched | changed)
-        K.replace_partitions(player_game_mart(subset, players, teams), mart_path, column)
+        K.replace_partitions(player_game_mart(subset, latest, teams), mart_path, column, gather=False)
+    after = K.partition_versions(spark, mart_path)
+    earlier = K.read_versions(spark, stamped)
+    K.write_versions(spark, {p: roster if before.get(p) != v else earlier.get(p, "") for p, v in after.items()}, stamped)
     K.write_snapshot(players, snap_players)
     K.write_snapshot(teams, snap_teams)
     K.write_versions(spark, versions, built)
 
 
 def read_mart(spark: SparkSession, dwh_root: str) -> DataFrame:
-    """The stored mart with each player's current ``updatedDt`` (the latest, if the roster holds a player twice)."""
+    """The stored mart with each player's current ``updatedDt`` (the latest, if the roster holds a player twice).
+
+    Partitions stamped by the current roster hold it already; only the others meet the roster.
+    """
     mart = spark.read.parquet(_p(dwh_root, MART_TABLE))
-    stamps = (
-        spark.read.parquet(_p(dwh_root, "players_info")).groupBy("playerId").agg(F.max(STAMP).alias("_now"))
-    )
+    players_path = _p(dwh_root, "players_info")
+    roster = K.table_version(spark, players_path)
+    stamped = K.read_versions(spark, _p(dwh_root, MART_STAMPED))
+    present = K.partition_versions(spark, _p(dwh_root, MART_TABLE))
+    current = [p for p in present if stamped.get(p) == roster]
+    if present and len(current) == len(present):
+        return mart
+    stamps = spark.read.parquet(players_path).groupBy("playerId").agg(F.max(STAMP).alias("_now"))
     now = F.coalesce(F.col("_now"), F.col(STAMP))
-    return mart.join(stamps, "playerId", "left").withColumn(STAMP, now).select(*mart.columns)
+    restamped = lambda rows: rows.join(stamps, "playerId", "left").withColumn(STAMP, now).select(*mart.columns)
+    if not current:
+        return restamped(mart)
+    column = current[0].split("=", 1)[0]
+    own, others = (mart.filter(K.in_partition_folders(column, names)) for names in (current, set(present) - set(current)))
+    return own.unionByName(restamped(others))
 
 
 def schedule_batch(spark: SparkSession, landing_root: str, raw_root: str, dwh_root: str, ds: str) -> DataFrame:

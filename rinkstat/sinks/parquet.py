@@ -229,7 +229,7 @@ def upsert_partitioned(
     old = spark.read.parquet(path)
     old_touched = old.filter(in_partitions(partition_col, touched_partition_values(new, partition_col)))
     merged = upsert(new, old_touched, spark_keys, dedupe_by).select(*old.columns)
-    replace_partitions(merged, path, partition_col)
+    replace_partitions(merged, path, partition_col, gather=False)
     return spark.read.parquet(path)
 
 
@@ -246,6 +246,13 @@ def in_partitions(partition_col: str, values: Sequence) -> Column:
     return cond
 
 
+def table_version(spark: SparkSession, path: str) -> str:
+    """Digest of a table's file names, which every rewrite changes."""
+    fs, root = _fs(spark, path)
+    files = sorted(st.getPath().getName() for st in fs.listStatus(root))
+    return hashlib.sha256("\n".join(files).encode()).hexdigest()
+
+
 def partition_versions(spark: SparkSession, path: str) -> dict[str, str]:
     """``{partition folder: digest of its file names}``; every rewrite of a partition changes its file names."""
     recover_partitions(spark, path)
@@ -264,11 +271,14 @@ def write_versions(spark: SparkSession, versions: dict[str, str], path: str) ->
     write_snapshot(spark.createDataFrame(sorted(versions.items()), "partition string, version string").coalesce(1), path)
 
 
+def read_versions(spark: SparkSession, path: str) -> dict[str, str]:
+    """What ``write_versions`` stored at ``path`` (nothing, if it never did)."""
+    return {r.partition: r.version for r in spark.read.parquet(path).collect()} if table_exists(spark, path) else {}
+
+
 def changed_partitions(spark: SparkSession, versions: dict[str, str], built: str) -> list[str]:
     """The partition folders that differ from those stored at ``built`` (all, if nothing is stored)."""
-    known = {}
-    if table_exists(spark, built):
-        known = {r.partition: r.version for r in spark.read.parquet(built).collect()}
+    known = read_versions(spark, built)
     return [name for name, version in versions.items() if known.get(name) != version]
 
 
@@ -279,20 +289,25 @@ def in_partition_folders(partition_col: str, names: Iterable[str]) -> Column:
     return cond | F.col(partition_col).isNull() if NULL_PARTITION in values else cond
 
 
-def _write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    """Write by partition with the rows of a partition in few tasks (a large one is split), so in few files."""
-    df.hint("rebalance", partition_col).write.mode("errorifexists").partitionBy(partition_col).parquet(path)
+def _write_partitions(df: DataFrame, path: str, partition_col: str, gather: bool = True) -> None:
+    """Write by partition with the rows of a partition in few tasks (a large one is split), so in few files.
+
+    Without ``gather`` each task writes its own rows: a file per task and
+    partition, but no second shuffle of rows that a join or aggregate has just dealt.
+    """
+    (df.hint("rebalance", partition_col) if gather else df).write.mode("errorifexists").partitionBy(partition_col).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_col: str, gather: bool = True) -> None:
     """Replace the partitions present in ``df`` (and only those) in the
     partitioned table at ``path``: staged write, then one rename swap per
-    partition directory.  Rerunning with the same ``df`` is idempotent."""
+    partition directory.  Rerunning with the same ``df`` is idempotent.
+    ``gather`` as in :func:`_write_partitions`."""
     spark = df.sparkSession
     recover_partitions(spark, path)
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
-    _write_partitions(df, staging, partition_col)
+    _write_partitions(df, staging, partition_col, gather)
     fs, staged_root = _fs(spark, staging)
     _, target_root = _fs(spark, path)
     if not fs.exists(target_root):
@@ -315,13 +330,13 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     fs.delete(staged_root, True)
 
 
-def write_snapshot_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
-    """``write_snapshot`` for a table partitioned by ``partition_col``."""
+def write_snapshot_partitioned(df: DataFrame, path: str, partition_col: str, gather: bool = True) -> None:
+    """``write_snapshot`` for a table partitioned by ``partition_col``; ``gather`` as in :func:`_write_partitions`."""
     spark = df.sparkSession
     recover_snapshot(spark, path)
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
-    _write_partitions(df, staging, partition_col)
+    _write_partitions(df, staging, partition_col, gather)
     fs, target = _fs(spark, path)
     _, staged = _fs(spark, staging)
     if fs.exists(target):

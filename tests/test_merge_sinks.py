@@ -253,3 +253,13 @@ def test_dedupe_null_order_and_ties_do_not_depend_on_the_layout(spark):
     for k in range(50):
         own = [r for r in rows if r[0] == k and r[3] is not None]
         assert tuple(got[k]) == max(own, key=lambda r: (r[3], r[1], r[2]))
+
+
+def test_dealt_rows_are_written_without_another_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "CAST(id % 5 AS INT) AS season")
+    for write in (K.write_snapshot_partitioned, K.replace_partitions):
+        write(df, path, "season", gather=False)
+        for p in range(5):
+            assert len([f for f in os.listdir(f"{path}/season={p}") if f.endswith(".parquet")]) == 4
+        assert spark.read.parquet(path).count() == 4000

@@ -267,3 +267,39 @@ def test_player_on_two_rosters_is_kept_once(spark, tmp_path):
     PL.teams_batch(spark, land, raw, dwh, "2024-01-01")
     info, _ = PL.players_batch(spark, land, raw, dwh, "2024-01-01", dedupe_by="updatedDt")
     assert sorted(r.playerId for r in info.collect()) == [11, 13]
+
+
+def test_mart_of_the_current_roster_is_read_without_a_join(spark, tmp_path):
+    from rinkstat.schemas import GAMES_INFO_TABLE, PLAYERS_INFO_TABLE
+    from rinkstat.sinks import parquet as K
+
+    dwh = str(tmp_path / "dwh")
+    player = lambda p, day, team="ALP": (p, "h", "F", f"L{p}", "C", "L", None, "c", "x", None, team, day)
+    roster = [player(1, "2024-01-01"), player(1, "2024-01-03"), player(2, None), player(2, "2024-01-02"), player(None, "2024-01-09"), player(4, None)]
+    empty = {f.name: None for f in GAMES_INFO_TABLE.fields}
+    games = [(*(empty | {"playerId": p, "gameId": g, "teamAbbrev": "ALP"}).values(), g // 2) for p in (1, 2, 3, 4, None) for g in range(4)]
+    game_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in GAMES_INFO_TABLE.fields) + ", block int"
+    K.write_snapshot(spark.createDataFrame([(1, "Alpha", "ALP")], "id int, fullName string, triCode string"), f"{dwh}/teams")
+    K.write_snapshot(spark.createDataFrame(roster, PLAYERS_INFO_TABLE), f"{dwh}/players_info")
+    K.write_snapshot_partitioned(spark.createDataFrame(games, game_schema), f"{dwh}/games_info", "block")
+    PL.refresh_mart(spark, dwh, PART)
+
+    def joins():
+        return PL.read_mart(spark, dwh)._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+    def stamps():
+        return sorted({(str(r.playerId), str(r.updatedDt)) for r in PL.read_mart(spark, dwh).collect()})
+
+    assert joins() == 0 and PL.read_mart(spark, dwh).count() == 28
+    assert stamps() == [("1", "2024-01-03"), ("2", "2024-01-02"), ("3", "None"), ("4", "None"), ("None", "None")]
+    # The roster is stamped anew: nothing is rebuilt, so every partition meets it.
+    K.write_snapshot(spark.createDataFrame([(*r[:-1], "2024-02-01") for r in roster], PLAYERS_INFO_TABLE), f"{dwh}/players_info")
+    PL.refresh_mart(spark, dwh, PART)
+    assert joins() == 1 and ("4", "2024-02-01") in stamps() and PL.read_mart(spark, dwh).count() == 28
+    # One more game of block 0: that partition is rebuilt and read as it is, the other one meets the roster.
+    more = spark.createDataFrame([(*(empty | {"playerId": 4, "gameId": 1, "teamAbbrev": "ALP", "goals": 5}).values(), 0)], game_schema)
+    K.upsert_partitioned(spark, more, f"{dwh}/games_info", ["playerId", "gameId"], "block")
+    PL.refresh_mart(spark, dwh, PART)
+    mart = PL.read_mart(spark, dwh)
+    assert joins() == 1 and mart._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1
+    assert mart.count() == 28 and {r.updatedDt for r in mart.filter("playerId = 4").collect()} == {"2024-02-01"}
