@@ -167,13 +167,16 @@ def q_goalie_aggregate_by_deltas(spark, sf):
     return _by_deltas(spark, sf, "goalie")
 
 
-# Buckets of the games history.  On a cluster: history bytes over the wanted file size, kept for the table's life.
+# Buckets of the games history: at least so many, and more where one would hold over so many rows.  Kept for the table's life.
 GAME_BUCKETS = 16
+BUCKET_ROWS = 500_000
 
 
 def _bucketed_games(spark, sf) -> str:
     name = f"games_{uuid.uuid4().hex}"
-    B.write_bucketed(V.old_games(spark, sf), name, scratch_dir(spark, "games-buckets"), GAME_KEYS, GAME_BUCKETS)
+    games = V.old_games(spark, sf)
+    buckets = B.buckets_for(games, GAME_BUCKETS, BUCKET_ROWS)
+    B.write_bucketed(games, name, scratch_dir(spark, "games-buckets"), GAME_KEYS, buckets)
     return name
 
 

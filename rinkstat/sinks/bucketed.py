@@ -8,6 +8,7 @@ The rows of one key share a bucket, as any keyed merge needs.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 
@@ -37,6 +38,11 @@ def write_bucketed(df: DataFrame, name: str, path: str, keys: str | Sequence[str
     return _save(df.repartition(buckets, *k), name, path, k, buckets)
 
 
+def buckets_for(df: DataFrame, least: int, rows: int) -> int:
+    """As many buckets as keep each at about ``rows`` rows, so that a task's memory doesn't grow with the table."""
+    return max(least, math.ceil(df.count() / rows))
+
+
 def bucket_count(spark: SparkSession, name: str) -> int:
     """Into how many buckets a table is cut."""
     told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()

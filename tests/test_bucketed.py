@@ -83,3 +83,8 @@ def test_empty_sides_and_wrong_table(spark, tmp_path):
     old.write.option("path", str(tmp_path / plain)).saveAsTable(plain)
     with pytest.raises(ValueError, match="not bucketed"):
         B.bucket_count(spark, plain)
+
+
+def test_buckets_follow_the_rows(spark):
+    assert B.buckets_for(spark.range(1000), 4, 100) == 10 and B.buckets_for(spark.range(1001), 4, 100) == 11
+    assert B.buckets_for(spark.range(50), 4, 100) == 4 and B.buckets_for(spark.range(0), 4, 100) == 4
