@@ -15,11 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import semi_join
-
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 #: Suffix of a state's count of set values of a measure.
 SET = "__set"
@@ -61,18 +59,27 @@ def changed_keys(new: DataFrame, old: DataFrame, keys: str | Sequence[str]) -> D
     return change_feed(new, old, k).filter(F.col("change").isin(INSERTED, UPDATED)).select(*k)
 
 
-def _sums(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], count: str, sign: Column) -> DataFrame:
-    signed = rows.withColumn("_sign", sign)
-    return signed.groupBy(*keys).agg(
-        F.sum("_sign").alias("_rows"), F.sum(F.when(F.col(count).isNotNull(), F.col("_sign")).otherwise(0)).alias(count + SET),
-        *[F.sum(F.coalesce(F.col("_sign") * F.col(m).cast("long"), F.lit(0))).alias(m) for m in measures],
-        *[F.sum(F.when(F.col(m).isNotNull(), F.col("_sign")).otherwise(0)).alias(m + SET) for m in measures],
-    )
+def _numbers(measures: Sequence[str], count: str, sign: Column) -> dict[str, Column]:
+    """The state of one row of the given sign."""
+    of_set = lambda c: F.when(F.col(c).isNotNull(), sign).otherwise(F.lit(0)).cast("long")
+    return {
+        "_rows": sign, count + SET: of_set(count),
+        **{m: F.coalesce(sign * F.col(m).cast("long"), F.lit(0).cast("long")) for m in measures},
+        **{m + SET: of_set(m) for m in measures},
+    }
+
+
+def _rows_as_state(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], count: str, sign: int) -> DataFrame:
+    return rows.select(*keys, *[v.alias(n) for n, v in _numbers(measures, count, F.lit(sign).cast("long")).items()])
+
+
+def _summed(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return states.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in states.columns if c not in keys])
 
 
 def aggregate_state(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], count: str) -> DataFrame:
     """The state of ``count(count), sum(measures...)`` by ``keys`` over ``rows``."""
-    return _sums(rows, keys, measures, count, F.lit(1).cast("long"))
+    return _summed(_rows_as_state(rows, keys, measures, count, 1), keys)
 
 
 def apply_deltas(
@@ -80,17 +87,13 @@ def apply_deltas(
 ) -> DataFrame:
     """``state`` after ``retracted`` rows left and ``added`` rows came; no other row is read.
 
-    The deltas are summed up before they meet the state.  Groups left without
-    rows are dropped; NULL keys are a group like any other.
+    State and signed rows meet in one aggregate, which sums them up before its
+    only shuffle.  Groups left without rows are dropped; NULL keys are a group
+    like any other.
     """
-    columns = [*keys, count, *measures]
-    marked = added.select(*columns, F.lit(1).cast("long").alias("_by")).unionByName(
-        retracted.select(*columns, F.lit(-1).cast("long").alias("_by"))
-    )
-    delta = _sums(marked, keys, measures, count, F.col("_by"))
-    numbers = [c for c in state.columns if c not in keys]
-    merged = state.unionByName(delta).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numbers])
-    return merged.filter("_rows <> 0")
+    deltas = [_rows_as_state(rows, keys, measures, count, sign) for rows, sign in ((added, 1), (retracted, -1))]
+    both = state.unionByName(deltas[0]).unionByName(deltas[1])
+    return _summed(both, keys).filter("_rows <> 0")
 
 
 def aggregate_of(state: DataFrame, keys: Sequence[str], measures: Sequence[str], count: str, name: str) -> DataFrame:
@@ -101,7 +104,25 @@ def aggregate_of(state: DataFrame, keys: Sequence[str], measures: Sequence[str],
 
 
 def split_changes(new: DataFrame, old: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``(retracted, added)``: the old and the new rows of the keys that an upsert changes."""
+    """``(retracted, added)``: the old and the new rows of the keys that an upsert changes.
+
+    Both sides are shuffled once, together, and compared where they meet; the
+    two results read that one exchange.  Columns are those of ``old``, by name.
+    NULL keys match none, so their rows are in neither result.
+    """
     k = [keys] if isinstance(keys, str) else list(keys)
-    changed = changed_keys(new, old, k)
-    return semi_join(old, changed, k), semi_join(new, changed, k)
+    columns = [*old.columns, *[c for c in new.columns if c not in old.columns]]
+    both = new.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)), allowMissingColumns=True)
+    rest = [c for c in columns if c not in k]
+    # Digests go along, not the columns that only they need.
+    digests = [d.alias(f"_d{i}") for i, d in enumerate(row_digests(rest))]
+    both = both.dropna(subset=k).select(*columns, "_new", *digests)
+    side = 2 * F.col("_new") - 1
+    of_key = Window.partitionBy(*k)
+    differs = F.sum(side).over(of_key) != 0
+    for i in range(len(digests)):
+        differs = differs | (F.sum(side * F.col(f"_d{i}").cast("decimal(20,0)")).over(of_key) != 0)
+    changed = (F.max("_new").over(of_key) == 1) & differs
+    marked = both.withColumn("_changed", changed).filter("_changed").drop("_changed")
+    of_side = lambda n, names: marked.filter(F.col("_new") == n).select(*names)
+    return of_side(0, old.columns), of_side(1, new.columns)

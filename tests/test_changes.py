@@ -123,3 +123,23 @@ def test_deltas_read_changed_rows_only(spark):
     retracted, added = CH.split_changes(table(spark, new), table(spark, old), KEYS)
     assert [tuple(r) for r in retracted.collect()] == [(7, 0, "a", 1, 1)]
     assert [tuple(r) for r in added.collect()] == [(7, 0, "a", 2, 1)]
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_deltas_are_shuffled_once(spark):
+    """Both sides meet in one shuffle, state and signed rows in another."""
+    old = spark.createDataFrame([(1, 1, 5), (1, 2, None), (2, 1, 7), (2, 1, 7), (None, 1, 1), (4, 4, 4)], "k int, g int, v int")
+    new = spark.createDataFrame([(5, 1, 1), (None, 8, 2), (6, 1, 3), (7, 2, 1)], "v int, k int, g int")  # (k, g, v) by name
+    retracted, added = CH.split_changes(new, old, ["k", "g"])
+    assert _exchanges(retracted) == 1 and _exchanges(added) == 1
+    assert retracted.columns == ["k", "g", "v"] and added.columns == ["v", "k", "g"]
+    by_feed = CH.changed_keys(new, old, ["k", "g"])
+    for got, side in ((retracted, old), (added, new)):
+        assert sorted(map(str, got.collect())) == sorted(map(str, side.join(by_feed, ["k", "g"], "left_semi").select(*side.columns).collect()))
+    state = CH.aggregate_state(old, ["k"], ["v"], "g")
+    rows = CH.apply_deltas(spark.createDataFrame(state.collect(), state.schema), old.filter("g = 4"), new, ["k"], ["v"], "g")
+    assert _exchanges(rows) == 1
+    assert sorted((str(r.k), r._rows, r.v) for r in rows.collect()) == [("1", 4, 16), ("2", 3, 21), ("8", 1, 0), ("None", 1, 1)]
