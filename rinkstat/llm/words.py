@@ -45,7 +45,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after the other, and the n + 1 offsets of the rows."""
     if column.null_count:
         column = column.fill_null("")
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     offsets = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

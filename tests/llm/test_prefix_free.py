@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +102,87 @@ def test_each_window_in_one_entry():
     assert inner(600, 1400) <= set(p.entry[(p.begin >= 3000) & (p.begin < 4000)].tolist())
 
 
+def test_entries_do_not_depend_on_what_is_parsed_beside():
+    """One text has the same entries alone, after others and in a run longer than a slice."""
+    rng = np.random.default_rng(2)
+    text, beside = (rng.integers(97, 123, n, dtype=np.uint8) for n in (60_000, 300_000))
+    alone = Parse(text, np.array([0, len(text)]))
+    for n in (100, 5_000, 70_000, 300_000):
+        p = Parse(np.concatenate([beside[:n], text]), np.array([0, n, n + len(text)]))
+        own = p.doc == 1
+        assert p.entry[own].tolist() == alone.entry.tolist() and p.trigger[own].tolist() == alone.trigger.tolist()
+        assert (p.begin[own] - n).tolist() == alone.begin.tolist() and (p.end[own] - n).tolist() == alone.end.tolist()
+
+
+def test_long_texts_and_any_ids(spark):
+    """Texts of several slices that share passages across their cuts; ids as far apart as longs can be."""
+    rng = random.Random(8)
+    text = lambda k: "".join(rng.choice("abcdefghij ") for _ in range(k))
+    passages = [text(k) for k in (200_000, 3_000, 120, 49, 50)]
+    ids = [2**63 - 1, -(2**63), 0, 7, 300, 70_000, 5 * 10**9, -1]
+    rows = [(d, text(rng.randrange(9)) + "".join(p + text(3) for p in rng.sample(passages, 3)) * (1 + i % 2), None, None, 0) for i, d in enumerate(ids)]
+    assert result(prefix_free.dedup_bytes(frame(spark, rows).repartition(3))) == brute(rows)
+
+
+def test_rows_are_sent_in_blocks(monkeypatch, spark):
+    """What goes through the shuffles is counted in blocks for each bucket, not in rows for each entry and window."""
+    rng = random.Random(9)
+    text = lambda k: "".join(rng.choice("abcdefghij ") for _ in range(k))
+    shared = [text(45) for _ in range(200)]
+    texts = ["".join(rng.choice(shared) + text(3) for _ in range(500)) for _ in range(40)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    sent, neighbours = [], prefix_free.neighbours
+
+    def counted(df, *more):
+        sent.append(df.count())
+        return neighbours(df, *more)
+
+    monkeypatch.setattr(prefix_free, "neighbours", counted)
+    monkeypatch.setattr(prefix_free, "LEAST_BUCKETS", 100, raising=False)
+    assert result(prefix_free.dedup_bytes(frame(spark, rows).coalesce(1))) == brute(rows)
+    entries = [Parse(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])) for t in texts]
+    assert len(sent) == 2 and max(sent) < sum(len(p.entry) for p in entries) / 10
+
+
+def test_only_what_was_told_is_parsed_again(monkeypatch):
+    """The last pass parses no text that was told nothing and looks into open entries only."""
+
+    class Rows:
+        def mapInArrow(self, function, schema):
+            self.function = function
+            return self
+
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("abcdefghij ") for _ in range(4_000)) for _ in range(3)]
+    p = Parse(np.frombuffer(texts[0].encode(), np.uint8), np.array([0, 4_000]))
+    number, place, prints = p.windows(np.array([5]))
+    table = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array([1, 2, 3], pa.int64()), "text": texts,
+        "settled": pa.array([p.entry[:2].tobytes(), None, None], pa.binary()),
+        "open": pa.array([p.entry[5:7].tobytes(), p.entry[:9].tobytes(), None], pa.binary()),
+        "found": pa.array([prints[:1].tobytes(), None, None], pa.binary()),
+    })
+    parsed, looked = [], []
+
+    class Counted(Parse):
+        def __init__(self, data, *more):
+            parsed.append(len(data))
+            super().__init__(data, *more)
+
+        def windows(self, which):
+            looked.append(len(which))
+            return super().windows(which)
+
+    monkeypatch.setattr(prefix_free, "Parse", Counted)
+    out = pa.Table.from_batches(prefix_free.removed(Rows(), 50, 24, True).function(iter([table]))).to_pylist()
+    assert parsed == [4_000] and looked == [2]
+    begin, end = int(p.begin[0]), int(p.end[1]) + 49
+    spans = [(begin, end), (int(place[0]), int(place[0]) + 50)]
+    spans = [(begin, max(e for _, e in spans))] if spans[1][0] <= end else spans
+    assert [(r["doc_id"], [(x["begin"], x["end"]) for x in r["spans"]]) for r in out] == [(1, spans), (2, []), (3, [])]
+    assert [r["kept"] for r in out[1:]] == [t.encode() for t in texts[1:]]
+
+
 def test_sliding_min():
     v = np.random.default_rng(0).integers(0, 1000, 200).astype(np.uint64)
     for size in (1, 2, 3, 7, 35, 64):
